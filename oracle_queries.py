@@ -92,3 +92,182 @@ SQL = {
         CASE d.ord_type WHEN 'Normal' THEN '2' WHEN 'Fresh1' THEN '4' END AS ord_code,
         CAST(d.n_regionkey + 1 AS VARCHAR) AS region_id FROM dedup d"""),
 }
+
+
+# ---- features -------------------------------------------------------------------------------------------------
+
+THR = T - dt.timedelta(days=35 + 395)   # young-station threshold
+PRE_END = T - dt.timedelta(days=8)      # forecast feature day
+
+
+def feature_ctes(rows: str) -> str:
+    """CTEs computing ``feat(sta_num, deliver_type, ord_type, pre_end, path, idx, value)`` for the feature rows
+    ``rows(sta_num, deliver_type, ord_type, n_regionkey, start_date, n_days, pre_end)``."""
+    return f""",
+cref AS (
+  SELECT city_id, std_sta, ref_start FROM (
+    SELECT CAST(n_regionkey AS VARCHAR) AS city_id, sta_num AS std_sta, start_date AS ref_start,
+           row_number() OVER (PARTITION BY n_regionkey ORDER BY nk) AS rn
+    FROM series WHERE deliver_type = 'Self' AND ord_type = 'Normal' AND nk % 10 NOT IN (3, 4, 5))
+  WHERE rn = 1),
+fx AS (
+  SELECT r.sta_num, r.deliver_type, r.ord_type, r.start_date, r.n_days, r.pre_end, c.std_sta, c.ref_start,
+         r.start_date > {_d(THR)} AS young,
+         CASE WHEN r.start_date > {_d(THR)} THEN datediff('day', c.ref_start, r.start_date) ELSE 0 END AS sh,
+         datediff('day', c.ref_start, r.start_date) AS fsh
+  FROM {rows} r LEFT JOIN cref c ON c.city_id = CAST(r.n_regionkey AS VARCHAR)),
+wdef AS (SELECT * FROM (VALUES (0, 30, 0), (1, 365, 335), (2, 395, 365)) t(w, lo_back, hi_back)),
+fw AS (
+  SELECT fx.*, wdef.w,
+         datediff('day', fx.start_date, fx.pre_end - wdef.lo_back) AS plo,
+         datediff('day', fx.start_date, fx.pre_end - wdef.hi_back) AS phi,
+         CASE WHEN fx.young THEN fx.std_sta ELSE fx.sta_num END AS src_sta,
+         CASE WHEN fx.young THEN 'Self' ELSE fx.deliver_type END AS src_d,
+         CASE WHEN fx.young THEN 'Normal' ELSE fx.ord_type END AS src_o
+  FROM fx CROSS JOIN wdef),
+fel AS (
+  SELECT fw.sta_num, fw.deliver_type, fw.ord_type, fw.pre_end, fw.w, l.idx - (fw.plo + fw.sh) AS j, l.qty
+  FROM fw JOIN long l ON l.sta_num = fw.src_sta AND l.deliver_type = fw.src_d AND l.ord_type = fw.src_o
+   AND l.idx >= fw.plo + fw.sh AND l.idx < fw.phi + fw.sh
+  WHERE fw.plo >= 0 AND fw.phi >= 0 AND fw.plo + fw.sh >= 0),
+fst AS (
+  SELECT sta_num, deliver_type, ord_type, pre_end, w, count(*) AS k, sum(qty) AS s, sum(qty * qty) AS q,
+         count(qty) AS nn
+  FROM fel GROUP BY ALL),
+fin AS (
+  SELECT e.*, st.k, st.nn,
+         (st.k * e.qty - st.s) * (st.k * e.qty - st.s) < st.k * st.q - st.s * st.s AS inl
+  FROM fel e JOIN fst st USING (sta_num, deliver_type, ord_type, pre_end, w)),
+fmed AS (
+  SELECT sta_num, deliver_type, ord_type, pre_end, w, median(qty) FILTER (WHERE inl) AS med,
+         count(*) FILTER (WHERE inl) AS ninl, max(k) AS k, max(nn) AS nn
+  FROM fin GROUP BY ALL),
+fok AS (
+  SELECT sta_num, deliver_type, ord_type, pre_end, count(*) AS nwin, sum(k) AS total
+  FROM fmed WHERE ninl > 0 AND nn = k GROUP BY ALL),
+fnorm AS (
+  SELECT i.sta_num, i.deliver_type, i.ord_type, i.pre_end,
+         CASE WHEN fx.young THEN 'city' ELSE 'own' END AS path, i.w * 30 + i.j AS idx,
+         CASE WHEN i.inl THEN CAST(i.qty AS DOUBLE) ELSE m.med END AS value
+  FROM fin i
+  JOIN fmed m USING (sta_num, deliver_type, ord_type, pre_end, w)
+  JOIN fok o USING (sta_num, deliver_type, ord_type, pre_end)
+  JOIN fx USING (sta_num, deliver_type, ord_type, pre_end)
+  WHERE o.nwin = 3 AND o.total = 90),
+fbk AS (
+  SELECT fx.*,
+         datediff('day', fx.start_date, fx.pre_end - 30) AS p0,
+         datediff('day', fx.start_date, fx.pre_end - 365) AS p1,
+         datediff('day', fx.start_date, fx.pre_end - 395) AS p2
+  FROM fx LEFT JOIN fok USING (sta_num, deliver_type, ord_type, pre_end)
+  WHERE coalesce(fok.nwin, 0) < 3 AND fx.std_sta IS NOT NULL),
+fbe AS (
+  SELECT b.sta_num, b.deliver_type, b.ord_type, b.pre_end, 0 AS w, l.idx - b.p0 AS j, l.qty
+  FROM fbk b JOIN long l ON l.sta_num = b.sta_num AND l.deliver_type = b.deliver_type
+   AND l.ord_type = b.ord_type AND l.idx >= b.p0 AND l.idx < b.p0 + 30
+  WHERE b.p0 >= 0
+  UNION ALL
+  SELECT b.sta_num, b.deliver_type, b.ord_type, b.pre_end, 1 AS w, l.idx - (b.p1 + b.fsh) AS j, l.qty
+  FROM fbk b JOIN long l ON l.sta_num = b.std_sta AND l.deliver_type = 'Self' AND l.ord_type = 'Normal'
+   AND l.idx >= b.p1 + b.fsh AND l.idx < b.p1 + b.fsh + 30
+  WHERE b.p1 + b.fsh >= 0
+  UNION ALL
+  SELECT b.sta_num, b.deliver_type, b.ord_type, b.pre_end, 2 AS w, l.idx - (b.p2 + b.fsh) AS j, l.qty
+  FROM fbk b JOIN long l ON l.sta_num = b.std_sta AND l.deliver_type = 'Self' AND l.ord_type = 'Normal'
+   AND l.idx >= b.p2 + b.fsh AND l.idx < b.p2 + b.fsh + 30
+  WHERE b.p2 + b.fsh >= 0),
+fbs AS (
+  SELECT sta_num, deliver_type, ord_type, pre_end,
+         count(*) FILTER (WHERE w = 0) AS n0, count(*) FILTER (WHERE w = 1) AS n1,
+         count(*) FILTER (WHERE w = 2) AS n2, count(qty) AS nn, count(*) AS n,
+         coalesce(sum(qty) FILTER (WHERE w = 0), 0) AS s0, coalesce(sum(qty) FILTER (WHERE w = 2), 0) AS s2
+  FROM fbe GROUP BY ALL),
+fbv AS (
+  SELECT e.sta_num, e.deliver_type, e.ord_type, e.pre_end, 'fallback' AS path, e.w * 30 + e.j AS idx,
+         CASE WHEN e.w = 0 THEN CAST(e.qty AS DOUBLE)
+              WHEN s.s0 <> 0 AND s.s2 <> 0 THEN CAST(e.qty AS DOUBLE) / (CAST(s.s2 AS DOUBLE) / CAST(s.s0 AS DOUBLE))
+              ELSE 1.0 END AS value
+  FROM fbe e JOIN fbs s USING (sta_num, deliver_type, ord_type, pre_end)
+  WHERE s.n0 = 30 AND s.n1 = 30 AND s.n2 = 30 AND s.nn = s.n),
+feat AS (SELECT * FROM fnorm UNION ALL SELECT * FROM fbv)"""
+
+
+def forecast_rows() -> str:
+    return f""",
+frows AS (SELECT sta_num, deliver_type, ord_type, nk, n_regionkey, start_date, n_days, {_d(PRE_END)} AS pre_end
+          FROM dedup WHERE deliver_type = 'Self' AND ord_type = 'Normal')"""
+
+
+def training_rows() -> str:
+    lo, hi = T - dt.timedelta(days=77), T - dt.timedelta(days=16)
+    return f""",
+trows AS (
+  SELECT s.sta_num, s.deliver_type, s.ord_type, s.nk, s.n_regionkey, s.start_date, s.n_days,
+         CAST(pe.d AS DATE) AS pre_end
+  FROM series s CROSS JOIN generate_series({_d(lo)}, {_d(hi)}, INTERVAL 1 DAY) pe(d)
+  WHERE s.deliver_type = 'Self' AND s.ord_type = 'Normal' AND s.start_date < CAST(pe.d AS DATE) - 395)"""
+
+
+def fq(rows_fn, rows_name: str, body: str) -> str:
+    return f"WITH {ctes()}{rows_fn()}{feature_ctes(rows_name)}\n{body}"
+
+
+W3_SQL = f"""WITH {ctes()},
+wb AS (
+  SELECT d.sta_num, d.deliver_type, d.ord_type, d.n_days, w.win,
+         datediff('day', d.start_date, {_d(PRE_END)} - w.lo_back) AS plo,
+         datediff('day', d.start_date, {_d(PRE_END)} - w.hi_back) AS phi
+  FROM dedup d CROSS JOIN (VALUES ('pre', 30, 0), ('his', 365, 335), ('his_pre', 395, 365)) w(win, lo_back, hi_back)),
+el AS (
+  SELECT b.sta_num, b.deliver_type, b.ord_type, b.win, l.idx - b.plo AS idx, l.qty
+  FROM wb b JOIN long l USING (sta_num, deliver_type, ord_type)
+  WHERE b.plo >= 0 AND b.phi >= 0 AND l.idx >= b.plo AND l.idx < b.phi),
+st AS (SELECT sta_num, deliver_type, ord_type, win, count(*) AS k, sum(qty) AS s, sum(qty * qty) AS q
+       FROM el GROUP BY ALL),
+ei AS (SELECT e.*, (st.k * e.qty - st.s) * (st.k * e.qty - st.s) < st.k * st.q - st.s * st.s AS inl
+       FROM el e JOIN st USING (sta_num, deliver_type, ord_type, win)),
+md AS (SELECT sta_num, deliver_type, ord_type, win, median(qty) FILTER (WHERE inl) AS med,
+              count(*) FILTER (WHERE inl) AS ninl FROM ei GROUP BY ALL)
+SELECT ei.sta_num, ei.deliver_type, ei.ord_type, ei.win, CAST(ei.idx AS INTEGER) AS idx,
+       round(CASE WHEN ei.inl THEN CAST(ei.qty AS DOUBLE) ELSE md.med END, 6) AS value
+FROM ei JOIN md USING (sta_num, deliver_type, ord_type, win) WHERE md.ninl > 0"""
+
+SQL.update({
+    "w1_windows": q(f"""SELECT sta_num, deliver_type, ord_type,
+        {_d(PRE_END)} - 30 AS pre_from, {_d(PRE_END)} AS pre_to, {_d(PRE_END)} - 365 AS his_from,
+        {_d(PRE_END)} - 335 AS his_to, {_d(PRE_END)} - 395 AS his_pre_from, {_d(PRE_END)} - 365 AS his_pre_to,
+        CAST(datediff('day', start_date, {_d(PRE_END)} - 30) AS INTEGER) AS pos_pre,
+        CAST(datediff('day', start_date, {_d(PRE_END)} - 365) AS INTEGER) AS pos_his,
+        CAST(datediff('day', start_date, {_d(PRE_END)} - 395) AS INTEGER) AS pos_his_pre,
+        CAST(datediff('day', start_date, {_d(T)}) AS INTEGER) AS pos_today
+        FROM dedup WHERE deliver_type = 'Self' AND ord_type = 'Normal'"""),
+    "w3_clean_window": W3_SQL,
+    "w4_features": fq(forecast_rows, "frows",
+                      "SELECT sta_num, path, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM feat"),
+    "w4_feature_paths": fq(forecast_rows, "frows",
+                           "SELECT sta_num, path, CAST(count(*) AS BIGINT) AS n_values FROM feat GROUP BY ALL"),
+})
+
+
+# ---- training set ------------------------------------------------------------------------------------------------
+
+L_FIRST, L_LAST = T - dt.timedelta(days=35), T - dt.timedelta(days=8)
+
+TRAIN_BODY = f"""SELECT h.h AS horizon, CAST(f.pre_end + CAST(8 + h.h AS INTEGER) AS DATE) AS label_date, f.sta_num, f.path,
+       l.qty AS label, round(sum(f.value), 6) AS hist_sum, round(max(f.value), 6) AS hist_max,
+       round(max(f.value) FILTER (WHERE f.idx = 0), 6) AS hist_first,
+       round(max(f.value) FILTER (WHERE f.idx = 89), 6) AS hist_last
+FROM feat f
+CROSS JOIN generate_series(0, 34) h(h)
+JOIN long l ON l.sta_num = f.sta_num AND l.deliver_type = f.deliver_type AND l.ord_type = f.ord_type
+ AND l.ds = f.pre_end + CAST(8 + h.h AS INTEGER)
+WHERE f.pre_end + CAST(8 + h.h AS INTEGER) BETWEEN {_d(L_FIRST)} AND {_d(L_LAST)} AND l.qty > 0
+GROUP BY 1, 2, 3, 4, 5"""
+
+SQL.update({
+    "w7_labels": q(f"""SELECT sta_num, ds AS label_date, qty AS label FROM long
+        WHERE deliver_type = 'Self' AND ord_type = 'Normal' AND ds BETWEEN {_d(L_FIRST)} AND {_d(L_LAST)} AND qty > 0"""),
+    "j5_training_set": fq(training_rows, "trows", TRAIN_BODY),
+    "j5_training_features": fq(training_rows, "trows",
+        "SELECT sta_num, pre_end, path, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM feat"),
+})

@@ -52,17 +52,28 @@ def trailing_sum(arr: Column, n: int) -> Column:
     return array_sum(py_slice(arr, -n, None))
 
 
-def strict_inliers_mask(w: Column):
-    """Per element: ``mean - std < x < mean + std`` (population std), evaluated exactly in integers.
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once per row and pass it to ``body`` as a lambda variable.
 
-    With ``S = sum x``, ``Q = sum x^2`` and ``k`` elements the test is ``(k*x - S)^2 < k*Q - S^2``, which is the
-    same inequality multiplied out, so no rounding can move a value across a bound.
+    Spark does not share a sub-expression between the places that use it inside higher-order functions, so a
+    statistic used per element would be recomputed per element; binding it first keeps the work linear.
     """
-    k = F.size(w).cast("bigint")
-    s = array_sum(w)
-    q = F.aggregate(w, F.lit(0).cast("bigint"), lambda acc, x: acc + x * x)
-    d = k * q - s * s
-    return lambda x: (k * x - s) * (k * x - s) < d
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def _window_stats(w: Column) -> Column:
+    return F.struct(F.size(w).cast("bigint").alias("k"), array_sum(w).alias("s"),
+                    F.aggregate(w, F.lit(0).cast("bigint"), lambda acc, x: acc + x * x).alias("q"))
+
+
+def _inside(st: Column, x: Column) -> Column:
+    """``mean - std < x < mean + std`` (population std), evaluated exactly in integers.
+
+    With ``S = sum x``, ``Q = sum x^2`` and ``k`` elements the test is ``(k*x - S)^2 < k*Q - S^2``: the same
+    inequality multiplied out, so no rounding can move a value across a bound.
+    """
+    dev = st["k"] * x - st["s"]
+    return dev * dev < st["k"] * st["q"] - st["s"] * st["s"]
 
 
 def median_sorted(sorted_arr: Column) -> Column:
@@ -74,20 +85,22 @@ def median_sorted(sorted_arr: Column) -> Column:
     return F.when(m == 0, F.lit(None).cast("double")).when(m % 2 == 1, odd).otherwise((lo + hi) / 2.0)
 
 
-def clean_window(src: Column, lo: Column, hi: Column) -> Column:
-    """``src[lo:hi]`` with outliers replaced, or NULL when the window cannot be used.
+def clean_values(w: Column) -> Column:
+    """Outliers of ``w`` replaced by the median of the strict inliers; NULL when ``w`` is empty, holds a NULL
+    day, or has no strict inlier (an all-equal window, for example)."""
+    def with_stats(st):
+        def with_inliers(inl):
+            cleaned = let(median_sorted(inl), lambda med: F.transform(
+                w, lambda x: F.when(_inside(st, x), x.cast("double")).otherwise(med)))
+            return F.when((st["k"] > 0) & (F.size(inl) > 0), cleaned)
+        return let(F.array_sort(F.filter(w, lambda x: _inside(st, x))), with_inliers)
+    usable = ~F.exists(w, lambda x: x.isNull())
+    return F.when(usable, let(_window_stats(w), with_stats))
 
-    Strict inliers are the values inside ``(mean - std, mean + std)``; every other value is replaced by the
-    median of the inliers. The window fails (NULL) when an end is negative, the slice is empty, it holds a
-    NULL day, or no value is a strict inlier (an all-equal window, for example).
-    """
-    w = py_slice(src, lo, hi)
-    inside = strict_inliers_mask(w)
-    inl = F.filter(w, inside)
-    med = median_sorted(F.array_sort(inl))
-    cleaned = F.transform(w, lambda x: F.when(inside(x), x.cast("double")).otherwise(med))
-    usable = (lo >= 0) & (hi >= 0) & (F.size(w) > 0) & ~F.exists(w, lambda x: x.isNull()) & (F.size(inl) > 0)
-    return F.when(usable, cleaned)
+
+def clean_window(src: Column, lo: Column, hi: Column) -> Column:
+    """``src[lo:hi]`` cleaned by ``clean_values``; NULL when an end is negative or the window fails."""
+    return F.when((lo >= 0) & (hi >= 0), let(py_slice(src, lo, hi), clean_values))
 
 
 def rolling_week_sums(arr: Column, end_offset: Column | int, count: int = 9, width: int = 7) -> Column:

@@ -110,3 +110,131 @@ REGISTRY = {
     "j1_class_ratio": j1_class_ratio,
     "p4_encode": p4_encode,
 }
+
+
+# ---- windows and features -----------------------------------------------------------------------------------
+
+from ..functions.arrays import clean_window as _clean_window  # noqa: E402
+from ..functions.dates import window_bounds as _window_bounds  # noqa: E402
+from ..operators import features as _features  # noqa: E402
+
+
+def _inputs(spark, sf_dir, p):
+    """Series built once and checkpointed (lineage cut in the shared checkpoint folder), and the city
+    reference derived from it; both the feature rows and the reference read the materialised series."""
+    from ..session import shared_dir
+
+    shared_dir(spark)  # makes sure a checkpoint folder is set (tests only set their own)
+    s = _series(spark, sf_dir, p).checkpoint(eager=True)
+    return s, tables.city_reference_from_tables(s, p)
+
+
+def _base_clean(spark, sf_dir, p, s=None):
+    s = _series(spark, sf_dir, p) if s is None else s
+    clean = ser.dedupe_longest(ser.fresh(s, p), ["sta_num", "deliver_type", "ord_type"])
+    return ser.base_class(clean, p)
+
+
+def _city_ref(spark, sf_dir, p):
+    return tables.city_reference_from_tables(_series(spark, sf_dir, p), p)
+
+
+def w1_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window bounds and own offsets at the forecast day."""
+    p = params()
+    pe = F.lit(p.forecast_pre_end)
+    b = _window_bounds(pe, p)
+    s = _base_clean(spark, sf_dir, p)
+    return s.select(*KEY,
+                    b["pre"][0].alias("pre_from"), b["pre"][1].alias("pre_to"),
+                    b["his"][0].alias("his_from"), b["his"][1].alias("his_to"),
+                    b["his_pre"][0].alias("his_pre_from"), b["his_pre"][1].alias("his_pre_to"),
+                    F.datediff(b["pre"][0], "start_date").alias("pos_pre"),
+                    F.datediff(b["his"][0], "start_date").alias("pos_his"),
+                    F.datediff(b["his_pre"][0], "start_date").alias("pos_his_pre"),
+                    F.datediff(F.lit(p.as_of), "start_date").alias("pos_today"))
+
+
+def w3_clean_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three cleaned own windows of every fresh series at the forecast day (W3), exploded."""
+    p = params()
+    s = _clean_series(spark, sf_dir, p)
+    pos = _features.positions(F.lit(p.forecast_pre_end), p)
+    wins = F.array(*[F.struct(F.lit(name).alias("win"),
+                              _clean_window(F.col("qty"), lo, hi).alias("vals"))
+                     for name, (lo, hi) in pos.items()])
+    return (s.select(*KEY, F.explode(wins).alias("w"))
+            .where(F.col("w.vals").isNotNull())
+            .select(*KEY, "w.win", F.posexplode("w.vals").alias("idx", "value"))
+            .select(*KEY, "win", "idx", F.round("value", 6).alias("value")))
+
+
+def _forecast_features(spark, sf_dir, p):
+    s, ref = _inputs(spark, sf_dir, p)
+    return _features.forecast_features(_base_clean(spark, sf_dir, p, s), ref, p)
+
+
+def w4_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 90 history features of every base series at the forecast day (W4-W6, F7-F12), exploded."""
+    p = params()
+    f = _forecast_features(spark, sf_dir, p)
+    return (f.select("sta_num", "path", F.posexplode("hist").alias("idx", "value"))
+            .select("sta_num", "path", "idx", F.round("value", 6).alias("value")))
+
+
+def w4_feature_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = params()
+    f = _forecast_features(spark, sf_dir, p)
+    return f.select("sta_num", "path", F.size("hist").cast("bigint").alias("n_values"))
+
+
+REGISTRY.update({
+    "w1_windows": w1_windows,
+    "w3_clean_window": w3_clean_window,
+    "w4_features": w4_features,
+    "w4_feature_paths": w4_feature_paths,
+})
+
+
+# ---- training set --------------------------------------------------------------------------------------------
+
+from ..operators import training as _training  # noqa: E402
+
+
+def w7_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label of every base series on each of the 28 label days, when positive."""
+    p = params()
+    first, last = _training.label_days(p)
+    s = ser.base_class(_series(spark, sf_dir, p), p)
+    days = s.withColumn("label_date", F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 DAY"))))
+    return (days.select("sta_num", "label_date", _training.label_at(F.col("label_date")).alias("label"))
+            .where(F.col("label") > 0))
+
+
+def j5_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows per horizon and label day (J5, M2): path, label and a digest of the 90 features."""
+    p = params()
+    s, ref = _inputs(spark, sf_dir, p)
+    t = _training.training_rows(s, ref, p)
+    return t.select("horizon", "label_date", "sta_num", "path", "label",
+                    F.round(F.aggregate("hist", F.lit(0.0), lambda a, x: a + x), 6).alias("hist_sum"),
+                    F.round(F.array_max("hist"), 6).alias("hist_max"),
+                    F.round(F.element_at("hist", 1), 6).alias("hist_first"),
+                    F.round(F.element_at("hist", -1), 6).alias("hist_last"))
+
+
+def j5_training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of every (series, feature day) used by the training set, exploded (W4-W6 at 62 days)."""
+    p = params()
+    s, ref = _inputs(spark, sf_dir, p)
+    rows = _features.attach_city_reference(_training.feature_days(_training.training_series(s, p), p), ref)
+    f = _features.history_features(rows, p)
+    return (f.select("sta_num", "pre_end", "path", F.posexplode("hist").alias("idx", "value"))
+            .select("sta_num", "pre_end", "path", "idx", F.round("value", 6).alias("value")))
+
+
+REGISTRY.update({
+    "w7_labels": w7_labels,
+    "j5_training_set": j5_training_set,
+    "j5_training_features": j5_training_features,
+})
