@@ -271,3 +271,105 @@ SQL.update({
     "j5_training_features": fq(training_rows, "trows",
         "SELECT sta_num, pre_end, path, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM feat"),
 })
+
+
+# ---- allocation and report (seasonal-naive base forecast) ----------------------------------------------------------
+
+W_REST = 7 - T.weekday()
+
+
+def alloc_ctes() -> str:
+    return f""",
+bfc AS (
+  SELECT d.sta_num, CAST(h.h AS INTEGER) AS h, CAST(coalesce(l.qty, 0) AS DOUBLE) AS fc
+  FROM dedup d CROSS JOIN generate_series(0, 34) h(h)
+  LEFT JOIN long l ON l.sta_num = d.sta_num AND l.deliver_type = d.deliver_type AND l.ord_type = d.ord_type
+   AND l.ds = {_d(T)} - 35 + CAST(h.h AS INTEGER)
+  WHERE d.deliver_type = 'Self' AND d.ord_type = 'Normal'),
+oth AS (
+  SELECT o.sta_num, o.deliver_type, o.ord_type, o.sum60, b.sum60 AS base60,
+         CASE WHEN b.sum60 = 0 THEN 0.0 ELSE o.sum60 / b.sum60 END AS factor
+  FROM s60 o JOIN s60 b ON b.sta_num = o.sta_num AND b.deliver_type = 'Self' AND b.ord_type = 'Normal'
+  WHERE NOT (o.deliver_type = 'Self' AND o.ord_type = 'Normal')),
+r35 AS (
+  SELECT d.sta_num, d.deliver_type, d.ord_type, CAST(coalesce(sum(l.qty), 0) AS DOUBLE) AS r35
+  FROM dedup d LEFT JOIN long l ON l.sta_num = d.sta_num AND l.deliver_type = d.deliver_type
+   AND l.ord_type = d.ord_type AND l.idx >= d.n_days - 35
+  GROUP BY 1, 2, 3),
+alloc AS (
+  SELECT o.sta_num, o.deliver_type, o.ord_type, f.h, f.fc * o.factor AS v, r.r35,
+         sum(f.fc * o.factor) OVER (PARTITION BY o.sta_num, o.deliver_type, o.ord_type) AS total
+  FROM oth o JOIN bfc f ON f.sta_num = o.sta_num
+  JOIN r35 r ON r.sta_num = o.sta_num AND r.deliver_type = o.deliver_type AND r.ord_type = o.ord_type),
+allocf AS (
+  SELECT sta_num, deliver_type, ord_type, h, CASE WHEN total > 2 * r35 THEN r35 / 35 ELSE v END AS v,
+         total, r35 FROM alloc)"""
+
+
+def report_ctes() -> str:
+    w, y = W_REST, _d(Y)
+    return f""",
+rp AS (
+  SELECT d.*, greatest(d.n_days, datediff('day', d.start_date, {y}) + 1) AS P,
+         datediff('day', d.start_date, {y}) + 1 AS real_len
+  FROM dedup d),
+plong AS (
+  SELECT r.sta_num, r.deliver_type, r.ord_type, CAST(g.i AS BIGINT) AS i, coalesce(l.qty, 0) AS qty
+  FROM rp r CROSS JOIN generate_series(0, r.P - 1) g(i)
+  LEFT JOIN long l ON l.sta_num = r.sta_num AND l.deliver_type = r.deliver_type AND l.ord_type = r.ord_type
+   AND l.idx = g.i),
+ranges AS (
+  SELECT sta_num, deliver_type, ord_type, 'cur' AS block, 0 AS part, greatest(P - 60, 0) AS lo, P AS hi FROM rp
+  UNION ALL SELECT sta_num, deliver_type, ord_type, 'ago', 0, greatest(P - 424, 0), greatest(P - 364, 0)
+  FROM rp WHERE real_len > 365
+  UNION ALL SELECT sta_num, deliver_type, ord_type, 'ago', 1, greatest(P - 364, 0), greatest(P - 336, 0)
+  FROM rp WHERE real_len > 365
+  UNION ALL SELECT sta_num, deliver_type, ord_type, 'ago', 2, greatest(P - 336, 0), greatest(P - 336 + {w}, 0)
+  FROM rp WHERE real_len > 365),
+arr_vals AS (
+  SELECT r.sta_num, r.deliver_type, r.ord_type, r.block, r.part, p.i - r.lo AS idx, CAST(p.qty AS DOUBLE) AS value
+  FROM ranges r JOIN plong p ON p.sta_num = r.sta_num AND p.deliver_type = r.deliver_type
+   AND p.ord_type = r.ord_type AND p.i >= r.lo AND p.i < r.hi),
+roll AS (
+  SELECT r.sta_num, r.deliver_type, r.ord_type, b.block, 3 AS part, 9 - j.j AS idx,
+         CAST(coalesce(sum(p.qty), 0) AS DOUBLE) AS value
+  FROM rp r CROSS JOIN generate_series(1, 9) j(j) CROSS JOIN (VALUES ('cur', -10), ('ago', -276 + {w})) b(block, e)
+  LEFT JOIN plong p ON p.sta_num = r.sta_num AND p.deliver_type = r.deliver_type AND p.ord_type = r.ord_type
+   AND p.i >= greatest(r.P + b.e - j.j - 7, 0) AND p.i < greatest(r.P + b.e - j.j, 0)
+  WHERE b.block = 'cur' OR r.real_len > 365
+  GROUP BY 1, 2, 3, 4, 5, 6),
+rowfc AS (
+  SELECT sta_num, 'Self' AS deliver_type, 'Normal' AS ord_type, h, fc AS v FROM bfc
+  UNION ALL SELECT sta_num, deliver_type, ord_type, h, v FROM allocf),
+fc_vals AS (
+  SELECT sta_num, deliver_type, ord_type, 'cur' AS block, 1 AS part, h AS idx, v AS value FROM rowfc WHERE h < 28
+  UNION ALL
+  SELECT sta_num, deliver_type, ord_type, 'cur', 2, h - 28, v FROM rowfc WHERE h >= 28 AND h < 28 + {w}),
+blocks AS (SELECT * FROM arr_vals UNION ALL SELECT * FROM roll UNION ALL SELECT * FROM fc_vals)"""
+
+
+def aq(body: str, report: bool = False) -> str:
+    return f"WITH {ctes()}{alloc_ctes()}{report_ctes() if report else ''}\n{body}"
+
+
+SQL.update({
+    "r2_allocate": aq("SELECT sta_num, deliver_type, ord_type, h, round(v, 6) AS value FROM allocf"),
+    "r3_cap": aq("""SELECT DISTINCT sta_num, deliver_type, ord_type, round(total, 6) AS scaled_total,
+        round(r35, 6) AS recent35, total > 2 * r35 AS capped FROM alloc"""),
+    "r4_report_blocks": aq("""SELECT sta_num, deliver_type, ord_type, block, CAST(part AS INTEGER) AS part,
+        CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM blocks""", report=True),
+    "r6_report": q(f"""SELECT CAST(d.n_regionkey + 1 AS VARCHAR) AS region_id, d.r_name AS region_name,
+        d.sta_num AS area_id, d.n_name AS area_name, d.sta_num, d.n_name AS sta_name, {_d(Y)} AS data_date,
+        {_d(Y)} + CAST(7 - (isodow({_d(Y)}) - 1) AS INTEGER) AS next_monday,
+        CASE d.deliver_type WHEN 'Self' THEN '2' WHEN 'FBP' THEN '0' WHEN '3rd' THEN '1' END AS fr_type,
+        CASE d.ord_type WHEN 'Normal' THEN '2' WHEN 'Fresh1' THEN '4' END AS ord_type,
+        '1' AS delivered_flag, d.deliver_type, d.ord_type AS ord_name,
+        datediff('day', d.start_date, {_d(Y)}) + 1 > 365 AS has_year_ago
+        FROM dedup d"""),
+    "w8_actuals": q(f"""SELECT l.sta_num, l.deliver_type, l.ord_type,
+        CAST(datediff('day', {_d(T - dt.timedelta(days=35))}, l.ds) AS INTEGER) AS h, l.qty AS actual
+        FROM long l JOIN series s USING (sta_num, deliver_type, ord_type)
+        WHERE datediff('day', s.start_date, {_d(T - dt.timedelta(days=35))}) >= 0
+          AND datediff('day', s.start_date, {_d(T - dt.timedelta(days=35))}) + 35 <= s.n_days
+          AND l.ds >= {_d(T - dt.timedelta(days=35))} AND l.ds < {_d(T)}"""),
+})

@@ -24,7 +24,9 @@ def params() -> Params:
 
 
 def _series(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
-    return tables.series_from_tables(spark, sf_dir, p)
+    """Series of the driver tables. The adapter always folds days onto the data's own last day (``AS_OF``);
+    a back-test moves only the job's as-of day."""
+    return tables.series_from_tables(spark, sf_dir, params())
 
 
 def _clean_series(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
@@ -238,3 +240,133 @@ REGISTRY.update({
     "j5_training_set": j5_training_set,
     "j5_training_features": j5_training_features,
 })
+
+
+# ---- allocation, report, back-test, models --------------------------------------------------------------------
+
+from ..operators import evaluation as _evaluation, models as _models, report as _report  # noqa: E402
+from . import forecast_job as _fj, train_job as _tj  # noqa: E402
+
+
+def _naive_allocated(spark, sf_dir, p):
+    clean = _clean_series(spark, sf_dir, p)
+    return _fj.allocated(clean, _fj.naive_forecasts(clean, p), p, measure=False)
+
+
+def r2_allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base forecast (seasonal-naive baseline) allocated to the other classes and capped (R2, R3), exploded."""
+    p = params()
+    a = _naive_allocated(spark, sf_dir, p).where(~F.col("is_base"))
+    return (a.select(*KEY, F.posexplode("forecast").alias("h", "value"))
+            .select(*KEY, "h", F.round("value", 6).alias("value")))
+
+
+def r3_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per other class: whether the cap applied, and the scaled forecast total before it."""
+    p = params()
+    a = _naive_allocated(spark, sf_dir, p).where(~F.col("is_base") & F.col("has_base"))
+    factor = allocation.allocation_factor(p)
+    scaled_total = F.aggregate("base_forecast", F.lit(0.0), lambda acc, x: acc + x * factor)
+    recent = F.aggregate(F.slice("qty", -p.cap_days, p.cap_days), F.lit(0.0), lambda acc, x: acc + x)
+    return a.select(*KEY, F.round(scaled_total, 6).alias("scaled_total"), F.round(recent, 6).alias("recent35"),
+                    (scaled_total > p.cap_factor * recent).alias("capped"))
+
+
+def _naive_report(spark, sf_dir, p):
+    clean = _clean_series(spark, sf_dir, p)
+    codes_df = codes.code_dim(spark, tables.region_codes(spark, sf_dir))
+    return _fj.build_report(clean, _fj.naive_forecasts(clean, p), codes_df, p)
+
+
+def r4_report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's value blocks (W9-W13, R4, R5), exploded to (block, part, idx, value)."""
+    p = params()
+    rep = _naive_report(spark, sf_dir, p)
+    ids = [F.col("sta_num"), F.col("deliver_name").alias("deliver_type"), F.col("ord_name").alias("ord_type")]
+    parts = []
+    for block in ("current_block", "year_ago_block"):
+        tag = "cur" if block == "current_block" else "ago"
+        for i, name in enumerate(("recent", "forecast", "week_rest", "rolling")):
+            parts.append(F.struct(F.lit(tag).alias("block"), F.lit(i).alias("part"),
+                                  F.transform(F.col(block)[name], lambda x: x.cast("double")).alias("vals")))
+    return (rep.select(*ids, F.explode(F.array(*parts)).alias("b"))
+            .where(F.col("b.vals").isNotNull())
+            .select("sta_num", "deliver_type", "ord_type", "b.block", "b.part",
+                    F.posexplode("b.vals").alias("idx", "value"))
+            .select("sta_num", "deliver_type", "ord_type", "block", "part", "idx", F.round("value", 6).alias("value")))
+
+
+def r6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report header columns per row (R6, R7: base and other classes together)."""
+    p = params()
+    rep = _naive_report(spark, sf_dir, p)
+    return rep.select("region_id", "region_name", "area_id", "area_name", "sta_num", "sta_name", "data_date",
+                      "next_monday", "fr_type", "ord_type", "delivered_flag",
+                      F.col("deliver_name").alias("deliver_type"), F.col("ord_name").alias("ord_name"),
+                      F.col("year_ago_block").isNotNull().alias("has_year_ago"))
+
+
+def w8_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual quantities of the 35 days from a back-test day (``T - 35``), for complete series."""
+    p = params().with_(as_of=AS_OF - dt.timedelta(days=35))
+    a = _evaluation.actuals(_series(spark, sf_dir, p), p)
+    return a.select(*KEY, F.posexplode("actual").alias("h", "actual"))
+
+
+# Small-model settings of the registered model queries (production: GbtParams() = 1000 rounds, depth 15).
+from ..params import GbtParams as _Gbt  # noqa: E402
+
+QUERY_GBT = _Gbt(max_iter=10, max_depth=5)
+
+
+def _trained(spark, sf_dir, p):
+    """Train on the tables (models filed under this week's Sunday) and return inputs for scoring a week later."""
+    from ..session import shared_dir
+
+    s, ref = _inputs(spark, sf_dir, p)
+    root = shared_dir(spark, "models")
+    _tj.run(spark, s, ref, p, root, parallel_fits=8)
+    return s, ref, root
+
+
+def m4_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """35-day model forecast per station (M3-M6, A11): trained as of ``T - 7``, scored as of ``T``."""
+    p = params().with_(gbt=QUERY_GBT)
+    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    clean = _fj.clean_series(s, p)
+    fc = _fj.model_forecasts(clean, ref, p, root)
+    return fc.select("sta_num", F.posexplode("forecast").alias("h", "forecast"))
+
+
+def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Back-test at ``T - 35``: per-horizon RMSE of the model and of the seasonal-naive baseline (W8, S5.5)."""
+    p = params().with_(as_of=AS_OF - dt.timedelta(days=35), gbt=QUERY_GBT)
+    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    clean = _fj.clean_series(s, p)
+    model_fc = _fj.model_forecasts(clean, ref, p, root)
+    naive_fc = _fj.naive_forecasts(clean, p)
+    act = _evaluation.actuals(ser.base_class(clean, p), p).select("sta_num", "actual")
+    m = _evaluation.rmse(model_fc, act).withColumnRenamed("rmse", "rmse_model")
+    b = _evaluation.rmse(naive_fc, act).select("horizon", F.col("rmse").alias("rmse_naive"))
+    return m.join(b, "horizon")
+
+
+def r7_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published text lines of the model forecast run."""
+    p = params().with_(gbt=QUERY_GBT)
+    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    codes_df = codes.code_dim(spark, tables.region_codes(spark, sf_dir))
+    rep = _fj.run(spark, s, ref, codes_df, p, root)
+    return _report.report_text(rep)
+
+
+REGISTRY.update({
+    "r2_allocate": r2_allocate,
+    "r3_cap": r3_cap,
+    "r4_report_blocks": r4_report_blocks,
+    "r6_report": r6_report,
+    "w8_actuals": w8_actuals,
+    "m4_forecast": m4_forecast,
+    "m4_backtest": m4_backtest,
+    "r7_report_text": r7_report_text,
+})
