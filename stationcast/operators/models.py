@@ -58,12 +58,14 @@ def fit_models(spark: SparkSession, train_path: str, p: Params, model_root: str,
         return dict(pool.map(one, range(p.fr_len)))
 
 
-def load_models(model_root: str, model_date: dt.date, fr_len: int) -> list[GBTRegressionModel | None]:
-    out = []
-    for h in range(fr_len):
+def load_models(model_root: str, model_date: dt.date, fr_len: int, parallel: int = 8) -> list[GBTRegressionModel | None]:
+    """The ``fr_len`` models of a model date, loaded concurrently (each load is a few small reads)."""
+    def one(h: int):
         path = model_path(model_root, model_date, h)
-        out.append(GBTRegressionModel.load(path) if os.path.exists(path) or "://" in path else None)
-    return out
+        return GBTRegressionModel.load(path) if os.path.exists(path) or "://" in path else None
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(one, range(fr_len)))
 
 
 def score(features: DataFrame, models: list[GBTRegressionModel | None], out: str = "forecast") -> DataFrame:

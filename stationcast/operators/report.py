@@ -55,8 +55,8 @@ def blocks(padded: Column, forecast: Column, p: Params) -> tuple[Column, Column]
 
 def report_rows(rows: DataFrame, codes: DataFrame, p: Params) -> DataFrame:
     """Typed report (R6) from series rows that carry a ``forecast`` column (NULL = no forecast)."""
-    df = code_dim.encode(rows, codes, "deliver", "deliver_type", "fr_type")
-    df = code_dim.encode(df, codes, "ord", "ord_type", "ord_code")
+    df = code_dim.encode(rows, None, "deliver", "deliver_type", "fr_type")
+    df = code_dim.encode(df, None, "ord", "ord_type", "ord_code")
     df = code_dim.encode(df, codes, "region", "region_name", "region_id")
     cur, ago = blocks(padded_history(p), F.col("forecast"), p)
     return df.select(

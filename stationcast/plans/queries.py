@@ -95,8 +95,8 @@ def p4_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = params()
     s = _clean_series(spark, sf_dir, p)
     dim = codes.code_dim(spark, tables.region_codes(spark, sf_dir))
-    s = codes.encode(s, dim, "deliver", "deliver_type", "fr_type")
-    s = codes.encode(s, dim, "ord", "ord_type", "ord_code")
+    s = codes.encode(s, None, "deliver", "deliver_type", "fr_type")
+    s = codes.encode(s, None, "ord", "ord_type", "ord_code")
     s = codes.encode(s, dim, "region", "region_name", "region_id")
     return s.select(*KEY, "region_name", "fr_type", "ord_code", "region_id")
 

@@ -12,7 +12,10 @@ from ..session import shared_dir
 def write_training_set(series: DataFrame, ref: DataFrame, p: Params, path: str) -> str:
     """Materialise the training set (``partitionBy('horizon')``); it is read by 35 fits, so it is written to
     the shared folder once instead of being recomputed per fit."""
-    training.training_set(series, ref, p).write.mode("overwrite").partitionBy("horizon").parquet(path)
+    ts = training.training_set(series, ref, p)
+    # hash by (horizon, station): each horizon spreads over many writers at scale, and AQE coalesces the
+    # shuffle to a few files per horizon when the set is small (fewer, larger splits per fit)
+    ts.repartition("horizon", "sta_num").write.mode("overwrite").partitionBy("horizon").parquet(path)
     return path
 
 

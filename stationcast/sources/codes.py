@@ -16,25 +16,50 @@ ORDER_ALIASES = [("普通", "2")]
 
 SCHEMA = "kind string, alias string, code string"
 
+FIXED = {"deliver": DELIVER_CODES + DELIVER_ALIASES, "ord": ORDER_CODES + ORDER_ALIASES, "region": REGION_CODES}
+
+
+def _values_sql(rows) -> str:
+    def q(v):
+        return "'" + str(v).replace("'", "''") + "'"
+    return ", ".join(f"({q(k)}, {q(a)}, {q(c)})" for k, a, c in rows)
+
 
 def code_dim(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame:
-    """``(kind, alias, code)`` rows; ``extra`` adds rows of the same schema (e.g. region names of a dataset)."""
-    rows = ([("deliver", a, c) for a, c in DELIVER_CODES + DELIVER_ALIASES]
-            + [("ord", a, c) for a, c in ORDER_CODES + ORDER_ALIASES]
-            + [("region", a, c) for a, c in REGION_CODES])
-    dim = spark.createDataFrame(rows, SCHEMA)
+    """``(kind, alias, code)`` rows; ``extra`` adds rows of the same schema (e.g. region names of a dataset).
+
+    The fixed rows are an inline ``VALUES`` relation (planned on the driver, no scan).
+    """
+    rows = [(kind, a, c) for kind, pairs in FIXED.items() for a, c in pairs]
+    dim = spark.sql(f"SELECT * FROM VALUES {_values_sql(rows)} AS t(kind, alias, code)")
     return dim.unionByName(extra) if extra is not None else dim
 
 
-def encode(df: DataFrame, codes: DataFrame, kind: str, col: str, out: str) -> DataFrame:
-    """Add ``out`` = code of ``df[col]`` of the given kind; NULL for an unknown name (see ``quarantined``).
+def fixed_code(kind: str, col: Column) -> Column:
+    """Code of a fixed name as a literal-map lookup (no join); NULL when unknown."""
+    m = F.create_map(*[F.lit(x) for a, c in FIXED[kind] for x in (a, c)])
+    return F.try_element_at(m, col)
 
-    The code table is a dimension of a few dozen rows, so it is broadcast.
+
+def encode(df: DataFrame, codes: DataFrame | None, kind: str, col: str, out: str) -> DataFrame:
+    """Add ``out`` = code of ``df[col]``; NULL for an unknown name (see ``quarantined``).
+
+    Fixed names resolve through a literal map. Names that only the dataset knows (``codes`` rows beyond the
+    fixed ones, e.g. a region table) are joined; such a table is a dimension (a region table has a few rows at
+    any scale), so it is broadcast.
     """
-    lookup = (codes.where(F.col("kind") == kind)
-              .groupBy("alias").agg(F.min("code").alias(out))
-              .withColumnRenamed("alias", col))
-    return df.join(F.broadcast(lookup), col, "left")
+    code = fixed_code(kind, F.col(col))
+    if codes is None:
+        return df.withColumn(out, code)
+    fixed = spark_fixed_aliases(kind)
+    lookup = (codes.where((F.col("kind") == kind) & ~F.col("alias").isin(*fixed))
+              .select(F.col("alias").alias("_alias"), F.col("code").alias("_code")))
+    joined = df.join(F.broadcast(lookup), df[col] == lookup["_alias"], "left")
+    return joined.withColumn(out, F.coalesce(code, F.col("_code"))).drop("_alias", "_code")
+
+
+def spark_fixed_aliases(kind: str) -> list[str]:
+    return [a for a, _ in FIXED[kind]]
 
 
 def quarantined(df: DataFrame, code_cols: list[str]) -> Column:

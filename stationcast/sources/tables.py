@@ -30,8 +30,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lookup(spark: SparkSession, pairs, key: str, val: str) -> DataFrame:
-    return spark.createDataFrame(pairs, f"{key} string, {val} string")
+def _lookup(pairs, col: str):
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in pairs for x in pair]), F.col(col))
 
 
 def daily_quantities(spark: SparkSession, sf_dir: str, p: Params, fold_days: int = FOLD_DAYS) -> DataFrame:
@@ -70,14 +70,13 @@ def series_from_tables(spark: SparkSession, sf_dir: str, p: Params, fold_days: i
 
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
-    flags = _lookup(spark, DELIVER_OF_FLAG, "l_returnflag", "deliver_type")
-    status = _lookup(spark, ORDER_OF_STATUS, "l_linestatus", "ord_type")
-    # nation (25 rows), region (5 rows) and the class tables are fixed-size dimensions: broadcast.
+    # nation (25 rows) and region (5 rows) are fixed-size dimensions at every scale factor: broadcast.
     out = (packed
            .join(F.broadcast(nation), packed.s_nationkey == nation.n_nationkey)
            .join(F.broadcast(region), "n_regionkey")
-           .join(F.broadcast(flags), "l_returnflag")
-           .join(F.broadcast(status), "l_linestatus"))
+           .withColumn("deliver_type", _lookup(DELIVER_OF_FLAG, "l_returnflag"))
+           .withColumn("ord_type", _lookup(ORDER_OF_STATUS, "l_linestatus"))
+           .where(F.col("deliver_type").isNotNull() & F.col("ord_type").isNotNull()))
     key = F.col("s_nationkey").cast("string")
     city = F.col("n_regionkey").cast("string")
     return out.select(
