@@ -33,21 +33,27 @@ def regressor(g: GbtParams) -> GBTRegressor:
         cacheNodeIds=True, seed=g.seed)
 
 
-def fit_horizon(train: DataFrame, horizon: int, g: GbtParams) -> GBTRegressionModel | None:
-    rows = train.where(F.col("horizon") == horizon).select("features", "label")
+def fit_horizon(rows: DataFrame, g: GbtParams) -> GBTRegressionModel | None:
+    """Fit one regressor on ``(features, label)`` rows; None when there is no row."""
     if rows.isEmpty():
         return None
     return regressor(g).fit(rows)
 
 
-def fit_models(spark: SparkSession, train_path: str, p: Params, model_root: str,
+def fit_models(spark: SparkSession, table_path: str, p: Params, model_root: str,
                parallel_fits: int = 4) -> dict[int, str]:
-    """Fit and save the ``fr_len`` models under this week's Sunday (M5); returns ``{horizon: path}``."""
-    train = spark.read.parquet(train_path)
+    """Fit and save the ``fr_len`` models under this week's Sunday (M5); returns ``{horizon: path}``.
+
+    ``table_path`` holds the feature table written by ``train_job`` (partitioned by ``pre_end``); each
+    horizon reads only the ``iter_count`` feature days it trains on.
+    """
+    from .training import horizon_rows
+
+    table = spark.read.parquet(table_path)
     model_date = model_date_for_training(p.as_of)
 
     def one(h: int):
-        model = fit_horizon(train, h, p.gbt)
+        model = fit_horizon(horizon_rows(table, h, p), p.gbt)
         if model is None:
             return h, None
         path = model_path(model_root, model_date, h)

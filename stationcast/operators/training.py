@@ -70,3 +70,30 @@ def training_set(series: DataFrame, ref: DataFrame, p: Params, measured: bool =
     rows = with_feature_vector(training_rows(series, ref, p, measured))
     return rows.select("horizon", "label_date", "sta_num", "path", "features",
                        F.col("label").cast("double").alias("label"))
+
+
+def horizon_labels(p: Params) -> Column:
+    """The ``fr_len`` labels of a feature row: ``qty`` at ``pre_end + 1 + stable_days + h``, ``h = 0 ..``."""
+    gap = 1 + p.stable_days
+    return F.transform(F.sequence(F.lit(0), F.lit(p.fr_len - 1)),
+                       lambda h: label_at(F.date_add("pre_end", (h + gap).cast("int"))))
+
+
+def feature_table(series: DataFrame, ref: DataFrame, p: Params, measured: bool = True) -> DataFrame:
+    """``(pre_end, sta_num, path, features, labels)``: one row per (series, feature day), with the label of
+    every horizon as an array. The training set of horizon ``h`` is a filter and a projection of this table
+    (``horizon_rows``), so the ``fr_len x iter_count`` fan-out is never written."""
+    rows = attach_city_reference(feature_days(training_series(series, p), p), ref, measured)
+    feats = with_feature_vector(history_features(rows, p))
+    return feats.select("pre_end", "sta_num", "path", "features", horizon_labels(p).alias("labels"))
+
+
+def horizon_rows(table: DataFrame, horizon: int, p: Params) -> DataFrame:
+    """Training rows of one horizon from ``feature_table``: the ``iter_count`` feature days whose label day is
+    a label day (a range on ``pre_end``, pruned to partitions when the table is partitioned by it), and
+    positive labels only."""
+    first_l, last_l = label_days(p)
+    gap = dt.timedelta(days=1 + p.stable_days + horizon)
+    rows = table.where(F.col("pre_end").between(F.lit(first_l - gap), F.lit(last_l - gap)))
+    return (rows.select("features", F.col("labels")[horizon].cast("double").alias("label"))
+            .where(F.col("label") > 0))

@@ -1,4 +1,4 @@
-"""Training job: series -> training set (written once, partitioned by horizon) -> one model per horizon."""
+"""Training job: series -> feature table (written once, partitioned by feature day) -> one model per horizon."""
 
 from __future__ import annotations
 
@@ -9,17 +9,19 @@ from ..params import Params
 from ..session import shared_dir
 
 
-def write_training_set(series: DataFrame, ref: DataFrame, p: Params, path: str) -> str:
-    """Materialise the training set (``partitionBy('horizon')``); it is read by 35 fits, so it is written to
-    the shared folder once instead of being recomputed per fit."""
-    ts = training.training_set(series, ref, p)
-    # hash by (horizon, station): each horizon spreads over many writers at scale, and AQE coalesces the
-    # shuffle to a few files per horizon when the set is small (fewer, larger splits per fit)
-    ts.repartition("horizon", "sta_num").write.mode("overwrite").partitionBy("horizon").parquet(path)
+def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str) -> str:
+    """Materialise the feature table in the shared folder: the 35 fits all read it, so it is computed once.
+
+    Partitioned by ``pre_end`` (62 days): a horizon's fit prunes to its 28 days. Rows are hashed by
+    ``(pre_end, sta_num)`` first, so a day spreads over many writers at scale and AQE merges the files of a
+    small run.
+    """
+    table = training.feature_table(series, ref, p)
+    table.repartition("pre_end", "sta_num").write.mode("overwrite").partitionBy("pre_end").parquet(path)
     return path
 
 
 def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str,
         parallel_fits: int = 4) -> dict[int, str]:
-    path = write_training_set(series, ref, p, shared_dir(spark, "training_set"))
+    path = write_feature_table(series, ref, p, shared_dir(spark, "feature_table"))
     return models.fit_models(spark, path, p, model_root, parallel_fits)

@@ -58,3 +58,17 @@ def test_train_then_forecast(spark, p):
     assert len(base) == 3 and all(x is not None for x in base)
     assert len(got[("1", "FBP")].current_block.forecast) == 3
     assert spark.read.text(f"{out}/{small.as_of.isoformat()}").count() == 10
+
+
+def test_feature_table_equals_fanout(spark, p):
+    """Per horizon, the rows selected from the feature table equal the fan-out training set."""
+    qty = [1 + (i * 7) % 5 for i in range(499)]
+    rows = [series_row(sta=str(k), start=days(500 - k), qty=[q + k for q in qty[k:]]) for k in range(3)]
+    s = make_series(spark, rows)
+    ref = make_ref(spark, [("1", "1", qty + [1], days(500))])
+    fan = training.training_set(s, ref, p, measured=False)
+    table = training.feature_table(s, ref, p, measured=False)
+    for h in (0, 17, 34):
+        a = sorted((tuple(r.features.toArray()), r.label) for r in fan.where(F.col("horizon") == h).collect())
+        b = sorted((tuple(r.features.toArray()), r.label) for r in training.horizon_rows(table, h, p).collect())
+        assert a == b and len(a) > 0
