@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import array_dsum, pad_to, py_slice, trailing_sum
+from ..functions.arrays import array_dsum, let, pad_to, py_slice, trailing_sum
 from ..params import Params
 from .series import base_class, is_base, other_classes
 
@@ -16,7 +16,7 @@ def sum_recent(p: Params) -> Column:
     The pad target is one day shorter than the report's (SURVEY Q5), kept as published.
     """
     padded = pad_to(F.col("qty"), F.datediff(F.lit(p.yesterday), "start_date"))
-    return trailing_sum(padded, p.recent_days)
+    return let(padded, lambda a: trailing_sum(a, p.recent_days))
 
 
 def ratio_expr(sum_col: Column, base_col: Column) -> Column:

@@ -116,7 +116,12 @@ def with_feature_vector(df: DataFrame, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.concat(F.col("hist"), F.array(*ids))))
 
 
+FEATURE_INPUT = ["sta_num", "start_date", "qty", "province_id", "city_id", "county_id"]
+
+
 def forecast_features(series: DataFrame, ref: DataFrame, p: Params, measured: bool = True) -> DataFrame:
-    """Feature rows as of ``p.as_of`` (``pre_end = T - 8``) for the given (base-class) series."""
-    rows = attach_city_reference(series.withColumn("pre_end", F.lit(p.forecast_pre_end)), ref, measured)
+    """Feature rows as of ``p.as_of`` (``pre_end = T - 8``) for the given (base-class) series, pruned to the
+    columns the features need."""
+    rows = attach_city_reference(series.select(*FEATURE_INPUT).withColumn("pre_end", F.lit(p.forecast_pre_end)),
+                                 ref, measured)
     return history_features(rows, p)

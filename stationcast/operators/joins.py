@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 _ROW_OVERHEAD = 64  # bytes per row besides array payloads, a generous estimate for a few short columns
 
 
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
 def broadcast_limit(spark) -> int:
-    """The session's broadcast threshold (``spark.sql.autoBroadcastJoinThreshold``), 10 MB when unset or off."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    """The session's broadcast threshold (``spark.sql.autoBroadcastJoinThreshold``); 0 when broadcasting is
+    switched off (a negative setting)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    num = raw.rstrip("bkmg")
+    unit = raw[len(num):] or "b"
     try:
-        v = int(str(raw).lower().replace("b", ""))
+        v = int(float(num) * _UNITS.get(unit, 1))
     except ValueError:
-        v = 10485760
-    return v if v > 0 else 10485760
+        v = 10 << 20
+    return max(v, 0)
 
 
 def estimated_bytes(df: DataFrame, array_cols: tuple[str, ...] = (), elem_bytes: int = 8) -> int:
@@ -33,4 +39,6 @@ def sized_broadcast(df: DataFrame, array_cols: tuple[str, ...] = (), limit: int
     Call it on a materialised (checkpointed) or cheap frame: the measurement is a job over ``df``.
     """
     lim = broadcast_limit(df.sparkSession) if limit is None else limit
+    if lim <= 0:
+        return df
     return F.broadcast(df) if estimated_bytes(df, array_cols) <= lim else df

@@ -33,11 +33,20 @@ def regressor(g: GbtParams) -> GBTRegressor:
         cacheNodeIds=True, seed=g.seed)
 
 
+ROWS_PER_PARTITION = 200_000  # ~150 MB of 93-double feature rows per boosting partition
+
+
 def fit_horizon(rows: DataFrame, g: GbtParams) -> GBTRegressionModel | None:
-    """Fit one regressor on ``(features, label)`` rows; None when there is no row."""
-    if rows.isEmpty():
+    """Fit one regressor on ``(features, label)`` rows; None when there is no row.
+
+    Boosting runs a job per tree level, so the input's partition count is sized from its row count: a small
+    horizon trains in one partition, a large one in partitions of ``ROWS_PER_PARTITION`` rows.
+    """
+    n = rows.count()
+    if n == 0:
         return None
-    return regressor(g).fit(rows)
+    parts = max(1, -(-n // ROWS_PER_PARTITION))
+    return regressor(g).fit(rows.coalesce(parts))
 
 
 def fit_models(spark: SparkSession, table_path: str, p: Params, model_root: str,

@@ -58,7 +58,9 @@ def report_rows(rows: DataFrame, codes: DataFrame, p: Params) -> DataFrame:
     df = code_dim.encode(rows, None, "deliver", "deliver_type", "fr_type")
     df = code_dim.encode(df, None, "ord", "ord_type", "ord_code")
     df = code_dim.encode(df, codes, "region", "region_name", "region_id")
-    cur, ago = blocks(padded_history(p), F.col("forecast"), p)
+    # the padded history feeds eight slices: computed once as a column (not inlined into each slice)
+    df = df.withColumn("_padded", padded_history(p))
+    cur, ago = blocks(F.col("_padded"), F.col("forecast"), p)
     return df.select(
         "region_id", "region_name", "area_id", "area_name", "sta_num", "sta_name",
         F.lit(p.yesterday).alias("data_date"), F.lit(next_monday(p.yesterday)).alias("next_monday"),

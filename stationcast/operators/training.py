@@ -41,6 +41,15 @@ def training_series(series: DataFrame, p: Params) -> DataFrame:
     return base
 
 
+FEATURE_INPUT = ["sta_num", "deliver_type", "ord_type", "start_date", "qty", "province_id", "city_id", "county_id"]
+
+
+def feature_inputs(series: DataFrame, ref: DataFrame, p: Params, measured: bool = True) -> DataFrame:
+    """Training series pruned to the feature inputs, with the city reference attached once per series (before
+    the feature days multiply the rows)."""
+    return attach_city_reference(training_series(series, p).select(*FEATURE_INPUT), ref, measured)
+
+
 def feature_days(series: DataFrame, p: Params) -> DataFrame:
     """One row per (series, ``pre_end``) whose nine offsets are all positive (F4): the series starts before
     the earliest window."""
@@ -52,8 +61,7 @@ def feature_days(series: DataFrame, p: Params) -> DataFrame:
 
 def training_rows(series: DataFrame, ref: DataFrame, p: Params, measured: bool = True) -> DataFrame:
     """``(horizon, label_date, pre_end, sta_num, path, hist, label, …)`` rows with a positive label."""
-    rows = attach_city_reference(feature_days(training_series(series, p), p), ref, measured)
-    feats = history_features(rows, p)
+    feats = history_features(feature_days(feature_inputs(series, ref, p, measured), p), p)
     first_l, last_l = label_days(p)
     gap = 1 + p.stable_days
     h_lo = F.greatest(F.lit(0), F.datediff(F.lit(first_l), "pre_end") - gap)
@@ -83,8 +91,7 @@ def feature_table(series: DataFrame, ref: DataFrame, p: Params, measured: bool =
     """``(pre_end, sta_num, path, features, labels)``: one row per (series, feature day), with the label of
     every horizon as an array. The training set of horizon ``h`` is a filter and a projection of this table
     (``horizon_rows``), so the ``fr_len x iter_count`` fan-out is never written."""
-    rows = attach_city_reference(feature_days(training_series(series, p), p), ref, measured)
-    feats = with_feature_vector(history_features(rows, p))
+    feats = with_feature_vector(history_features(feature_days(feature_inputs(series, ref, p, measured), p), p))
     return feats.select("pre_end", "sta_num", "path", "features", horizon_labels(p).alias("labels"))
 
 

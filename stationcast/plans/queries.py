@@ -229,8 +229,7 @@ def j5_training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of every (series, feature day) used by the training set, exploded (W4-W6 at 62 days)."""
     p = params()
     s, ref = _inputs(spark, sf_dir, p)
-    rows = _features.attach_city_reference(_training.feature_days(_training.training_series(s, p), p), ref)
-    f = _features.history_features(rows, p)
+    f = _features.history_features(_training.feature_days(_training.feature_inputs(s, ref, p), p), p)
     return (f.select("sta_num", "pre_end", "path", F.posexplode("hist").alias("idx", "value"))
             .select("sta_num", "pre_end", "path", "idx", F.round("value", 6).alias("value")))
 
@@ -249,8 +248,8 @@ from . import forecast_job as _fj, train_job as _tj  # noqa: E402
 
 
 def _naive_allocated(spark, sf_dir, p):
-    clean = _clean_series(spark, sf_dir, p)
-    return _fj.allocated(clean, _fj.naive_forecasts(clean, p), p, measure=False)
+    clean = _fj.clean_series(_series(spark, sf_dir, p), p)
+    return _fj.allocated(clean, _fj.naive_forecasts(clean, p), p)
 
 
 def r2_allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +272,7 @@ def r3_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _naive_report(spark, sf_dir, p):
-    clean = _clean_series(spark, sf_dir, p)
+    clean = _fj.clean_series(_series(spark, sf_dir, p), p)
     codes_df = codes.code_dim(spark, tables.region_codes(spark, sf_dir))
     return _fj.build_report(clean, _fj.naive_forecasts(clean, p), codes_df, p)
 
@@ -325,7 +324,7 @@ def _trained(spark, sf_dir, p):
 
     s, ref = _inputs(spark, sf_dir, p)
     root = shared_dir(spark, "models")
-    _tj.run(spark, s, ref, p, root, parallel_fits=8)
+    _tj.run(spark, s, ref, p, root, parallel_fits=p.fr_len)
     return s, ref, root
 
 
