@@ -373,3 +373,16 @@ SQL.update({
           AND datediff('day', s.start_date, {_d(T - dt.timedelta(days=35))}) + 35 <= s.n_days
           AND l.ds >= {_d(T - dt.timedelta(days=35))} AND l.ds < {_d(T)}"""),
 })
+
+
+SQL.update({
+    "s1_series_text": q(f"""SELECT s.sta_num, s.deliver_type, s.ord_type, s.r_name AS region_name,
+        CAST(s.n_regionkey AS VARCHAR) AS city_id, s.start_date, CAST(s.n_days AS INTEGER) AS n_days,
+        CAST(sum(l.qty) AS BIGINT) AS qty_total
+        FROM series s JOIN long l USING (sta_num, deliver_type, ord_type) GROUP BY 1, 2, 3, 4, 5, 6, 7"""),
+    "j3_city_ref": fq(forecast_rows, "frows", """SELECT c.city_id, c.std_sta AS std_sta_num, c.ref_start,
+        CAST(s.n_days AS INTEGER) AS n_days, CAST(sum(l.qty) AS BIGINT) AS qty_total
+        FROM cref c JOIN series s ON s.sta_num = c.std_sta AND s.deliver_type = 'Self' AND s.ord_type = 'Normal'
+        JOIN long l ON l.sta_num = s.sta_num AND l.deliver_type = s.deliver_type AND l.ord_type = s.ord_type
+        GROUP BY 1, 2, 3, 4"""),
+})

@@ -103,6 +103,19 @@ def clean_window(src: Column, lo: Column, hi: Column) -> Column:
     return F.when((lo >= 0) & (hi >= 0), let(py_slice(src, lo, hi), clean_values))
 
 
+def scale_crossmean(x: Column, y: Column) -> Column:
+    """Mean over all pairs ``(a in x, b in y)`` of ``a / b`` when ``b > 0``, else 1, in closed form.
+
+    ``(sum(x) * sum_{b>0} 1/b + |x| * #{b <= 0}) / (|x| * |y|)``: linear instead of a ``|x| * |y|`` product.
+    """
+    nx = F.size(x).cast("double")
+    ny = F.size(y).cast("double")
+    sx = F.aggregate(x, F.lit(0.0), lambda a, v: a + v.cast("double"))
+    inv = F.aggregate(F.filter(y, lambda b: b > 0), F.lit(0.0), lambda a, b: a + 1.0 / b.cast("double"))
+    nonpos = F.size(F.filter(y, lambda b: b <= 0)).cast("double")
+    return F.when((nx > 0) & (ny > 0), (sx * inv + nx * nonpos) / (nx * ny))
+
+
 def rolling_week_sums(arr: Column, end_offset: Column | int, count: int = 9, width: int = 7) -> Column:
     """``count`` sums of ``width`` consecutive days, one-day stride, oldest first.
 

@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import array_sum, clean_window, let, py_slice
+from ..functions.arrays import array_sum, clean_window, let, py_slice, scale_crossmean
 from ..functions.dates import WINDOWS, window_bounds
 from ..params import Params
 from .joins import sized_broadcast
@@ -62,14 +62,21 @@ def _fallback(pos: dict, p: Params) -> Column:
     """Raw own recent window ++ the reference's year-ago windows divided by the volume ratio, or NULL."""
     shift = F.datediff("start_date", "ref_start")
     ref_his_lo, ref_hp_lo = pos["his"][0] + shift, pos["his_pre"][0] + shift
-    parts = F.struct(py_slice(F.col("qty"), *pos["pre"]).alias("own"),
+    ref_pre = py_slice(F.col("ref_qty"), pos["pre"][0] + shift, pos["pre"][1] + shift)
+    parts = F.struct(py_slice(F.col("qty"), *pos["pre"]).alias("own"), ref_pre.alias("rpre"),
                      py_slice(F.col("ref_qty"), ref_his_lo, pos["his"][1] + shift).alias("his"),
                      py_slice(F.col("ref_qty"), ref_hp_lo, pos["his_pre"][1] + shift).alias("hp"))
 
     def build(b):
         own_sum = array_sum(b["own"])
-        # divisor = sum(reference year-ago-pre window) / sum(own recent window); 0 when the station sold nothing
-        div = F.when(own_sum != 0, array_sum(b["hp"]).cast("double") / own_sum.cast("double")).otherwise(F.lit(0.0))
+        if p.fallback_scale == "crossmean":
+            # Mean pairwise ratio of the reference's and the station's recent windows
+            div = F.coalesce(scale_crossmean(b["rpre"], b["own"]), F.lit(0.0))
+        else:
+            # divisor = sum(reference year-ago-pre window) / sum(own recent window); 0 when the station sold
+            # nothing
+            div = F.when(own_sum != 0, array_sum(b["hp"]).cast("double") / own_sum.cast("double")).otherwise(
+                F.lit(0.0))
 
         def scaled(d):
             return F.concat(

@@ -51,6 +51,7 @@ class Params:
     align_city_by_date: bool = True     # Q2: False indexes the city series with the station's own offsets
     ratio_one_is_zero: bool = False     # Q4: True also zeroes a genuine ratio of exactly 1.0
     train_fresh_dedupe: bool = False    # Q8: the training job reads series without freshness or dedupe
+    fallback_scale: str = "volume"      # Q3: "crossmean" divides by the mean pairwise ratio (A7) instead
     gbt: GbtParams = field(default_factory=GbtParams)
 
     # ---- derived days -------------------------------------------------------------------------

@@ -369,3 +369,38 @@ REGISTRY.update({
     "m4_backtest": m4_backtest,
     "r7_report_text": r7_report_text,
 })
+
+
+# ---- text sources (the published input formats) -------------------------------------------------------------------
+
+from ..sources import series_text as _text  # noqa: E402
+
+
+def s1_series_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series written in the packed text format (two source types) and read back with partition pruning
+    (S1, P1-P3): the forecast source's rows, one summary row per series."""
+    from ..session import shared_dir
+
+    p = params()
+    root = shared_dir(spark, "series_text")
+    s = _series(spark, sf_dir, p)
+    _text.write_series(s, root, p.forecast_source)
+    _text.write_series(ser.base_class(s, p), root, p.train_source, mode="append")
+    back = _text.read_series(spark, root, p.forecast_source, p.date_type)
+    return back.select(*KEY, "region_name", "city_id", "start_date", F.size("qty").alias("n_days"),
+                       F.aggregate("qty", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("qty_total"))
+
+
+def j3_city_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City reference written as ``#`` text and read back, one row per city."""
+    from ..session import shared_dir
+
+    p = params()
+    path = shared_dir(spark, "city_reference")
+    _text.city_reference_text(_city_ref(spark, sf_dir, p)).write.mode("overwrite").text(path)
+    r = _text.read_city_reference(spark, path)
+    return r.select("city_id", "std_sta_num", "ref_start", F.size("ref_qty").alias("n_days"),
+                    F.aggregate("ref_qty", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("qty_total"))
+
+
+REGISTRY.update({"s1_series_text": s1_series_text, "j3_city_ref": j3_city_ref})

@@ -94,3 +94,14 @@ def test_rolling_week_sums_match_python(spark):
         t = a[:-10]
         want = list(reversed([sum(t[-k - 7:-k]) for k in range(1, 10)]))
         assert got[i] == want, a
+
+
+def test_scale_crossmean_closed_form(spark):
+    rnd = random.Random(11)
+    cases = [([rnd.randint(0, 9) for _ in range(rnd.randint(1, 12))],
+              [rnd.randint(-1, 9) for _ in range(rnd.randint(1, 12))]) for _ in range(200)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(cases)], "i int, x array<bigint>, y array<bigint>")
+    got = {r.i: r.v for r in df.select("i", A.scale_crossmean(F.col("x"), F.col("y")).alias("v")).collect()}
+    for i, (x, y) in enumerate(cases):
+        want = float(np.mean([a / float(b) if b > 0 else 1 for a in x for b in y]))
+        assert abs(got[i] - want) < 1e-12 * max(1.0, abs(want)), (x, y)

@@ -84,3 +84,12 @@ def test_feature_vector(spark, p):
                                                                   province_id="2.0", county_id="7")]),
                                    make_ref(spark, [("1", "100", _wave(500), days(500))]), p, measured=False)).first()
     assert got.features.size == 93 and list(got.features.toArray()[-3:]) == [2.0, 1.0, 7.0]
+
+
+def test_fallback_crossmean_option(spark, p):
+    ref = [("1", "100", [2] * 500, days(500))]
+    rows = [series_row(sta="5", start=days(200), qty=[4] * 199)]
+    got = features.forecast_features(make_series(spark, rows), make_ref(spark, ref),
+                                     p.with_(fallback_scale="crossmean"), measured=False).first()
+    # mean pairwise ratio 2/4 = 0.5 -> reference values 2 / 0.5 = 4
+    assert got.path == "fallback" and got.hist == [4.0] * 90
