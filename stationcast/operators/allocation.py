@@ -27,12 +27,17 @@ def ratio_expr(sum_col: Column, base_col: Column) -> Column:
 def class_ratio(series: DataFrame, p: Params) -> DataFrame:
     """``(sta_num, deliver_type, ord_type, sum60, base60, ratio)`` for every non-base class.
 
-    ``series`` is fresh and deduplicated. Classes of a station without a base-class row get no ratio (inner
-    join, F11).
+    ``series`` is fresh and deduplicated. Classes of a station without a base-class row get no ratio (F11).
+    The base sum reaches the other classes through a window over ``sta_num`` on a narrow projection (no
+    arrays): one exchange, and each window group holds one row per class.
     """
-    other = other_classes(series, p).select("sta_num", "deliver_type", "ord_type", sum_recent(p).alias("sum60"))
-    base = base_class(series, p).select("sta_num", sum_recent(p).alias("base60"))
-    return (other.join(base, "sta_num", "inner")
+    from pyspark.sql.window import Window
+
+    narrow = series.select("sta_num", "deliver_type", "ord_type", sum_recent(p).alias("sum60"),
+                           is_base(p).alias("is_base"))
+    w = Window.partitionBy("sta_num")
+    return (narrow.withColumn("base60", F.max(F.when(F.col("is_base"), F.col("sum60"))).over(w))
+            .where(~F.col("is_base") & F.col("base60").isNotNull())
             .select("sta_num", "deliver_type", "ord_type", "sum60", "base60",
                     ratio_expr(F.col("sum60"), F.col("base60")).alias("ratio")))
 

@@ -77,7 +77,15 @@ def load_models(model_root: str, model_date: dt.date, fr_len: int, parallel: int
     """The ``fr_len`` models of a model date, loaded concurrently (each load is a few small reads)."""
     def one(h: int):
         path = model_path(model_root, model_date, h)
-        return GBTRegressionModel.load(path) if os.path.exists(path) or "://" in path else None
+        if "://" not in path and path.startswith("/") and os.path.isdir(os.path.dirname(path)) \
+                and not os.path.exists(path):
+            return None   # a local folder without this horizon (no training row for it)
+        try:
+            return GBTRegressionModel.load(path)
+        except Exception as exc:  # noqa: BLE001 - a missing model surfaces as a JVM error
+            if "does not exist" in str(exc) or "FileNotFound" in str(exc) or "PATH_NOT_FOUND" in str(exc):
+                return None
+            raise
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return list(pool.map(one, range(fr_len)))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import Params
@@ -34,6 +34,18 @@ def _lookup(pairs, col: str):
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in pairs for x in pair]), F.col(col))
 
 
+def densify(days: Column, n_days: Column) -> Column:
+    """Dense daily array from ``(o, qty)`` entries sorted by offset ``o``: each entry becomes the zeros of the
+    gap before it plus its value, then the pieces are flattened and the tail is zero-filled. Linear in the
+    series length (a map lookup per day would scan the map each time)."""
+    zero = F.lit(0).cast("bigint")
+    pieces = F.transform(days, lambda e, j: F.concat(
+        F.array_repeat(zero, (e["o"] - F.when(j == 0, F.lit(0)).otherwise(F.element_at(days, j)["o"] + 1)).cast("int")),
+        F.array(e["qty"])))
+    last = F.element_at(days, -1)["o"]
+    return F.concat(F.flatten(pieces), F.array_repeat(zero, (n_days - last - 1).cast("int")))
+
+
 def daily_quantities(spark: SparkSession, sf_dir: str, p: Params, fold_days: int = FOLD_DAYS) -> DataFrame:
     """``(s_nationkey, l_returnflag, l_linestatus, day, qty)``: long-form daily sums."""
     last = F.lit(p.yesterday)
@@ -62,11 +74,10 @@ def series_from_tables(spark: SparkSession, sf_dir: str, p: Params, fold_days: i
             .where((F.col("day") >= F.col("start_date")) & (F.col("day") <= F.col("end_date"))))
     # At most fold_days rows per series: the group is bounded by the calendar, not by the data volume.
     packed = (kept.groupBy("s_nationkey", "l_returnflag", "l_linestatus", "start_date", "end_date")
-              .agg(F.map_from_entries(F.collect_list(F.struct(F.datediff("day", "start_date"), "qty"))).alias("m")))
+              .agg(F.array_sort(F.collect_list(F.struct(F.datediff("day", "start_date").alias("o"), "qty")))
+                   .alias("days")))
     n_days = F.datediff("end_date", "start_date") + 1
-    packed = packed.withColumn(
-        "qty", F.transform(F.sequence(F.lit(0), n_days - 1),
-                           lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0).cast("bigint"))))
+    packed = packed.withColumn("qty", densify(F.col("days"), n_days)).drop("days")
 
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = _table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
