@@ -30,7 +30,7 @@ def regressor(g: GbtParams) -> GBTRegressor:
         maxIter=g.max_iter, maxDepth=g.max_depth, stepSize=g.step_size, subsamplingRate=g.subsampling_rate,
         featureSubsetStrategy=g.feature_subset_strategy, minInstancesPerNode=g.min_instances_per_node,
         minInfoGain=g.min_info_gain, maxBins=g.max_bins, checkpointInterval=g.checkpoint_interval,
-        cacheNodeIds=True, seed=g.seed)
+        cacheNodeIds=g.checkpoint_interval > 0, seed=g.seed)
 
 
 ROWS_PER_PARTITION = 200_000  # ~150 MB of 93-double feature rows per boosting partition
@@ -50,8 +50,9 @@ def fit_horizon(rows: DataFrame, g: GbtParams) -> GBTRegressionModel | None:
 
 
 def fit_models(spark: SparkSession, table_path: str, p: Params, model_root: str,
-               parallel_fits: int = 4) -> dict[int, str]:
-    """Fit and save the ``fr_len`` models under this week's Sunday (M5); returns ``{horizon: path}``.
+               parallel_fits: int = 4) -> list[GBTRegressionModel | None]:
+    """Fit and save the ``fr_len`` models under this week's Sunday (M5); returns them in horizon order
+    (None for a horizon without training rows).
 
     ``table_path`` holds the feature table written by ``train_job`` (partitioned by ``pre_end``); each
     horizon reads only the ``iter_count`` feature days it trains on.
@@ -63,17 +64,15 @@ def fit_models(spark: SparkSession, table_path: str, p: Params, model_root: str,
 
     def one(h: int):
         model = fit_horizon(horizon_rows(table, h, p), p.gbt)
-        if model is None:
-            return h, None
-        path = model_path(model_root, model_date, h)
-        model.write().overwrite().save(path)
-        return h, path
+        if model is not None:
+            model.write().overwrite().save(model_path(model_root, model_date, h))
+        return model
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
-        return dict(pool.map(one, range(p.fr_len)))
+        return list(pool.map(one, range(p.fr_len)))
 
 
-def load_models(model_root: str, model_date: dt.date, fr_len: int, parallel: int = 8) -> list[GBTRegressionModel | None]:
+def load_models(model_root: str, model_date: dt.date, fr_len: int, parallel: int | None = None) -> list[GBTRegressionModel | None]:
     """The ``fr_len`` models of a model date, loaded concurrently (each load is a few small reads)."""
     def one(h: int):
         path = model_path(model_root, model_date, h)
@@ -87,7 +86,7 @@ def load_models(model_root: str, model_date: dt.date, fr_len: int, parallel: int
                 return None
             raise
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, parallel or fr_len)) as pool:
         return list(pool.map(one, range(fr_len)))
 
 

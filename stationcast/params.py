@@ -22,7 +22,7 @@ class GbtParams:
     min_instances_per_node: int = 2
     min_info_gain: float = 0.0
     max_bins: int = 32
-    checkpoint_interval: int = 10
+    checkpoint_interval: int = 10   # rounds between lineage cuts (and node-id caching); -1 = none
     seed: int = 7
 
 

@@ -28,10 +28,16 @@ def clean_series(series: DataFrame, p: Params, checkpoint: bool = True) -> DataF
     return clean
 
 
-def model_forecasts(clean: DataFrame, ref: DataFrame, p: Params, model_root: str) -> DataFrame:
-    """``(sta_num, forecast)`` for base-class series with a full feature row."""
+def model_forecasts(clean: DataFrame, ref: DataFrame, p: Params, model_root: str,
+                    fitted: list | None = None) -> DataFrame:
+    """``(sta_num, forecast)`` for base-class series with a full feature row.
+
+    The models are read from last week's folder of ``model_root``; ``fitted`` hands over models already in
+    this session (a training run followed by the forecast in one application).
+    """
     feats = features.with_feature_vector(features.forecast_features(ser.base_class(clean, p), ref, p))
-    loaded = models.load_models(model_root, models.forecast_model_date(p), p.fr_len)
+    loaded = fitted if fitted is not None else models.load_models(model_root, models.forecast_model_date(p),
+                                                                   p.fr_len)
     return models.score(feats, loaded).select("sta_num", "forecast")
 
 
@@ -58,10 +64,10 @@ def build_report(clean: DataFrame, station_fc: DataFrame, codes: DataFrame, p: P
 
 
 def run(spark: SparkSession, series: DataFrame, ref: DataFrame, codes: DataFrame, p: Params, model_root: str,
-        out_root: str | None = None) -> DataFrame:
+        out_root: str | None = None, fitted: list | None = None) -> DataFrame:
     """The whole forecast job; writes the text report when ``out_root`` is given."""
     clean = clean_series(series, p)
-    station_fc = model_forecasts(clean, ref, p, model_root).checkpoint(eager=True)
+    station_fc = model_forecasts(clean, ref, p, model_root, fitted).checkpoint(eager=True)
     rep = build_report(clean, station_fc, codes, p)
     if out_root:
         report.publish(rep, out_root, p)

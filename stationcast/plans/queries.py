@@ -312,10 +312,11 @@ def w8_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select(*KEY, F.posexplode("actual").alias("h", "actual"))
 
 
-# Small-model settings of the registered model queries (production: GbtParams() = 1000 rounds, depth 15).
+# Small-model settings of the registered model queries (production: GbtParams() = 1000 rounds, depth 15,
+# lineage cut every 10 rounds). Ten rounds leave a short lineage, so they run without tree checkpoints.
 from ..params import GbtParams as _Gbt  # noqa: E402
 
-QUERY_GBT = _Gbt(max_iter=10, max_depth=5)
+QUERY_GBT = _Gbt(max_iter=10, max_depth=5, checkpoint_interval=-1)
 
 
 def _trained(spark, sf_dir, p):
@@ -324,25 +325,25 @@ def _trained(spark, sf_dir, p):
 
     s, ref = _inputs(spark, sf_dir, p)
     root = shared_dir(spark, "models")
-    _tj.run(spark, s, ref, p, root, parallel_fits=p.fr_len)
-    return s, ref, root
+    fitted = _tj.run(spark, s, ref, p, root, parallel_fits=p.fr_len)
+    return s, ref, root, fitted
 
 
 def m4_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """35-day model forecast per station (M3-M6, A11): trained as of ``T - 7``, scored as of ``T``."""
     p = params().with_(gbt=QUERY_GBT)
-    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    s, ref, root, _ = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     clean = _fj.clean_series(s, p)
-    fc = _fj.model_forecasts(clean, ref, p, root)
+    fc = _fj.model_forecasts(clean, ref, p, root)   # read back from the model store
     return fc.select("sta_num", F.posexplode("forecast").alias("h", "forecast"))
 
 
 def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back-test at ``T - 35``: per-horizon RMSE of the model and of the seasonal-naive baseline (W8, S5.5)."""
     p = params().with_(as_of=AS_OF - dt.timedelta(days=35), gbt=QUERY_GBT)
-    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    s, ref, root, fitted = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     clean = _fj.clean_series(s, p)
-    model_fc = _fj.model_forecasts(clean, ref, p, root)
+    model_fc = _fj.model_forecasts(clean, ref, p, root, fitted)
     naive_fc = _fj.naive_forecasts(clean, p)
     act = _evaluation.actuals(ser.base_class(clean, p), p).select("sta_num", "actual")
     m = _evaluation.rmse(model_fc, act).withColumnRenamed("rmse", "rmse_model")
@@ -353,9 +354,9 @@ def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r7_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published text lines of the model forecast run."""
     p = params().with_(gbt=QUERY_GBT)
-    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    s, ref, root, fitted = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     codes_df = codes.code_dim(spark, tables.region_codes(spark, sf_dir))
-    rep = _fj.run(spark, s, ref, codes_df, p, root)
+    rep = _fj.run(spark, s, ref, codes_df, p, root, fitted=fitted)
     return _report.report_text(rep)
 
 

@@ -12,16 +12,19 @@ from ..session import shared_dir
 def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str) -> str:
     """Materialise the feature table in the shared folder: the 35 fits all read it, so it is computed once.
 
-    Partitioned by ``pre_end`` (62 days): a horizon's fit prunes to its 28 days. Rows are hashed by
-    ``(pre_end, sta_num)`` first, so a day spreads over many writers at scale and AQE merges the files of a
-    small run.
+    Partitioned by ``pre_end`` (62 days): a horizon's fit prunes to its 28 days. Rows are range-partitioned
+    on ``(pre_end, sta_num)`` first, so each writer covers a contiguous run of days (a few files per task, not
+    one per day per task) while a day still spreads over several writers at scale; AQE merges the partitions
+    of a small run.
     """
     table = training.feature_table(series, ref, p)
-    table.repartition("pre_end", "sta_num").write.mode("overwrite").partitionBy("pre_end").parquet(path)
+    (table.repartitionByRange("pre_end", "sta_num")
+     .write.mode("overwrite").partitionBy("pre_end").parquet(path))
     return path
 
 
 def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str,
-        parallel_fits: int = 4) -> dict[int, str]:
+        parallel_fits: int = 4) -> list:
+    """Fit the per-horizon models and save them under ``model_root``; returns the fitted models."""
     path = write_feature_table(series, ref, p, shared_dir(spark, "feature_table"))
     return models.fit_models(spark, path, p, model_root, parallel_fits)
