@@ -253,7 +253,7 @@ SQL.update({
 
 L_FIRST, L_LAST = T - dt.timedelta(days=35), T - dt.timedelta(days=8)
 
-TRAIN_BODY = f"""SELECT h.h AS horizon, CAST(f.pre_end + CAST(8 + h.h AS INTEGER) AS DATE) AS label_date, f.sta_num, f.path,
+TRAIN_BODY = f"""SELECT CAST(h.h AS INTEGER) AS horizon, CAST(f.pre_end + CAST(8 + h.h AS INTEGER) AS DATE) AS label_date, f.sta_num, f.path,
        l.qty AS label, round(sum(f.value), 6) AS hist_sum, round(max(f.value), 6) AS hist_max,
        round(max(f.value) FILTER (WHERE f.idx = 0), 6) AS hist_first,
        round(max(f.value) FILTER (WHERE f.idx = 89), 6) AS hist_last
