@@ -34,3 +34,11 @@ def rmse(forecast: DataFrame, actual: DataFrame, fc_col: str = "forecast") -> Da
             .groupBy("horizon")
             .agg(F.sqrt(F.avg(F.pow(F.col("pair.f") - F.col("pair.a"), 2))).alias("rmse"),
                  F.count(F.lit(1)).alias("n")))
+
+
+def pre_mean_forecast(features: DataFrame, p: Params) -> DataFrame:
+    """Baseline from feature rows: the mean of the cleaned recent window (the first ``window_len`` history
+    values), repeated for every horizon. ``(sta_num, forecast)``."""
+    recent = F.slice("hist", 1, p.window_len)
+    mean = F.aggregate(recent, F.lit(0.0), lambda a, x: a + x) / F.size(recent)
+    return features.select("sta_num", F.array_repeat(mean, p.fr_len).alias("forecast"))

@@ -339,7 +339,8 @@ def m4_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Back-test at ``T - 35``: per-horizon RMSE of the model and of the seasonal-naive baseline (W8, S5.5)."""
+    """Back-test at ``T - 35``: per-horizon RMSE of the model, the seasonal-naive baseline and the recent-window
+    mean baseline (W8, SURVEY 5.5)."""
     p = params().with_(as_of=AS_OF - dt.timedelta(days=35), gbt=QUERY_GBT)
     s, ref, root, fitted = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     clean = _fj.clean_series(s, p)
@@ -348,7 +349,9 @@ def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     act = _evaluation.actuals(ser.base_class(clean, p), p).select("sta_num", "actual")
     m = _evaluation.rmse(model_fc, act).withColumnRenamed("rmse", "rmse_model")
     b = _evaluation.rmse(naive_fc, act).select("horizon", F.col("rmse").alias("rmse_naive"))
-    return m.join(b, "horizon")
+    pre = _evaluation.pre_mean_forecast(_features.forecast_features(ser.base_class(clean, p), ref, p), p)
+    c = _evaluation.rmse(pre, act).select("horizon", F.col("rmse").alias("rmse_pre_mean"))
+    return m.join(b, "horizon").join(c, "horizon", "left")
 
 
 def r7_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
