@@ -69,6 +69,11 @@ def report_rows(rows: DataFrame, codes: DataFrame, p: Params) -> DataFrame:
         F.col("deliver_type").alias("deliver_name"), F.col("ord_type").alias("ord_name"))
 
 
+def quarantined_rows(report: DataFrame) -> DataFrame:
+    """Report rows whose delivery, order or region name has no code (published with an empty code field)."""
+    return report.where(code_dim.quarantined(report, ["fr_type", "ord_type", "region_id"]))
+
+
 def _block_text(b: Column) -> Column:
     parts = [F.array_join(F.transform(b[name], lambda x: x.cast("string")), ",")
              for name in ("recent", "forecast", "week_rest", "rolling")]

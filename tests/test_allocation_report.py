@@ -90,3 +90,27 @@ def test_rest_of_week_on_sunday(spark, p):
     rows = [series_row(sta="1", start=sunday.as_of - dt.timedelta(days=100), qty=[1] * 99)]
     out = _report(spark, sunday, rows, [("1", [1.0] * 35)])
     assert out[("1", "Self")].current_block.week_rest == [1.0]
+
+
+def test_report_invariants_on_driver_tables(spark):
+    """End to end on sf0.001 with the seasonal-naive base forecast: every fresh series once, 28 + rest-of-week
+    forecast values, the cap holds, quarantine empty."""
+    from stationcast.plans import queries as q
+
+    p = q.params()
+    sf = "/root/testdata/sf0.001"
+    clean = fj.clean_series(q._series(spark, sf, p), p)
+    rep = fj.build_report(clean, fj.naive_forecasts(clean, p), codes.code_dim(spark, q.tables.region_codes(spark, sf)), p)
+    rows = rep.collect()
+    keys = [(r.sta_num, r.deliver_name, r.ord_name) for r in rows]
+    assert len(keys) == len(set(keys)) == clean.count()
+    for r in rows:
+        fc = r.current_block.forecast
+        assert len(fc) in (0, 28) and len(r.current_block.week_rest) == (p.rest_of_week if fc else 0)
+        assert len(r.current_block.recent) == 60 and len(r.current_block.rolling) == 9
+    alloc = fj.allocated(clean, fj.naive_forecasts(clean, p), p).where(~F.col("is_base") & F.col("has_base"))
+    for r in alloc.select("forecast", F.slice("qty", -35, 35).alias("last")).collect():
+        last = float(sum(r["last"]))
+        flat = all(abs(x - last / 35) < 1e-9 for x in r.forecast)
+        assert flat or sum(r.forecast) <= 2 * last + 1e-9
+    assert report.quarantined_rows(rep).count() == 0
