@@ -12,9 +12,16 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import clean_window as _clean_window
+from ..functions.dates import window_bounds as _window_bounds
 from ..operators import allocation, series as ser
+from ..operators import evaluation as _evaluation, features as _features, report as _report
+from ..operators import training as _training
+from ..params import GbtParams as _Gbt
 from ..params import Params
 from ..sources import codes, tables
+from ..sources import series_text as _text
+from . import forecast_job as _fj, train_job as _tj
 
 AS_OF = dt.date(2001, 11, 5)  # the day after the last ship date of the driver tables
 
@@ -116,9 +123,6 @@ REGISTRY = {
 
 # ---- windows and features -----------------------------------------------------------------------------------
 
-from ..functions.arrays import clean_window as _clean_window  # noqa: E402
-from ..functions.dates import window_bounds as _window_bounds  # noqa: E402
-from ..operators import features as _features  # noqa: E402
 
 
 def _inputs(spark, sf_dir, p):
@@ -200,7 +204,6 @@ REGISTRY.update({
 
 # ---- training set --------------------------------------------------------------------------------------------
 
-from ..operators import training as _training  # noqa: E402
 
 
 def w7_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,8 +246,6 @@ REGISTRY.update({
 
 # ---- allocation, report, back-test, models --------------------------------------------------------------------
 
-from ..operators import evaluation as _evaluation, models as _models, report as _report  # noqa: E402
-from . import forecast_job as _fj, train_job as _tj  # noqa: E402
 
 
 def _naive_allocated(spark, sf_dir, p):
@@ -314,7 +315,6 @@ def w8_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Small-model settings of the registered model queries (production: GbtParams() = 1000 rounds, depth 15,
 # lineage cut every 10 rounds). Ten rounds leave a short lineage, so they run without tree checkpoints.
-from ..params import GbtParams as _Gbt  # noqa: E402
 
 QUERY_GBT = _Gbt(max_iter=10, max_depth=5, checkpoint_interval=-1)
 
@@ -377,7 +377,6 @@ REGISTRY.update({
 
 # ---- text sources (the published input formats) -------------------------------------------------------------------
 
-from ..sources import series_text as _text  # noqa: E402
 
 
 def s1_series_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,3 +48,30 @@ def test_publish_writes_deflate_text(spark, p):
     assert files and all(f.endswith(".deflate") for f in files)
     lines = spark.read.text(path).collect()
     assert len(lines) == 2 and all(len(r.value.split("#")) == 15 for r in lines)
+
+
+def test_cli_train_and_forecast(spark, p):
+    """The two jobs from the command line, on text inputs (as submitted in production)."""
+    import datetime as dt
+
+    from stationcast.plans import cli
+
+    root = tempfile.mkdtemp(prefix="cli-")
+    rows = []
+    for sta in range(1, 4):
+        qty = [sta + (i * 7 + sta) % 5 for i in range(499)]
+        rows.append(series_row(sta=str(sta), start=days(500), qty=qty))
+        rows.append(series_row(sta=str(sta), deliver="FBP", start=days(500), qty=[x // 2 for x in qty]))
+    df = make_series(spark, rows)
+    series_text.write_series(df, f"{root}/series", p.forecast_source)
+    series_text.write_series(df, f"{root}/series", p.train_source, mode="append")
+    ref = make_ref(spark, [("1", "1", [1 + (i * 7) % 5 for i in range(500)], days(500))])
+    series_text.city_reference_text(ref).write.mode("overwrite").text(f"{root}/cref")
+    common = ["--series", f"{root}/series", "--city-ref", f"{root}/cref", "--models", f"{root}/models",
+              "--max-iter", "2", "--max-depth", "2"]
+    cli.main(["train", "--as-of", (p.as_of - dt.timedelta(days=7)).isoformat(), *common])
+    cli.main(["forecast", "--as-of", p.as_of.isoformat(), "--out", f"{root}/out", "--files", "1", *common])
+    lines = spark.read.text(f"{root}/out/{p.as_of.isoformat()}").collect()
+    assert len(lines) == 6
+    base = [r.value.split("#") for r in lines if r.value.split("#")[9] == "2"][0]
+    assert len(base[12].split("$")[1].split(",")) == 28
