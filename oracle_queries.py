@@ -386,3 +386,21 @@ SQL.update({
         JOIN long l ON l.sta_num = s.sta_num AND l.deliver_type = s.deliver_type AND l.ord_type = s.ord_type
         GROUP BY 1, 2, 3, 4"""),
 })
+
+
+def _path(name: str) -> str:
+    return fq(forecast_rows, "frows", f"""SELECT sta_num, path, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value
+        FROM feat WHERE path = '{name}'""")
+
+
+SQL.update({
+    "w4_features_own": _path("own"),
+    "w5_features_city": _path("city"),
+    "w6_features_fallback": _path("fallback"),
+    "w9_rolling7": aq("""SELECT sta_num, deliver_type, ord_type, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value
+        FROM blocks WHERE block = 'cur' AND part = 3""", report=True),
+    "w12_year_ago": aq("""SELECT sta_num, deliver_type, ord_type, CAST(part AS INTEGER) AS part,
+        CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM blocks WHERE block = 'ago'""", report=True),
+    "j5_training_grid": fq(training_rows, "trows", f"""SELECT horizon, label_date, CAST(count(*) AS BIGINT) AS n_rows,
+        CAST(sum(label) AS BIGINT) AS label_total FROM ({TRAIN_BODY}) t GROUP BY 1, 2"""),
+})

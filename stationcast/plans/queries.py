@@ -407,3 +407,46 @@ def j3_city_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY.update({"s1_series_text": s1_series_text, "j3_city_ref": j3_city_ref})
+
+
+# ---- per-operator views named as in the blueprint -------------------------------------------------------------------
+
+def _features_on_path(path: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return w4_features(spark, sf_dir).where(F.col("path") == path)
+    q.__doc__ = f"Feature values of the stations on the ``{path}`` path at the forecast day."
+    return q
+
+
+w4_features_own = _features_on_path("own")
+w5_features_city = _features_on_path("city")
+w6_features_fallback = _features_on_path("fallback")
+
+
+def w9_rolling7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine rolling 7-day sums of the current block."""
+    b = r4_report_blocks(spark, sf_dir)
+    return b.where((F.col("block") == "cur") & (F.col("part") == 3)).select(*KEY, "idx", "value")
+
+
+def w12_year_ago(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The year-ago block: 60 / 28 / rest-of-week days and its rolling sums."""
+    b = r4_report_blocks(spark, sf_dir)
+    return b.where(F.col("block") == "ago").select(*KEY, "part", "idx", "value")
+
+
+def j5_training_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per (horizon, label day) of the training set."""
+    t = j5_training_set(spark, sf_dir)
+    return t.groupBy("horizon", "label_date").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                  F.sum("label").alias("label_total"))
+
+
+REGISTRY.update({
+    "w4_features_own": w4_features_own,
+    "w5_features_city": w5_features_city,
+    "w6_features_fallback": w6_features_fallback,
+    "w9_rolling7": w9_rolling7,
+    "w12_year_ago": w12_year_ago,
+    "j5_training_grid": j5_training_grid,
+})
