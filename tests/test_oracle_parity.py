@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 FAST = ["s1_series", "f3_fresh", "a1_dedupe_longest", "j1_class_ratio", "p4_encode", "w3_clean_window",
         "w4_features", "w7_labels", "j5_training_set", "r2_allocate", "r3_cap", "r4_report_blocks", "r6_report",
-        "w8_actuals"]
+        "w8_actuals", "w6_features_fallback", "w9_rolling7", "j5_training_grid"]
 
 
 def _norm(v):
