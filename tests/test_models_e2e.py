@@ -76,3 +76,16 @@ def test_feature_table_equals_fanout(spark, p):
         a = sorted((tuple(r.features.toArray()), r.label) for r in fan.where(F.col("horizon") == h).collect())
         b = sorted((tuple(r.features.toArray()), r.label) for r in training.horizon_rows(table, h, p).collect())
         assert a == b and len(a) > 0
+
+
+def test_training_fresh_dedupe_flag(spark, p):
+    """Q8: by default the training job keeps every base series; with the flag, stale ones and shorter
+    duplicates are dropped first."""
+    qty = [1 + (i * 7) % 5 for i in range(499)]
+    rows = [series_row(sta="1", start=days(500), qty=qty),
+            series_row(sta="1", start=days(500), qty=qty[:450], remark="dup"),
+            series_row(sta="2", start=days(500), qty=qty[:300])]          # stale: ends at T-201
+    s = make_series(spark, rows)
+    assert training.training_series(s, p).count() == 3
+    kept = training.training_series(s, p.with_(train_fresh_dedupe=True)).collect()
+    assert [(r.sta_num, len(r.qty)) for r in kept] == [("1", 499)]
