@@ -54,6 +54,13 @@ class Params:
     fallback_scale: str = "volume"      # Q3: "crossmean" divides by the mean pairwise ratio (A7) instead
     gbt: GbtParams = field(default_factory=GbtParams)
 
+    def __post_init__(self):
+        if self.fallback_scale not in ("volume", "crossmean"):
+            raise ValueError(f"fallback_scale must be 'volume' or 'crossmean', not {self.fallback_scale!r}")
+        for name in ("fr_len", "window_len", "iter_count", "cycle_len", "recent_days", "cap_days"):
+            if getattr(self, name) <= 0:
+                raise ValueError(f"{name} must be positive")
+
     # ---- derived days -------------------------------------------------------------------------
     @property
     def yesterday(self) -> dt.date:
