@@ -37,14 +37,15 @@ def fresh(df: DataFrame, p: Params) -> DataFrame:
 
 
 def dedupe_longest(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: the longest history, then the latest start, then the rest of the row (total order).
+    """One row per key: the longest history, then the latest start, then a 64-bit hash of the whole row (the
+    same pick on every run, whatever the partitioning).
 
     ``max_by`` is aggregated partially on each map partition, so a key repeated across a third of the input
-    ships one row per partition into the shuffle, never the whole group.
+    ships one row per partition into the shuffle, never the whole group. The ordering key is three scalars, so
+    the shuffled buffer holds the history once (a key made of the row itself would carry it twice).
     """
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(F.size("qty"), F.col("start_date"), F.col("qty"),
-                     *[F.col(c) for c in rest if c not in ("qty", "start_date")])
+    order = F.struct(F.size("qty"), F.col("start_date"), F.xxhash64(*[F.col(c) for c in rest]))
     return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r"))
             .select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest])
             .select(*df.columns))
