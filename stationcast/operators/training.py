@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import py_slice
 from ..params import Params
 from .features import attach_city_reference, history_features, with_feature_vector
 from .series import base_class, dedupe_longest, fresh
@@ -45,9 +46,30 @@ FEATURE_INPUT = ["sta_num", "deliver_type", "ord_type", "start_date", "qty", "pr
 
 
 def feature_inputs(series: DataFrame, ref: DataFrame, p: Params, measured: bool = True) -> DataFrame:
-    """Training series pruned to the feature inputs, with the city reference attached once per series (before
-    the feature days multiply the rows)."""
-    return attach_city_reference(training_series(series, p).select(*FEATURE_INPUT), ref, measured)
+    """Training series pruned to the feature inputs, with the city reference attached once per series, and
+    histories cut to the span the windows read (before the feature days multiply the rows)."""
+    rows = attach_city_reference(training_series(series, p).select(*FEATURE_INPUT), ref, measured)
+    return trim_to_span(rows, p)
+
+
+def trim_to_span(rows: DataFrame, p: Params) -> DataFrame:
+    """Drop history days before ``keep_from``, the day before the earliest window day of any feature day, and
+    move ``start_date`` (and ``ref_start``) to the first kept day.
+
+    Every day a window or label reads is on or after ``keep_from + 1``, so offsets, the strict "starts before the
+    earliest window" test (F4) and the young-station test (``keep_from`` is before its threshold) give the same
+    answers; only the copies made by the feature-day explode shrink. The city series is positioned by date
+    only when ``align_city_by_date`` is set, so only then is it cut too.
+    """
+    lo, _ = pre_end_days(p)
+    keep_from = F.lit(lo - dt.timedelta(days=p.cycle_len + p.window_len + 1))
+    cut = F.greatest(F.datediff(keep_from, "start_date"), F.lit(0))
+    rows = rows.withColumn("qty", py_slice(F.col("qty"), cut, None)).withColumn("start_date", F.date_add("start_date", cut))
+    if p.align_city_by_date:
+        rcut = F.greatest(F.datediff(keep_from, "ref_start"), F.lit(0))
+        rows = (rows.withColumn("ref_qty", py_slice(F.col("ref_qty"), rcut, None))
+                .withColumn("ref_start", F.date_add("ref_start", rcut)))
+    return rows
 
 
 def feature_days(series: DataFrame, p: Params) -> DataFrame:

@@ -89,3 +89,26 @@ def test_training_fresh_dedupe_flag(spark, p):
     assert training.training_series(s, p).count() == 3
     kept = training.training_series(s, p.with_(train_fresh_dedupe=True)).collect()
     assert [(r.sta_num, len(r.qty)) for r in kept] == [("1", 499)]
+
+
+def test_trim_to_span_keeps_features(spark, p):
+    """Cutting histories before the explode changes no feature, path or label (both city modes)."""
+    from stationcast.operators import features as feats
+
+    base = [1 + (i * 7) % 5 for i in range(700)]
+    rows = [series_row(sta="1", start=days(700), qty=base[:699]),                 # long: cut
+            series_row(sta="2", start=days(425), qty=base[3:427]),                # young: city path
+            series_row(sta="3", start=days(200), qty=base[5:204]),                # fallback
+            series_row(sta="4", start=days(480), qty=[3] * 479)]                  # constant: fallback
+    ref = make_ref(spark, [("1", "9", base[1:701], days(700))])
+    for align in (True, False):
+        q = p.with_(align_city_by_date=align)
+        raw = feats.attach_city_reference(training.training_series(make_series(spark, rows), q)
+                                          .select(*training.FEATURE_INPUT), ref, measured=False)
+        plain = feats.history_features(training.feature_days(raw, q), q)
+        cut = feats.history_features(training.feature_days(training.trim_to_span(raw, q), q), q)
+        cols = ["sta_num", "pre_end", "path", "hist",
+                training.horizon_labels(q).alias("labels")]
+        a = sorted(tuple(r) for r in plain.select(*cols).collect())
+        b = sorted(tuple(r) for r in cut.select(*cols).collect())
+        assert a == b and len(a) > 60
