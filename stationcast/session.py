@@ -19,6 +19,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")   # the horizon fits are concurrent jobs from driver threads
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
     )
