@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import array_dsum, let, pad_to, py_slice, trailing_sum
 from ..params import Params
-from .series import base_class, is_base, other_classes
+from .series import is_base
 
 
 def sum_recent(p: Params) -> Column:

@@ -8,7 +8,6 @@ import io
 
 import pytest
 from conftest import days, make_ref, make_series, series_row
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from stationcast.operators import features, series as ser

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from conftest import days, make_series, series_row
-from pyspark.sql import functions as F
 
 from stationcast.operators import series as ser
 from stationcast.sources import codes

@@ -6,7 +6,6 @@ import os
 import tempfile
 
 from conftest import days, make_ref, make_series, series_row
-from pyspark.sql import functions as F
 
 from stationcast.plans import forecast_job as fj
 from stationcast.sources import codes, series_text
