@@ -112,3 +112,19 @@ def test_trim_to_span_keeps_features(spark, p):
         a = sorted(tuple(r) for r in plain.select(*cols).collect())
         b = sorted(tuple(r) for r in cut.select(*cols).collect())
         assert a == b and len(a) > 60
+
+
+def test_label_zero_null_or_out_of_range(spark, p):
+    """A label of 0, a NULL day or a day past the history keeps the row out of the training set."""
+    qty = [1 + (i * 7) % 5 for i in range(499)]
+    l_first = training.label_days(p)[0]                      # T-35 is index 465 of a series starting T-500
+    with_zero = qty[:465] + [0] + qty[466:]
+    with_null = qty[:465] + [None] + qty[466:]
+    rows = [series_row(sta="0", start=days(500), qty=with_zero), series_row(sta="N", start=days(500), qty=with_null),
+            series_row(sta="S", start=days(500), qty=qty[:465])]  # ends the day before the first label day
+    s = make_series(spark, rows)
+    df = s.select("sta_num", training.label_at(F.lit(l_first)).alias("label")).collect()
+    assert {r.sta_num: r.label for r in df} == {"0": 0, "N": 0, "S": 0}
+    ref = make_ref(spark, [("1", "1", qty + [1], days(500))])
+    got = training.training_rows(s, ref, p, measured=False).where(F.col("label_date") == F.lit(l_first)).count()
+    assert got == 0
