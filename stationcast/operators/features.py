@@ -50,12 +50,22 @@ def _no_nulls(arr: Column) -> Column:
 
 
 def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
-    """Rows where ``cond`` holds, as a generator (``explode`` of an empty or one-element array).
+    """Rows where ``cond`` holds, filtered above a generator.
 
     A plain ``where`` on a freshly computed column is pushed below the projection with the column's whole
-    expression copied into it, which evaluates the feature arrays twice; a generator is not crossed.
+    expression copied into it, which evaluates the feature arrays twice. A filter on a generator's output
+    cannot move below the generator; ``explode_outer`` is used because Spark infers (and pushes down) a
+    ``size(...) > 0`` filter for a plain ``explode``.
     """
-    return df.withColumn("_keep", F.explode(F.when(cond, F.array(F.lit(True))))).drop("_keep")
+    return (df.withColumn("_keep", F.explode_outer(F.when(cond, F.array(F.lit(True)))))
+            .where(F.col("_keep")).drop("_keep"))
+
+
+def posexplode_kept(df: DataFrame, arr: str, pos: str, val: str, *keep: str) -> DataFrame:
+    """``posexplode`` of a computed array without the inferred pushdown filter (see ``keep_rows``): rows of a
+    NULL or empty array produce nothing, as with ``posexplode``."""
+    return (df.select(*keep, F.posexplode_outer(arr).alias(pos, val))
+            .where(F.col(pos).isNotNull()))
 
 
 def _fallback(pos: dict, p: Params) -> Column:

@@ -48,7 +48,8 @@ def s1_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed series, exploded back to the days with a sale."""
     p = params()
     s = _series(spark, sf_dir, p)
-    return (s.select(*KEY, "start_date", F.posexplode("qty").alias("idx", "qty"))
+    return (_features.posexplode_kept(s, "qty", "idx", "qty_v", *KEY, "start_date")
+            .withColumnRenamed("qty_v", "qty")
             .where(F.col("qty") != 0)
             .select(*KEY, F.date_add("start_date", "idx").alias("ds"), "qty"))
 
@@ -169,7 +170,7 @@ def w3_clean_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     wins = F.array(*[F.struct(F.lit(name).alias("win"),
                               _clean_window(F.col("qty"), lo, hi).alias("vals"))
                      for name, (lo, hi) in pos.items()])
-    return (s.select(*KEY, F.explode(wins).alias("w"))
+    return (s.select(*KEY, F.explode_outer(wins).alias("w"))
             .where(F.col("w.vals").isNotNull())
             .select(*KEY, "w.win", F.posexplode("w.vals").alias("idx", "value"))
             .select(*KEY, "win", "idx", F.round("value", 6).alias("value")))
@@ -184,7 +185,7 @@ def w4_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 90 history features of every base series at the forecast day (W4-W6, F7-F12), exploded."""
     p = params()
     f = _forecast_features(spark, sf_dir, p)
-    return (f.select("sta_num", "path", F.posexplode("hist").alias("idx", "value"))
+    return (_features.posexplode_kept(f, "hist", "idx", "value", "sta_num", "path")
             .select("sta_num", "path", "idx", F.round("value", 6).alias("value")))
 
 
@@ -233,7 +234,7 @@ def j5_training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = params()
     s, ref = _inputs(spark, sf_dir, p)
     f = _features.history_features(_training.feature_days(_training.feature_inputs(s, ref, p), p), p)
-    return (f.select("sta_num", "pre_end", "path", F.posexplode("hist").alias("idx", "value"))
+    return (_features.posexplode_kept(f, "hist", "idx", "value", "sta_num", "pre_end", "path")
             .select("sta_num", "pre_end", "path", "idx", F.round("value", 6).alias("value")))
 
 
@@ -257,7 +258,7 @@ def r2_allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base forecast (seasonal-naive baseline) allocated to the other classes and capped (R2, R3), exploded."""
     p = params()
     a = _naive_allocated(spark, sf_dir, p).where(~F.col("is_base"))
-    return (a.select(*KEY, F.posexplode("forecast").alias("h", "value"))
+    return (_features.posexplode_kept(a, "forecast", "h", "value", *KEY)
             .select(*KEY, "h", F.round("value", 6).alias("value")))
 
 
@@ -289,7 +290,7 @@ def r4_report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         for i, name in enumerate(("recent", "forecast", "week_rest", "rolling")):
             parts.append(F.struct(F.lit(tag).alias("block"), F.lit(i).alias("part"),
                                   F.transform(F.col(block)[name], lambda x: x.cast("double")).alias("vals")))
-    return (rep.select(*ids, F.explode(F.array(*parts)).alias("b"))
+    return (rep.select(*ids, F.explode_outer(F.array(*parts)).alias("b"))
             .where(F.col("b.vals").isNotNull())
             .select("sta_num", "deliver_type", "ord_type", "b.block", "b.part",
                     F.posexplode("b.vals").alias("idx", "value"))
@@ -310,7 +311,7 @@ def w8_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Actual quantities of the 35 days from a back-test day (``T - 35``), for complete series."""
     p = params().with_(as_of=AS_OF - dt.timedelta(days=35))
     a = _evaluation.actuals(_series(spark, sf_dir, p), p)
-    return a.select(*KEY, F.posexplode("actual").alias("h", "actual"))
+    return _features.posexplode_kept(a, "actual", "h", "actual", *KEY)
 
 
 # Small-model settings of the registered model queries (production: GbtParams() = 1000 rounds, depth 15,
@@ -335,7 +336,7 @@ def m4_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     s, ref, root, _ = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     clean = _fj.clean_series(s, p)
     fc = _fj.model_forecasts(clean, ref, p, root)   # read back from the model store
-    return fc.select("sta_num", F.posexplode("forecast").alias("h", "forecast"))
+    return _features.posexplode_kept(fc, "forecast", "h", "forecast", "sta_num")
 
 
 def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,12 @@ def test_sized_broadcast_measures(spark):
     assert estimated_bytes(small, ("a",)) == 64 + 24
     assert sized_broadcast(small, ("a",), limit=10) is small
     assert sized_broadcast(small, ("a",), limit=1000) is not small
+
+
+@pytest.mark.parametrize("name", ["w4_features", "j5_training_set"])
+def test_feature_arrays_computed_once(spark, name):
+    """The window cleaning (``array_sort`` of inliers) sits in one plan node: no filter is pushed below it
+    with the feature expression copied in (plain filters and generator-inferred filters both would)."""
+    text = _formatted(entry.queries()[name](spark, SF))
+    nodes = [b for b in text.split("\n\n") if b.lstrip().startswith("(") and "array_sort(" in b]
+    assert len(nodes) == 1, [n.strip().splitlines()[0] for n in nodes]
