@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import pad_to, py_slice, rolling_week_sums
+from ..functions.arrays import py_slice, rolling_week_sums
 from ..functions.dates import next_monday
 from ..params import Params
 from ..sources import codes as code_dim
@@ -29,8 +29,20 @@ def real_len(p: Params) -> Column:
     return F.datediff(F.lit(p.yesterday), "start_date") + 1
 
 
-def padded_history(p: Params) -> Column:
-    return pad_to(F.col("qty"), real_len(p))
+def report_span(p: Params) -> int:
+    """Days from the end of the padded history that any report part reads."""
+    return max(-YEAR_AGO_RECENT[0], p.recent_days, ROLLING_SKIP + 9 + 7, -YEAR_AGO_ROLLING_END + 9 + 7)
+
+
+def padded_tail(p: Params) -> Column:
+    """The last ``report_span`` days of the history zero-padded to ``real_len`` days, built without padding
+    the whole history: ``z`` appended zeros (at most the span) after the last ``span - z`` recorded days.
+    Every report part slices by offsets from the end, so the tail gives the same slices."""
+    span = report_span(p)
+    qty = F.col("qty")
+    zeros = F.least(F.greatest(real_len(p) - F.size(qty), F.lit(0)), F.lit(span))
+    head = py_slice(qty, F.greatest(F.size(qty) - (F.lit(span) - zeros), F.lit(0)), None)
+    return F.concat(head, F.array_repeat(F.lit(0).cast("bigint"), zeros.cast("int")))
 
 
 def blocks(padded: Column, forecast: Column, p: Params) -> tuple[Column, Column]:
@@ -58,8 +70,8 @@ def report_rows(rows: DataFrame, codes: DataFrame, p: Params) -> DataFrame:
     df = code_dim.encode(rows, None, "deliver", "deliver_type", "fr_type")
     df = code_dim.encode(df, None, "ord", "ord_type", "ord_code")
     df = code_dim.encode(df, codes, "region", "region_name", "region_id")
-    # the padded history feeds eight slices: computed once as a column (not inlined into each slice)
-    df = df.withColumn("_padded", padded_history(p))
+    # the padded tail feeds eight slices: computed once as a column (not inlined into each slice)
+    df = df.withColumn("_padded", padded_tail(p))
     cur, ago = blocks(F.col("_padded"), F.col("forecast"), p)
     return df.select(
         "region_id", "region_name", "area_id", "area_name", "sta_num", "sta_name",
