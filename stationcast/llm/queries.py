@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, quality
+from . import decontaminate, interpolated_lm, quality
 from .common import table
 
 
+def _fold(n: int) -> Column:
+    """crc32 of doc_id as text, modulo ``n``; a NULL id is in no fold."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document regions near a benchmark passage: ``doc_id, item_id, start, end, edits``."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -20,8 +26,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its log10 probability under the add-half unigram base and the interpolated bigram model."""
+    held = F.coalesce(_fold(5) == 1, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"), (~held).alias("learn"))
+    return interpolated_lm.score(docs, ["doc_id", "held_out"], "learn")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_decontamination, op3_quality_rules,
+    op2_decontamination, op3_quality_rules, op10_lm_scoring,
 )}
 
 SQL: dict[str, str] = {}
