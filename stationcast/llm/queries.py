@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, interpolated_lm, quality
+from . import decontaminate, interpolated_lm, quality, repeats
 from .common import table
 
 
@@ -26,6 +26,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the bytes covered by 200-byte strings that occur elsewhere."""
+    return repeats.summary(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its log10 probability under the add-half unigram base and the interpolated bigram model."""
     held = F.coalesce(_fold(5) == 1, F.lit(False))
@@ -34,7 +39,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_decontamination, op3_quality_rules, op10_lm_scoring,
+    op2_decontamination, op3_quality_rules, op8_suffix_dedup, op10_lm_scoring,
 )}
 
 SQL: dict[str, str] = {}
