@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, interpolated_lm, quality, repeats
+from . import decontaminate, interpolated_lm, near_duplicates, quality, repeats
 from .common import table
 
 
@@ -16,6 +16,11 @@ def _fold(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its near-duplicate group and whether it stays."""
+    return near_duplicates.groups(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document regions near a benchmark passage: ``doc_id, item_id, start, end, edits``."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -39,7 +44,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_decontamination, op3_quality_rules, op8_suffix_dedup, op10_lm_scoring,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op8_suffix_dedup, op10_lm_scoring,
 )}
 
 SQL: dict[str, str] = {}
