@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, interpolated_lm, near_duplicates, quality, repeats
+from . import byte_bpe, decontaminate, interpolated_lm, near_duplicates, quality, repeats
 from .common import table
 
 
@@ -31,6 +32,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its token count and digests of the ids and of the bytes they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(docs, path, public_tokenizers.PATTERN).drop("text")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the bytes covered by 200-byte strings that occur elsewhere."""
     return repeats.summary(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
@@ -44,7 +52,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op8_suffix_dedup, op10_lm_scoring,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op8_suffix_dedup, op10_lm_scoring,
 )}
 
 SQL: dict[str, str] = {}
