@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, interpolated_lm, near_duplicates, quality, repeats
+from . import byte_bpe, decontaminate, interpolated_lm, near_duplicates, quality, repeats, warc
 from .common import table
 
 
@@ -39,6 +39,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, path, public_tokenizers.PATTERN).drop("text")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page its record, as read back from the normalised archives."""
+    return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("archive")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the bytes covered by 200-byte strings that occur elsewhere."""
     return repeats.summary(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
@@ -52,7 +57,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op8_suffix_dedup, op10_lm_scoring,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op7_warc, op8_suffix_dedup, op10_lm_scoring,
 )}
 
-SQL: dict[str, str] = {}
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(hex, {1 + 5 * g}, 5))::BIGINT >> {15 - 5 * k}) & 31)::INT), 1)"
+    for g in range(8) for k in range(4))
+
+SQL: dict[str, str] = {
+    "op7_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, html, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,
+             max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM last AND last IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM h""",
+}
