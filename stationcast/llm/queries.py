@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, interpolated_lm, near_duplicates, quality, repeats, warc
+from . import byte_bpe, decontaminate, interpolated_lm, near_duplicates, quality, repeats, toxicity, warc
 from .common import table
 
 
@@ -39,6 +39,15 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(docs, path, public_tokenizers.PATTERN).drop("text")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its toxicity score; labels of the fold 2 of 4 are never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"))
+    model = toxicity.train(docs.where(~F.col("held_out")).select("doc_id", "text"),
+                           table(spark, sf_dir, "labels").where(_fold(4) != 2))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page its record, as read back from the normalised archives."""
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("archive")
@@ -57,7 +66,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op7_warc, op8_suffix_dedup, op10_lm_scoring,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op7_warc, op8_suffix_dedup, op10_lm_scoring,
 )}
 
 _BASE32 = " || ".join(
