@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, interpolated_lm, near_duplicates, quality, repeats, toxicity, warc
+from . import byte_bpe, decontaminate, interpolated_lm, licenses, near_duplicates, quality, repeats, toxicity, warc
 from .common import table
 
 
@@ -48,6 +48,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its licence phrases, the labels of fuzzy notices and their spans."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per page its record, as read back from the normalised archives."""
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("archive")
@@ -66,7 +71,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op7_warc, op8_suffix_dedup, op10_lm_scoring,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op10_lm_scoring,
 )}
 
 _BASE32 = " || ".join(
