@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, interpolated_lm, licenses, near_duplicates, quality, repeats, toxicity, warc
+from . import byte_bpe, decontaminate, interpolated_lm, licenses, near_duplicates, quality, repeats, token_counts, toxicity, warc
 from .common import table
 
 
@@ -63,6 +63,12 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.summary(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its number of tokens under the pieces and scores of the 32k vocabulary, as a unigram model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its log10 probability under the add-half unigram base and the interpolated bigram model."""
     held = F.coalesce(_fold(5) == 1, F.lit(False))
@@ -71,7 +77,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op10_lm_scoring,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op9_token_counts, op10_lm_scoring,
 )}
 
 _BASE32 = " || ".join(
