@@ -19,32 +19,40 @@ def _d(x: dt.date) -> str:
 def ctes() -> str:
     t, y = _d(T), _d(Y)
     return f"""
+raw AS (
+  SELECT l_suppkey AS sk, l_suppkey % 10 AS kind, CASE WHEN l_suppkey % 10 IN (6, 7) AND l_linenumber = 1 THEN 2 ELSE 1 END AS cp,
+         CASE WHEN l_suppkey % 10 = 8 AND l_returnflag = 'A' THEN 'FBP'
+              ELSE CASE l_returnflag WHEN 'A' THEN 'Self' WHEN 'N' THEN 'FBP' WHEN 'R' THEN '3rd' END END AS d,
+         CASE WHEN l_linestatus = 'F' THEN 'Normal'
+              ELSE ['Fresh1', 'Fresh2', 'Direct', 'Frozen', 'DeepFrozen'][(l_suppkey // 10) % 5 + 1] END AS o,
+         CAST(l_shipdate AS DATE) AS ship, l_quantity FROM lineitem),
+placed AS (
+  SELECT *, CASE WHEN kind = 6 AND cp = 2 THEN 250 WHEN kind = 7 AND cp = 2 THEN 300 WHEN kind = 3 THEN 415
+                 WHEN kind = 4 THEN 381 WHEN kind = 5 THEN 200 ELSE 500 END AS n_days,
+         CASE WHEN kind = 4 THEN {t} - 120 ELSE {y} END AS end_date FROM raw),
 daily AS (
-  SELECT s.s_nationkey AS nk, l.l_returnflag AS rf, l.l_linestatus AS ls,
-         {y} - CAST(datediff('day', CAST(l.l_shipdate AS DATE), {y}) % 500 AS INTEGER) AS ds,
-         CAST(sum(l.l_quantity) AS BIGINT) AS qty
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  GROUP BY 1, 2, 3, 4),
-cut AS (
-  SELECT nk, rf, ls, ds, qty,
-         CASE nk % 10 WHEN 3 THEN {t} - 415 WHEN 5 THEN {t} - 200 ELSE {t} - 500 END AS start_date,
-         CASE WHEN nk % 10 = 4 THEN {t} - 120 ELSE {y} END AS end_date
-  FROM daily),
-kept AS (SELECT * FROM cut WHERE ds BETWEEN start_date AND end_date),
+  SELECT sk, kind, cp, d, o, n_days, end_date,
+         end_date - CAST(datediff('day', ship, {y}) % n_days AS INTEGER) AS ds, CAST(sum(l_quantity) AS BIGINT) AS qty
+  FROM placed GROUP BY ALL),
 series AS (
-  SELECT CAST(k.nk AS VARCHAR) AS sta_num,
-         CASE k.rf WHEN 'A' THEN 'Self' WHEN 'N' THEN 'FBP' WHEN 'R' THEN '3rd' END AS deliver_type,
-         CASE k.ls WHEN 'F' THEN 'Normal' WHEN 'O' THEN 'Fresh1' END AS ord_type,
-         k.nk, k.rf, k.ls, n.n_name, n.n_regionkey, r.r_name, k.start_date,
-         CAST(datediff('day', k.start_date, k.end_date) + 1 AS BIGINT) AS n_days
-  FROM (SELECT DISTINCT nk, rf, ls, start_date, end_date FROM kept) k
-  JOIN nation n ON n.n_nationkey = k.nk
+  SELECT CAST(k.sk AS VARCHAR) AS sta_num, k.d AS deliver_type, k.o AS ord_type,
+         CASE WHEN k.kind = 6 AND k.cp = 2 AND k.d = 'Self' THEN '自营' ELSE k.d END AS raw_d,
+         CASE WHEN k.kind = 6 AND k.cp = 2 AND k.o = 'Normal' THEN '普通' ELSE k.o END AS raw_o,
+         k.sk || '|' || k.d || '|' || k.o || '|' || k.cp AS sid, k.sk, k.kind, k.cp, n.n_nationkey AS nk, n.n_name,
+         n.n_regionkey, coalesce(['North', 'South', 'East', 'Northwest', 'Southwest', 'Middle', 'Northeast'][n.n_nationkey % 8 + 1],
+                                 r.r_name) AS r_name,
+         k.end_date - CAST(k.n_days - 1 AS INTEGER) AS start_date, CAST(k.n_days AS BIGINT) AS n_days
+  FROM (SELECT DISTINCT sk, kind, cp, d, o, n_days, end_date FROM daily) k
+  JOIN supplier s ON s.s_suppkey = k.sk
+  JOIN nation n ON n.n_nationkey = s.s_nationkey
   JOIN region r ON r.r_regionkey = n.n_regionkey),
 long AS (
-  SELECT s.sta_num, s.deliver_type, s.ord_type, s.start_date, s.n_days, CAST(g.i AS BIGINT) AS idx,
-         s.start_date + CAST(g.i AS INTEGER) AS ds, coalesce(k.qty, 0) AS qty
+  SELECT s.sid, s.sta_num, s.raw_d, s.raw_o, s.deliver_type, s.ord_type, s.start_date, s.n_days, CAST(g.i AS BIGINT) AS idx,
+         s.start_date + CAST(g.i AS INTEGER) AS ds,
+         CASE WHEN k.qty IS NULL AND s.kind = 9 AND g.i % 97 = 13 THEN NULL ELSE coalesce(k.qty, 0) END AS qty
   FROM series s CROSS JOIN generate_series(0, s.n_days - 1) g(i)
-  LEFT JOIN kept k ON k.nk = s.nk AND k.rf = s.rf AND k.ls = s.ls AND k.ds = s.start_date + CAST(g.i AS INTEGER)),
+  LEFT JOIN daily k ON k.sk = s.sk AND k.cp = s.cp AND k.d = s.deliver_type AND k.o = s.ord_type
+   AND k.ds = s.start_date + CAST(g.i AS INTEGER)),
 fresh AS (SELECT * FROM series WHERE datediff('day', start_date, {y}) - n_days <= 90),
 dedup AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -52,11 +60,9 @@ dedup AS (
                                  ORDER BY n_days DESC, start_date DESC) AS rn FROM fresh)
   WHERE rn = 1),
 s60 AS (
-  SELECT d.sta_num, d.deliver_type, d.ord_type, d.nk,
-         CAST(coalesce(sum(l.qty), 0) AS BIGINT) AS sum60
+  SELECT d.sid, d.sta_num, d.deliver_type, d.ord_type, CAST(coalesce(sum(l.qty), 0) AS BIGINT) AS sum60
   FROM dedup d LEFT JOIN long l
-    ON l.sta_num = d.sta_num AND l.deliver_type = d.deliver_type AND l.ord_type = d.ord_type
-   AND l.idx >= greatest(d.n_days, datediff('day', d.start_date, {y})) - 60
+    ON l.sid = d.sid AND l.idx >= greatest(d.n_days, datediff('day', d.start_date, {y})) - 60
   GROUP BY 1, 2, 3, 4),
 ratio AS (
   SELECT o.sta_num, o.deliver_type, o.ord_type, o.sum60, b.sum60 AS base60,
@@ -70,27 +76,29 @@ def q(body: str) -> str:
 
 
 KEY = "sta_num, deliver_type, ord_type"
+RAW = "sta_num, raw_d AS deliver_type, raw_o AS ord_type"  # as the source spells them
+ORD_CODE = "CASE d.ord_type WHEN 'Fresh2' THEN '5' WHEN 'Fresh1' THEN '4' WHEN 'Direct' THEN '3' WHEN 'Normal' THEN '2' WHEN 'Frozen' THEN '1' WHEN 'DeepFrozen' THEN '0' END"
+REGION_CODE = "CASE WHEN d.nk % 8 < 7 THEN CAST(d.nk % 8 + 1 AS VARCHAR) ELSE CAST(d.n_regionkey + 1 AS VARCHAR) END"
 
 SQL = {
-    "s1_series": q(f"SELECT {KEY}, ds, qty FROM long WHERE qty <> 0"),
-    "s1_series_meta": q(f"""SELECT {KEY}, r_name AS region_name, CAST(nk AS VARCHAR) AS area_id, n_name AS area_name,
-        n_name AS sta_name, CAST(n_regionkey AS VARCHAR) AS province_id, CAST(n_regionkey AS VARCHAR) AS city_id,
-        CAST(nk AS VARCHAR) AS county_id, start_date, CAST(n_days AS INTEGER) AS n_days FROM series"""),
-    "f1_base_class": q(f"SELECT {KEY}, start_date, CAST(n_days AS INTEGER) AS n_days FROM series "
+    "s1_series": q(f"SELECT {RAW}, ds, qty FROM long WHERE qty <> 0"),
+    "s1_series_meta": q(f"""SELECT {RAW}, r_name AS region_name, CAST(nk AS VARCHAR) AS area_id, n_name AS area_name,
+        'S' || sta_num AS sta_name, CAST(n_regionkey AS VARCHAR) AS province_id, CAST(nk AS VARCHAR) AS city_id,
+        CASE WHEN sk % 20 = 11 THEN '' ELSE sta_num END AS county_id, start_date, CAST(n_days AS INTEGER) AS n_days FROM series"""),
+    "f1_base_class": q(f"SELECT {RAW}, start_date, CAST(n_days AS INTEGER) AS n_days FROM series "
                        "WHERE deliver_type = 'Self' AND ord_type = 'Normal'"),
-    "f2_other_classes": q(f"SELECT {KEY}, start_date, CAST(n_days AS INTEGER) AS n_days FROM series "
+    "f2_other_classes": q(f"SELECT {RAW}, start_date, CAST(n_days AS INTEGER) AS n_days FROM series "
                           "WHERE NOT (deliver_type = 'Self' AND ord_type = 'Normal')"),
-    "f3_fresh": q(f"""SELECT {KEY}, start_date, CAST(n_days AS INTEGER) AS n_days,
+    "f3_fresh": q(f"""SELECT {RAW}, start_date, CAST(n_days AS INTEGER) AS n_days,
         CAST(datediff('day', start_date, {_d(Y)}) - n_days AS INTEGER) AS missing_days FROM fresh"""),
     "a1_dedupe_longest": q(f"""SELECT d.sta_num, d.deliver_type, d.ord_type, d.start_date,
         CAST(d.n_days AS INTEGER) AS n_days, CAST(sum(l.qty) AS BIGINT) AS qty_total
-        FROM dedup d JOIN long l USING (sta_num, deliver_type, ord_type) GROUP BY 1, 2, 3, 4, 5"""),
+        FROM dedup d JOIN long l USING (sid) GROUP BY 1, 2, 3, 4, 5"""),
     "a2_sum60": q(f"SELECT {KEY}, sum60 FROM s60"),
     "j1_class_ratio": q(f"SELECT {KEY}, sum60, base60, round(ratio, 6) AS ratio FROM ratio"),
     "p4_encode": q(f"""SELECT d.sta_num, d.deliver_type, d.ord_type, d.r_name AS region_name,
         CASE d.deliver_type WHEN 'Self' THEN '2' WHEN 'FBP' THEN '0' WHEN '3rd' THEN '1' END AS fr_type,
-        CASE d.ord_type WHEN 'Normal' THEN '2' WHEN 'Fresh1' THEN '4' END AS ord_code,
-        CAST(d.n_regionkey + 1 AS VARCHAR) AS region_id FROM dedup d"""),
+        {ORD_CODE} AS ord_code, {REGION_CODE} AS region_id FROM dedup d"""),
 }
 
 
@@ -105,96 +113,90 @@ def feature_ctes(rows: str) -> str:
     ``rows(sta_num, deliver_type, ord_type, n_regionkey, start_date, n_days, pre_end)``."""
     return f""",
 cref AS (
-  SELECT city_id, std_sta, ref_start FROM (
-    SELECT CAST(n_regionkey AS VARCHAR) AS city_id, sta_num AS std_sta, start_date AS ref_start,
-           row_number() OVER (PARTITION BY n_regionkey ORDER BY nk) AS rn
-    FROM series WHERE deliver_type = 'Self' AND ord_type = 'Normal' AND nk % 10 NOT IN (3, 4, 5))
+  SELECT city_id, std_sta, ref_sid, ref_start FROM (
+    SELECT CAST(nk AS VARCHAR) AS city_id, sta_num AS std_sta, sid AS ref_sid, start_date AS ref_start,
+           row_number() OVER (PARTITION BY nk ORDER BY sk) AS rn
+    FROM series WHERE deliver_type = 'Self' AND ord_type = 'Normal' AND kind IN (0, 1, 2) AND nk <> 7)
   WHERE rn = 1),
 fx AS (
-  SELECT r.sta_num, r.deliver_type, r.ord_type, r.start_date, r.n_days, r.pre_end, c.std_sta, c.ref_start,
+  SELECT r.sid, r.sta_num, r.start_date, r.n_days, r.pre_end, c.std_sta, c.ref_sid, c.ref_start,
          r.start_date > {_d(THR)} AS young,
          CASE WHEN r.start_date > {_d(THR)} THEN datediff('day', c.ref_start, r.start_date) ELSE 0 END AS sh,
          datediff('day', c.ref_start, r.start_date) AS fsh
-  FROM {rows} r LEFT JOIN cref c ON c.city_id = CAST(r.n_regionkey AS VARCHAR)),
+  FROM {rows} r LEFT JOIN cref c ON c.city_id = CAST(r.nk AS VARCHAR)),
 wdef AS (SELECT * FROM (VALUES (0, 30, 0), (1, 365, 335), (2, 395, 365)) t(w, lo_back, hi_back)),
 fw AS (
   SELECT fx.*, wdef.w,
          datediff('day', fx.start_date, fx.pre_end - wdef.lo_back) AS plo,
          datediff('day', fx.start_date, fx.pre_end - wdef.hi_back) AS phi,
-         CASE WHEN fx.young THEN fx.std_sta ELSE fx.sta_num END AS src_sta,
-         CASE WHEN fx.young THEN 'Self' ELSE fx.deliver_type END AS src_d,
-         CASE WHEN fx.young THEN 'Normal' ELSE fx.ord_type END AS src_o
+         CASE WHEN fx.young THEN fx.ref_sid ELSE fx.sid END AS src
   FROM fx CROSS JOIN wdef),
 fel AS (
-  SELECT fw.sta_num, fw.deliver_type, fw.ord_type, fw.pre_end, fw.w, l.idx - (fw.plo + fw.sh) AS j, l.qty
-  FROM fw JOIN long l ON l.sta_num = fw.src_sta AND l.deliver_type = fw.src_d AND l.ord_type = fw.src_o
-   AND l.idx >= fw.plo + fw.sh AND l.idx < fw.phi + fw.sh
+  SELECT fw.sid, fw.sta_num, fw.pre_end, fw.w, l.idx - (fw.plo + fw.sh) AS j, l.qty
+  FROM fw JOIN long l ON l.sid = fw.src AND l.idx >= fw.plo + fw.sh AND l.idx < fw.phi + fw.sh
   WHERE fw.plo >= 0 AND fw.phi >= 0 AND fw.plo + fw.sh >= 0),
 fst AS (
-  SELECT sta_num, deliver_type, ord_type, pre_end, w, count(*) AS k, sum(qty) AS s, sum(qty * qty) AS q,
+  SELECT sid, sta_num, pre_end, w, count(*) AS k, sum(qty) AS s, sum(qty * qty) AS q,
          count(qty) AS nn
   FROM fel GROUP BY ALL),
 fin AS (
   SELECT e.*, st.k, st.nn,
          (st.k * e.qty - st.s) * (st.k * e.qty - st.s) < st.k * st.q - st.s * st.s AS inl
-  FROM fel e JOIN fst st USING (sta_num, deliver_type, ord_type, pre_end, w)),
+  FROM fel e JOIN fst st USING (sid, sta_num, pre_end, w)),
 fmed AS (
-  SELECT sta_num, deliver_type, ord_type, pre_end, w, median(qty) FILTER (WHERE inl) AS med,
+  SELECT sid, sta_num, pre_end, w, median(qty) FILTER (WHERE inl) AS med,
          count(*) FILTER (WHERE inl) AS ninl, max(k) AS k, max(nn) AS nn
   FROM fin GROUP BY ALL),
 fok AS (
-  SELECT sta_num, deliver_type, ord_type, pre_end, count(*) AS nwin, sum(k) AS total
+  SELECT sid, sta_num, pre_end, count(*) AS nwin, sum(k) AS total
   FROM fmed WHERE ninl > 0 AND nn = k GROUP BY ALL),
 fnorm AS (
-  SELECT i.sta_num, i.deliver_type, i.ord_type, i.pre_end,
+  SELECT i.sid, i.sta_num, i.pre_end,
          CASE WHEN fx.young THEN 'city' ELSE 'own' END AS path, i.w * 30 + i.j AS idx,
          CASE WHEN i.inl THEN CAST(i.qty AS DOUBLE) ELSE m.med END AS value
   FROM fin i
-  JOIN fmed m USING (sta_num, deliver_type, ord_type, pre_end, w)
-  JOIN fok o USING (sta_num, deliver_type, ord_type, pre_end)
-  JOIN fx USING (sta_num, deliver_type, ord_type, pre_end)
+  JOIN fmed m USING (sid, sta_num, pre_end, w)
+  JOIN fok o USING (sid, sta_num, pre_end)
+  JOIN fx USING (sid, sta_num, pre_end)
   WHERE o.nwin = 3 AND o.total = 90),
 fbk AS (
   SELECT fx.*,
          datediff('day', fx.start_date, fx.pre_end - 30) AS p0,
          datediff('day', fx.start_date, fx.pre_end - 365) AS p1,
          datediff('day', fx.start_date, fx.pre_end - 395) AS p2
-  FROM fx LEFT JOIN fok USING (sta_num, deliver_type, ord_type, pre_end)
+  FROM fx LEFT JOIN fok USING (sid, sta_num, pre_end)
   WHERE coalesce(fok.nwin, 0) < 3 AND fx.std_sta IS NOT NULL),
 fbe AS (
-  SELECT b.sta_num, b.deliver_type, b.ord_type, b.pre_end, 0 AS w, l.idx - b.p0 AS j, l.qty
-  FROM fbk b JOIN long l ON l.sta_num = b.sta_num AND l.deliver_type = b.deliver_type
-   AND l.ord_type = b.ord_type AND l.idx >= b.p0 AND l.idx < b.p0 + 30
+  SELECT b.sid, b.sta_num, b.pre_end, 0 AS w, l.idx - b.p0 AS j, l.qty
+  FROM fbk b JOIN long l ON l.sid = b.sid AND l.idx >= b.p0 AND l.idx < b.p0 + 30
   WHERE b.p0 >= 0
   UNION ALL
-  SELECT b.sta_num, b.deliver_type, b.ord_type, b.pre_end, 1 AS w, l.idx - (b.p1 + b.fsh) AS j, l.qty
-  FROM fbk b JOIN long l ON l.sta_num = b.std_sta AND l.deliver_type = 'Self' AND l.ord_type = 'Normal'
-   AND l.idx >= b.p1 + b.fsh AND l.idx < b.p1 + b.fsh + 30
+  SELECT b.sid, b.sta_num, b.pre_end, 1 AS w, l.idx - (b.p1 + b.fsh) AS j, l.qty
+  FROM fbk b JOIN long l ON l.sid = b.ref_sid AND l.idx >= b.p1 + b.fsh AND l.idx < b.p1 + b.fsh + 30
   WHERE b.p1 + b.fsh >= 0
   UNION ALL
-  SELECT b.sta_num, b.deliver_type, b.ord_type, b.pre_end, 2 AS w, l.idx - (b.p2 + b.fsh) AS j, l.qty
-  FROM fbk b JOIN long l ON l.sta_num = b.std_sta AND l.deliver_type = 'Self' AND l.ord_type = 'Normal'
-   AND l.idx >= b.p2 + b.fsh AND l.idx < b.p2 + b.fsh + 30
+  SELECT b.sid, b.sta_num, b.pre_end, 2 AS w, l.idx - (b.p2 + b.fsh) AS j, l.qty
+  FROM fbk b JOIN long l ON l.sid = b.ref_sid AND l.idx >= b.p2 + b.fsh AND l.idx < b.p2 + b.fsh + 30
   WHERE b.p2 + b.fsh >= 0),
 fbs AS (
-  SELECT sta_num, deliver_type, ord_type, pre_end,
+  SELECT sid, sta_num, pre_end,
          count(*) FILTER (WHERE w = 0) AS n0, count(*) FILTER (WHERE w = 1) AS n1,
          count(*) FILTER (WHERE w = 2) AS n2, count(qty) AS nn, count(*) AS n,
          coalesce(sum(qty) FILTER (WHERE w = 0), 0) AS s0, coalesce(sum(qty) FILTER (WHERE w = 2), 0) AS s2
   FROM fbe GROUP BY ALL),
 fbv AS (
-  SELECT e.sta_num, e.deliver_type, e.ord_type, e.pre_end, 'fallback' AS path, e.w * 30 + e.j AS idx,
+  SELECT e.sid, e.sta_num, e.pre_end, 'fallback' AS path, e.w * 30 + e.j AS idx,
          CASE WHEN e.w = 0 THEN CAST(e.qty AS DOUBLE)
               WHEN s.s0 <> 0 AND s.s2 <> 0 THEN CAST(e.qty AS DOUBLE) / (CAST(s.s2 AS DOUBLE) / CAST(s.s0 AS DOUBLE))
               ELSE 1.0 END AS value
-  FROM fbe e JOIN fbs s USING (sta_num, deliver_type, ord_type, pre_end)
+  FROM fbe e JOIN fbs s USING (sid, sta_num, pre_end)
   WHERE s.n0 = 30 AND s.n1 = 30 AND s.n2 = 30 AND s.nn = s.n),
 feat AS (SELECT * FROM fnorm UNION ALL SELECT * FROM fbv)"""
 
 
 def forecast_rows() -> str:
     return f""",
-frows AS (SELECT sta_num, deliver_type, ord_type, nk, n_regionkey, start_date, n_days, {_d(PRE_END)} AS pre_end
+frows AS (SELECT sid, sta_num, deliver_type, ord_type, nk, start_date, n_days, {_d(PRE_END)} AS pre_end
           FROM dedup WHERE deliver_type = 'Self' AND ord_type = 'Normal')"""
 
 
@@ -202,7 +204,7 @@ def training_rows() -> str:
     lo, hi = T - dt.timedelta(days=77), T - dt.timedelta(days=16)
     return f""",
 trows AS (
-  SELECT s.sta_num, s.deliver_type, s.ord_type, s.nk, s.n_regionkey, s.start_date, s.n_days,
+  SELECT s.sid, s.sta_num, s.deliver_type, s.ord_type, s.nk, s.start_date, s.n_days,
          CAST(pe.d AS DATE) AS pre_end
   FROM series s CROSS JOIN generate_series({_d(lo)}, {_d(hi)}, INTERVAL 1 DAY) pe(d)
   WHERE s.deliver_type = 'Self' AND s.ord_type = 'Normal' AND s.start_date < CAST(pe.d AS DATE) - 395)"""
@@ -214,23 +216,23 @@ def fq(rows_fn, rows_name: str, body: str) -> str:
 
 W3_SQL = f"""WITH {ctes()},
 wb AS (
-  SELECT d.sta_num, d.deliver_type, d.ord_type, d.n_days, w.win,
+  SELECT d.sid, d.sta_num, d.deliver_type, d.ord_type, d.n_days, w.win,
          datediff('day', d.start_date, {_d(PRE_END)} - w.lo_back) AS plo,
          datediff('day', d.start_date, {_d(PRE_END)} - w.hi_back) AS phi
   FROM dedup d CROSS JOIN (VALUES ('pre', 30, 0), ('his', 365, 335), ('his_pre', 395, 365)) w(win, lo_back, hi_back)),
 el AS (
-  SELECT b.sta_num, b.deliver_type, b.ord_type, b.win, l.idx - b.plo AS idx, l.qty
-  FROM wb b JOIN long l USING (sta_num, deliver_type, ord_type)
+  SELECT b.sid, b.sta_num, b.deliver_type, b.ord_type, b.win, l.idx - b.plo AS idx, l.qty
+  FROM wb b JOIN long l USING (sid)
   WHERE b.plo >= 0 AND b.phi >= 0 AND l.idx >= b.plo AND l.idx < b.phi),
-st AS (SELECT sta_num, deliver_type, ord_type, win, count(*) AS k, sum(qty) AS s, sum(qty * qty) AS q
+st AS (SELECT sid, win, count(*) AS k, count(qty) AS nn, sum(qty) AS s, sum(qty * qty) AS q
        FROM el GROUP BY ALL),
-ei AS (SELECT e.*, (st.k * e.qty - st.s) * (st.k * e.qty - st.s) < st.k * st.q - st.s * st.s AS inl
-       FROM el e JOIN st USING (sta_num, deliver_type, ord_type, win)),
-md AS (SELECT sta_num, deliver_type, ord_type, win, median(qty) FILTER (WHERE inl) AS med,
+ei AS (SELECT e.*, st.k, st.nn, (st.k * e.qty - st.s) * (st.k * e.qty - st.s) < st.k * st.q - st.s * st.s AS inl
+       FROM el e JOIN st USING (sid, win)),
+md AS (SELECT sid, win, median(qty) FILTER (WHERE inl) AS med,
               count(*) FILTER (WHERE inl) AS ninl FROM ei GROUP BY ALL)
 SELECT ei.sta_num, ei.deliver_type, ei.ord_type, ei.win, CAST(ei.idx AS INTEGER) AS idx,
        round(CASE WHEN ei.inl THEN CAST(ei.qty AS DOUBLE) ELSE md.med END, 6) AS value
-FROM ei JOIN md USING (sta_num, deliver_type, ord_type, win) WHERE md.ninl > 0"""
+FROM ei JOIN md USING (sid, win) WHERE md.ninl > 0 AND ei.k = ei.nn"""
 
 SQL.update({
     "w1_windows": q(f"""SELECT sta_num, deliver_type, ord_type,
@@ -259,10 +261,9 @@ TRAIN_BODY = f"""SELECT CAST(h.h AS INTEGER) AS horizon, CAST(f.pre_end + CAST(8
        round(max(f.value) FILTER (WHERE f.idx = 89), 6) AS hist_last
 FROM feat f
 CROSS JOIN generate_series(0, 34) h(h)
-JOIN long l ON l.sta_num = f.sta_num AND l.deliver_type = f.deliver_type AND l.ord_type = f.ord_type
- AND l.ds = f.pre_end + CAST(8 + h.h AS INTEGER)
+JOIN long l ON l.sid = f.sid AND l.ds = f.pre_end + CAST(8 + h.h AS INTEGER)
 WHERE f.pre_end + CAST(8 + h.h AS INTEGER) BETWEEN {_d(L_FIRST)} AND {_d(L_LAST)} AND l.qty > 0
-GROUP BY 1, 2, 3, 4, 5"""
+GROUP BY 1, 2, 3, 4, 5, f.sid"""
 
 SQL.update({
     "w7_labels": q(f"""SELECT sta_num, ds AS label_date, qty AS label FROM long
@@ -283,8 +284,7 @@ def alloc_ctes() -> str:
 bfc AS (
   SELECT d.sta_num, CAST(h.h AS INTEGER) AS h, CAST(coalesce(l.qty, 0) AS DOUBLE) AS fc
   FROM dedup d CROSS JOIN generate_series(0, 34) h(h)
-  LEFT JOIN long l ON l.sta_num = d.sta_num AND l.deliver_type = d.deliver_type AND l.ord_type = d.ord_type
-   AND l.ds = {_d(T)} - 35 + CAST(h.h AS INTEGER)
+  LEFT JOIN long l ON l.sid = d.sid AND l.ds = {_d(T)} - 35 + CAST(h.h AS INTEGER)
   WHERE d.deliver_type = 'Self' AND d.ord_type = 'Normal'),
 oth AS (
   SELECT o.sta_num, o.deliver_type, o.ord_type, o.sum60, b.sum60 AS base60,
@@ -293,8 +293,7 @@ oth AS (
   WHERE NOT (o.deliver_type = 'Self' AND o.ord_type = 'Normal')),
 r35 AS (
   SELECT d.sta_num, d.deliver_type, d.ord_type, CAST(coalesce(sum(l.qty), 0) AS DOUBLE) AS r35
-  FROM dedup d LEFT JOIN long l ON l.sta_num = d.sta_num AND l.deliver_type = d.deliver_type
-   AND l.ord_type = d.ord_type AND l.idx >= d.n_days - 35
+  FROM dedup d LEFT JOIN long l ON l.sid = d.sid AND l.idx >= d.n_days - 35
   GROUP BY 1, 2, 3),
 alloc AS (
   SELECT o.sta_num, o.deliver_type, o.ord_type, f.h, f.fc * o.factor AS v, r.r35,
@@ -314,10 +313,9 @@ rp AS (
          datediff('day', d.start_date, {y}) + 1 AS real_len
   FROM dedup d),
 plong AS (
-  SELECT r.sta_num, r.deliver_type, r.ord_type, CAST(g.i AS BIGINT) AS i, coalesce(l.qty, 0) AS qty
+  SELECT r.sta_num, r.deliver_type, r.ord_type, CAST(g.i AS BIGINT) AS i, CASE WHEN l.idx IS NULL THEN 0 ELSE l.qty END AS qty
   FROM rp r CROSS JOIN generate_series(0, r.P - 1) g(i)
-  LEFT JOIN long l ON l.sta_num = r.sta_num AND l.deliver_type = r.deliver_type AND l.ord_type = r.ord_type
-   AND l.idx = g.i),
+  LEFT JOIN long l ON l.sid = r.sid AND l.idx = g.i),
 ranges AS (
   SELECT sta_num, deliver_type, ord_type, 'cur' AS block, 0 AS part, greatest(P - 60, 0) AS lo, P AS hi FROM rp
   UNION ALL SELECT sta_num, deliver_type, ord_type, 'ago', 0, greatest(P - 424, 0), greatest(P - 364, 0)
@@ -358,17 +356,16 @@ SQL.update({
         round(r35, 6) AS recent35, total > 2 * r35 AS capped FROM alloc"""),
     "r4_report_blocks": aq("""SELECT sta_num, deliver_type, ord_type, block, CAST(part AS INTEGER) AS part,
         CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM blocks""", report=True),
-    "r6_report": q(f"""SELECT CAST(d.n_regionkey + 1 AS VARCHAR) AS region_id, d.r_name AS region_name,
-        d.sta_num AS area_id, d.n_name AS area_name, d.sta_num, d.n_name AS sta_name, {_d(Y)} AS data_date,
+    "r6_report": q(f"""SELECT {REGION_CODE} AS region_id, d.r_name AS region_name,
+        CAST(d.nk AS VARCHAR) AS area_id, d.n_name AS area_name, d.sta_num, 'S' || d.sta_num AS sta_name, {_d(Y)} AS data_date,
         {_d(Y)} + CAST(7 - (isodow({_d(Y)}) - 1) AS INTEGER) AS next_monday,
         CASE d.deliver_type WHEN 'Self' THEN '2' WHEN 'FBP' THEN '0' WHEN '3rd' THEN '1' END AS fr_type,
-        CASE d.ord_type WHEN 'Normal' THEN '2' WHEN 'Fresh1' THEN '4' END AS ord_type,
-        '1' AS delivered_flag, d.deliver_type, d.ord_type AS ord_name,
+        {ORD_CODE} AS ord_type, '1' AS delivered_flag, d.deliver_type, d.ord_type AS ord_name,
         datediff('day', d.start_date, {_d(Y)}) + 1 > 365 AS has_year_ago
         FROM dedup d"""),
-    "w8_actuals": q(f"""SELECT l.sta_num, l.deliver_type, l.ord_type,
+    "w8_actuals": q(f"""SELECT l.sta_num, l.raw_d AS deliver_type, l.raw_o AS ord_type,
         CAST(datediff('day', {_d(T - dt.timedelta(days=35))}, l.ds) AS INTEGER) AS h, l.qty AS actual
-        FROM long l JOIN series s USING (sta_num, deliver_type, ord_type)
+        FROM long l JOIN series s USING (sid)
         WHERE datediff('day', s.start_date, {_d(T - dt.timedelta(days=35))}) >= 0
           AND datediff('day', s.start_date, {_d(T - dt.timedelta(days=35))}) + 35 <= s.n_days
           AND l.ds >= {_d(T - dt.timedelta(days=35))} AND l.ds < {_d(T)}"""),
@@ -376,14 +373,13 @@ SQL.update({
 
 
 SQL.update({
-    "s1_series_text": q(f"""SELECT s.sta_num, s.deliver_type, s.ord_type, s.r_name AS region_name,
-        CAST(s.n_regionkey AS VARCHAR) AS city_id, s.start_date, CAST(s.n_days AS INTEGER) AS n_days,
+    "s1_series_text": q(f"""SELECT s.sta_num, s.raw_d AS deliver_type, s.raw_o AS ord_type, s.r_name AS region_name,
+        CAST(s.nk AS VARCHAR) AS city_id, s.start_date, CAST(s.n_days AS INTEGER) AS n_days,
         CAST(sum(l.qty) AS BIGINT) AS qty_total
-        FROM series s JOIN long l USING (sta_num, deliver_type, ord_type) GROUP BY 1, 2, 3, 4, 5, 6, 7"""),
+        FROM series s JOIN long l USING (sid) GROUP BY s.sid, 1, 2, 3, 4, 5, 6, 7"""),
     "j3_city_ref": fq(forecast_rows, "frows", """SELECT c.city_id, c.std_sta AS std_sta_num, c.ref_start,
         CAST(s.n_days AS INTEGER) AS n_days, CAST(sum(l.qty) AS BIGINT) AS qty_total
-        FROM cref c JOIN series s ON s.sta_num = c.std_sta AND s.deliver_type = 'Self' AND s.ord_type = 'Normal'
-        JOIN long l ON l.sta_num = s.sta_num AND l.deliver_type = s.deliver_type AND l.ord_type = s.ord_type
+        FROM cref c JOIN series s ON s.sid = c.ref_sid JOIN long l ON l.sid = s.sid
         GROUP BY 1, 2, 3, 4"""),
 })
 
@@ -404,3 +400,46 @@ SQL.update({
     "j5_training_grid": fq(training_rows, "trows", f"""SELECT horizon, label_date, CAST(count(*) AS BIGINT) AS n_rows,
         CAST(sum(label) AS BIGINT) AS label_total FROM ({TRAIN_BODY}) t GROUP BY 1, 2"""),
 })
+
+
+def _text(part: int, block: str) -> str:
+    """The values of a block's part joined by commas, in order; '' without values."""
+    return (f"coalesce((SELECT string_agg(txt, ',' ORDER BY idx) FROM shown b WHERE b.sta_num = d.sta_num AND b.deliver_type = "
+            f"d.deliver_type AND b.ord_type = d.ord_type AND b.block = '{block}' AND b.part = {part}), '')")
+
+
+_CUR = " || '$' || ".join(_text(i, "cur") for i in range(4))
+_AGO = " || '$' || ".join(_text(i, "ago") for i in range(4))
+_LINES = f"""SELECT '#' || {REGION_CODE} || '#' || d.r_name || '#' || d.nk || '#' || d.n_name || '#' || d.sta_num || '#S' || d.sta_num || '#'
+    || strftime({_d(Y)}, '%Y-%m-%d') || '#' || strftime({_d(Y)} + CAST(7 - (isodow({_d(Y)}) - 1) AS INTEGER), '%Y-%m-%d') || '#'
+    || CASE d.deliver_type WHEN 'Self' THEN '2' WHEN 'FBP' THEN '0' WHEN '3rd' THEN '1' END || '#' || {ORD_CODE} || '#1#'
+    || {_CUR} || '#' || CASE WHEN datediff('day', d.start_date, {_d(Y)}) + 1 > 365 THEN {_AGO} ELSE '$$$' END || '#' AS value
+    FROM dedup d"""
+_SHOWN = """,
+shown AS (
+  SELECT *, CASE WHEN value IS NULL THEN '\\N' WHEN block = 'cur' AND part IN (1, 2)
+                 THEN regexp_replace(CAST(CAST(value AS DECIMAL(38, 6)) AS VARCHAR), '(\\.\\d+?)0+$', '\\1')
+                 ELSE CAST(CAST(value AS BIGINT) AS VARCHAR) END AS txt FROM blocks)"""
+
+
+def lines_sql(body: str) -> str:
+    return f"WITH {ctes()}{alloc_ctes()}{report_ctes()}{_SHOWN}\n{body}"
+
+
+SQL.update({
+    "r7_report_lines": lines_sql(_LINES),
+    "s3_publish": lines_sql(f"""SELECT count(*) AS n_lines, count(DISTINCT value) AS n_distinct, CAST(5 AS BIGINT) AS n_files,
+        CAST(5 AS BIGINT) AS n_deflate FROM ({_LINES}) t"""),
+    "a7_crossmean": q(f"""SELECT sta_num, round(avg(CASE WHEN y > 0 THEN x / y ELSE 1 END), 6) AS scale FROM (
+        SELECT d.sta_num, CAST(h.qty AS DOUBLE) AS x, CAST(r.qty AS DOUBLE) AS y FROM dedup d
+        JOIN long h ON h.sid = d.sid AND h.ds >= {_d(PRE_END)} - 365 AND h.ds < {_d(PRE_END)} - 335 AND h.qty IS NOT NULL
+        JOIN long r ON r.sid = d.sid AND r.ds >= {_d(PRE_END)} - 30 AND r.ds < {_d(PRE_END)} AND r.qty IS NOT NULL
+        WHERE d.deliver_type = 'Self' AND d.ord_type = 'Normal' AND d.start_date <= {_d(PRE_END)} - 365) t GROUP BY 1"""),
+    "m5_m6_model_dates": """SELECT as_of, as_of + CAST(7 - isodow(as_of) AS INTEGER) AS train_date,
+        as_of + CAST(7 - isodow(as_of) AS INTEGER) - 7 AS read_date
+        FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS as_of FROM lineitem) t""",
+    "m1_feature_vector": fq(forecast_rows, "frows", """SELECT f.sta_num, CAST(count(*) + 3 AS BIGINT) AS n,
+        CAST(max(s.n_regionkey) AS DOUBLE) AS province, CAST(max(s.nk) AS DOUBLE) AS city,
+        CAST(max(CASE WHEN s.sk % 20 = 11 THEN 0 ELSE s.sk END) AS DOUBLE) AS county
+        FROM feat f JOIN series s ON s.sid = f.sid GROUP BY 1"""),
+})

@@ -39,8 +39,9 @@ def pad_to(arr: Column, n: Column | int) -> Column:
 
 
 def array_sum(arr: Column, zero: Column | None = None) -> Column:
-    """Sum of the elements; an empty array sums to ``zero`` (0 of the element type by default)."""
-    return F.aggregate(arr, zero if zero is not None else F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    """Sum of the elements; a NULL element counts as 0, an empty array sums to ``zero`` (0 by default)."""
+    start = zero if zero is not None else F.lit(0).cast("bigint")
+    return F.aggregate(arr, start, lambda acc, x: acc + F.coalesce(x, F.lit(0)))
 
 
 def array_dsum(arr: Column) -> Column:
@@ -61,9 +62,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
-def _window_stats(w: Column) -> Column:
-    return F.struct(F.size(w).cast("bigint").alias("k"), array_sum(w).alias("s"),
-                    F.aggregate(w, F.lit(0).cast("bigint"), lambda acc, x: acc + x * x).alias("q"))
+#: Below this product of length and largest value the inlier test stays within 64 bits.
+SMALL = 1_500_000_000
+
+
+def _window_stats(w: Column, kind: str) -> Column:
+    num = lambda x: x.cast(kind)
+    return F.struct(num(F.size(w)).alias("k"),
+                    F.aggregate(w, num(F.lit(0)), lambda acc, x: num(acc + x)).alias("s"),
+                    F.aggregate(w, num(F.lit(0)), lambda acc, x: num(acc + num(x) * num(x))).alias("q"))
 
 
 def _inside(st: Column, x: Column) -> Column:
@@ -76,6 +83,14 @@ def _inside(st: Column, x: Column) -> Column:
     return dev * dev < st["k"] * st["q"] - st["s"] * st["s"]
 
 
+def _exact(w: Column, body) -> Column:
+    """``body(element type)`` in BIGINT where nothing can overflow, else in 38 digits: the same result, but the wide
+    type costs several times as much."""
+    largest = F.array_max(F.transform(w, lambda x: F.abs(x.cast("decimal(19,0)"))))
+    small = F.coalesce(largest * F.size(w) < SMALL, F.lit(True))
+    return F.when(small, body("bigint")).otherwise(body("decimal(38,0)"))
+
+
 def median_sorted(sorted_arr: Column) -> Column:
     """Median of an ascending array: middle element, or the mean of the middle pair; NULL when empty."""
     m = F.size(sorted_arr)
@@ -88,14 +103,19 @@ def median_sorted(sorted_arr: Column) -> Column:
 def clean_values(w: Column) -> Column:
     """Outliers of ``w`` replaced by the median of the strict inliers; NULL when ``w`` is empty, holds a NULL
     day, or has no strict inlier (an all-equal window, for example)."""
-    def with_stats(st):
-        def with_inliers(inl):
-            cleaned = let(median_sorted(inl), lambda med: F.transform(
-                w, lambda x: F.when(_inside(st, x), x.cast("double")).otherwise(med)))
-            return F.when((st["k"] > 0) & (F.size(inl) > 0), cleaned)
-        return let(F.array_sort(F.filter(w, lambda x: _inside(st, x))), with_inliers)
+    def cleaned(kind):
+        def with_stats(st):
+            def inside(x):
+                return _inside(st, x.cast("decimal(19,0)") if kind != "bigint" else x)
+
+            def with_inliers(inl):
+                values = let(median_sorted(inl), lambda med: F.transform(
+                    w, lambda x: F.when(inside(x), x.cast("double")).otherwise(med)))
+                return F.when((F.size(w) > 0) & (F.size(inl) > 0), values)
+            return let(F.array_sort(F.filter(w, inside)), with_inliers)
+        return let(_window_stats(w, kind), with_stats)
     usable = ~F.exists(w, lambda x: x.isNull())
-    return F.when(usable, let(_window_stats(w), with_stats))
+    return F.when(usable, _exact(w, cleaned))
 
 
 def clean_window(src: Column, lo: Column, hi: Column) -> Column:

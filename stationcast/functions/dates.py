@@ -27,17 +27,6 @@ def window_bounds(pre_end: Column, p: Params) -> dict[str, tuple[Column, Column]
     }
 
 
-def pre_end_for_label(label_day: Column, horizon: Column | int, p: Params) -> Column:
-    """Feature window end for label day ``L`` at horizon ``h``: ``L - (1 + h + stable_days)``."""
-    h = horizon if isinstance(horizon, Column) else F.lit(horizon)
-    return F.date_sub(label_day, (h + 1 + p.stable_days).cast("int"))
-
-
-def offset(day: Column, start_date: Column) -> Column:
-    """Index of ``day`` in a series that starts on ``start_date``."""
-    return F.datediff(day, start_date)
-
-
 def model_date_for_training(as_of: dt.date) -> dt.date:
     """Models trained on ``as_of`` are filed under the Sunday that ends its week."""
     return as_of + dt.timedelta(days=6 - as_of.weekday())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import array_dsum, let, pad_to, py_slice, trailing_sum
+from ..functions.arrays import array_dsum, array_sum, let, py_slice
 from ..params import Params
 from .series import is_base
 
@@ -13,10 +13,12 @@ from .series import is_base
 def sum_recent(p: Params) -> Column:
     """Sum of the last ``recent_days`` days after zero-padding the history to ``datediff(T-1, start)`` days.
 
-    The pad target is one day shorter than the report's (SURVEY Q5), kept as published.
+    The pad target is one day shorter than the report's (SURVEY Q5), kept as published. Only the tail that is summed is
+    cut out; zeros add nothing. A NULL day counts as 0 (Q11).
     """
-    padded = pad_to(F.col("qty"), F.datediff(F.lit(p.yesterday), "start_date"))
-    return let(padded, lambda a: trailing_sum(a, p.recent_days))
+    n = F.size("qty")
+    zeros = F.least(F.greatest(F.datediff(F.lit(p.yesterday), "start_date") - n, F.lit(0)), F.lit(p.recent_days))
+    return array_sum(py_slice(F.col("qty"), F.greatest(n - (F.lit(p.recent_days) - zeros), F.lit(0)), None))
 
 
 def ratio_expr(sum_col: Column, base_col: Column) -> Column:
@@ -42,8 +44,17 @@ def class_ratio(series: DataFrame, p: Params) -> DataFrame:
                     ratio_expr(F.col("sum60"), F.col("base60")).alias("ratio")))
 
 
-def with_station_base(series: DataFrame, p: Params) -> DataFrame:
-    """Every row plus its station's base-class 60-day sum (``base60``) and whether a base row exists.
+def keep_tail(df: DataFrame, days: int) -> DataFrame:
+    """Histories cut to their last ``days`` days, with ``start_date`` moved to the first kept day, so offsets from the end
+    and the days missing after it stay the same."""
+    cut = F.greatest(F.size("qty") - F.lit(days), F.lit(0))
+    return (df.withColumn("_cut", cut).withColumn("qty", py_slice(F.col("qty"), F.col("_cut"), None))
+            .withColumn("start_date", F.date_add("start_date", F.col("_cut"))).drop("_cut"))
+
+
+def with_station_base(series: DataFrame, p: Params, tail_days: int) -> DataFrame:
+    """Every row plus its station's base-class 60-day sum (``base60``) and whether a base row exists; histories are cut to
+    the ``tail_days`` that later steps read, before they cross the shuffle.
 
     One window over ``sta_num``: after the dedupe a station holds one row per class, so each window group is
     bounded by the number of classes.
@@ -51,9 +62,7 @@ def with_station_base(series: DataFrame, p: Params) -> DataFrame:
     from pyspark.sql.window import Window
 
     w = Window.partitionBy("sta_num")
-    s60 = sum_recent(p)
-    return (series
-            .withColumn("sum60", s60)
+    return (keep_tail(series.withColumn("sum60", sum_recent(p)), tail_days)
             .withColumn("is_base", is_base(p))
             .withColumn("base60", F.max(F.when(F.col("is_base"), F.col("sum60"))).over(w))
             .withColumn("has_base", F.max(F.col("is_base").cast("int")).over(w) == 1))
@@ -71,14 +80,25 @@ def allocation_factor(p: Params) -> Column:
     return F.when(F.col("base60") == 0, F.lit(0.0)).otherwise(r)
 
 
-def allocate(forecast: Column, factor: Column, qty: Column, p: Params) -> Column:
-    """Scaled base forecast, flattened to ``sum(last 35 days) / 35`` when it exceeds ``cap_factor`` times that sum.
+def allocation(forecast: Column, factor: Column, qty: Column, p: Params) -> Column:
+    """Struct of the allocated ``forecast``, the scaled total before the cap (``scaled_total``), the trailing sum
+    (``recent35``) and whether the cap applied (``capped``).
 
-    A NULL forecast (no base forecast at the station) gives an empty forecast, as published.
+    The scaled base forecast is flattened to ``sum(last 35 days) / 35`` when it exceeds ``cap_factor`` times that sum. A
+    NULL forecast (no base forecast at the station) gives an empty forecast, as published.
     """
     fc = F.coalesce(forecast, F.array().cast("array<double>"))
     scaled = F.transform(fc, lambda x: x * factor)
     recent = py_slice(qty, -p.cap_days, None)
     recent_sum = F.aggregate(recent, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0)).cast("double"))
-    capped = F.array_repeat(recent_sum / float(p.cap_days), p.fr_len)
-    return F.when(array_dsum(scaled) > p.cap_factor * recent_sum, capped).otherwise(scaled)
+    def build(s):
+        flat = F.array_repeat(s["recent35"] / float(p.cap_days), p.fr_len)
+        return F.struct(F.when(s["total"] > p.cap_factor * s["recent35"], flat).otherwise(s["scaled"]).alias("forecast"),
+                        s["total"].alias("scaled_total"), s["recent35"].alias("recent35"),
+                        (s["total"] > p.cap_factor * s["recent35"]).alias("capped"))
+    return let(scaled, lambda a: let(F.struct(a.alias("scaled"), array_dsum(a).alias("total"), recent_sum.alias("recent35")), build))
+
+
+def allocate(forecast: Column, factor: Column, qty: Column, p: Params) -> Column:
+    """The allocated forecast alone (see ``allocation``)."""
+    return allocation(forecast, factor, qty, p)["forecast"]

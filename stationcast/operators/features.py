@@ -24,7 +24,6 @@ from ..functions.dates import WINDOWS, window_bounds
 from ..params import Params
 from .joins import sized_broadcast
 
-N_HIST = 90
 ID_COLUMNS = ("province_id", "city_id", "county_id")
 
 
@@ -98,8 +97,8 @@ def _fallback(pos: dict, p: Params) -> Column:
                   & _no_nulls(b["own"]) & _no_nulls(b["his"]) & _no_nulls(b["hp"]))
         return F.when(usable, let(div, scaled))
 
-    # days before the reference starts are missing, not wrapped around (Q7)
-    ok = F.col("ref_qty").isNotNull() & (ref_his_lo >= 0) & (ref_hp_lo >= 0)
+    # days before the series or the reference starts are missing, not wrapped around (Q7)
+    ok = F.col("ref_qty").isNotNull() & (pos["pre"][0] >= 0) & (ref_his_lo >= 0) & (ref_hp_lo >= 0)
     return F.when(ok, let(parts, build))
 
 
@@ -124,12 +123,12 @@ def history_features(df: DataFrame, p: Params) -> DataFrame:
                           .otherwise(F.lit("fallback")))
               .withColumn("hist", F.when(all_ok, F.concat(*w)).otherwise(_fallback(pos, p)))
               .drop(*[f"_w{i}" for i in range(len(WINDOWS))]))
-    return keep_rows(staged, F.col("hist").isNotNull() & (F.size("hist") == N_HIST))
+    return keep_rows(staged, F.col("hist").isNotNull() & (F.size("hist") == len(WINDOWS) * p.window_len))
 
 
 def with_feature_vector(df: DataFrame, out: str = "features") -> DataFrame:
-    """``hist`` ++ (province, city, county) as doubles, as an ML vector (M1)."""
-    ids = [F.col(c).try_cast("double") for c in ID_COLUMNS]
+    """``hist`` ++ (province, city, county) as doubles, as an ML vector (M1). An id that is no number counts as 0."""
+    ids = [F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in ID_COLUMNS]
     return df.withColumn(out, array_to_vector(F.concat(F.col("hist"), F.array(*ids))))
 
 

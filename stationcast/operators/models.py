@@ -1,15 +1,14 @@
 """One gradient-boosted-tree regressor per horizon (M3-M6, S7, S8, A11), as Spark ML jobs.
 
-Training reads the training set written once, partitioned by ``horizon``, so each fit scans only its own
-partition. The fits are independent Spark jobs submitted from a small driver thread pool; the scheduler
-interleaves them on the cluster. Scoring applies the 35 models one after another to the same rows (each a
-projection), so the 35-day forecast is built without a shuffle or a join.
+Training reads the feature table written once, partitioned by feature day, so each fit scans only its own days. The fits are
+independent Spark jobs submitted from a small driver thread pool; the scheduler interleaves them on the cluster. A model is
+saved as soon as it is fitted and scoring loads one at a time per thread, so the driver and the broadcasts hold as many
+models as there are threads, not all 35. Scores are written per horizon and met by one bounded aggregation per station.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -18,10 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import model_date_for_forecast, model_date_for_training
 from ..params import GbtParams, Params
+from ..session import shared_dir
 
 
 def model_path(root: str, model_date: dt.date, horizon: int) -> str:
-    return os.path.join(root, f"model_date={model_date.isoformat()}", f"horizon={horizon}")
+    return f"{root.rstrip('/')}/model_date={model_date.isoformat()}/horizon={horizon}"
 
 
 def regressor(g: GbtParams) -> GBTRegressor:
@@ -33,78 +33,75 @@ def regressor(g: GbtParams) -> GBTRegressor:
         cacheNodeIds=g.checkpoint_interval > 0, seed=g.seed)
 
 
-ROWS_PER_PARTITION = 200_000  # ~150 MB of 93-double feature rows per boosting partition
+class MissingModel(RuntimeError):
+    """A model that the forecast needs is not in the store."""
 
 
-def fit_horizon(rows: DataFrame, g: GbtParams) -> GBTRegressionModel | None:
-    """Fit one regressor on ``(features, label)`` rows; None when there is no row.
+def fit_horizon(rows: DataFrame, g: GbtParams) -> GBTRegressionModel:
+    """Fit one regressor on ``(sta_num, pre_end, features, label)`` rows.
 
-    Boosting runs a job per tree level, so the input's partition count is sized from its row count: a small
-    horizon trains in one partition, a large one in partitions of ``ROWS_PER_PARTITION`` rows.
+    Boosting samples rows by partition, so rows are dealt by their key over ``g.partitions`` partitions and ordered in
+    them: neither the row count nor the file layout changes the model.
     """
-    n = rows.count()
-    if n == 0:
-        return None
-    parts = max(1, -(-n // ROWS_PER_PARTITION))
-    return regressor(g).fit(rows.coalesce(parts))
+    dealt = rows.repartition(g.partitions, "sta_num", "pre_end").sortWithinPartitions("sta_num", "pre_end")
+    return regressor(g).fit(dealt.select("features", "label"))
 
 
-def fit_models(spark: SparkSession, table_path: str, p: Params, model_root: str,
-               parallel_fits: int = 4) -> list[GBTRegressionModel | None]:
-    """Fit and save the ``fr_len`` models under this week's Sunday (M5); returns them in horizon order
-    (None for a horizon without training rows).
+def fit_models(spark: SparkSession, table_path: str, p: Params, model_root: str, parallel_fits: int = 4) -> list[str]:
+    """Fit and save the ``fr_len`` models under this week's Sunday (M5); their paths in horizon order.
 
-    ``table_path`` holds the feature table written by ``train_job`` (partitioned by ``pre_end``); each
-    horizon reads only the ``iter_count`` feature days it trains on.
+    ``table_path`` holds the feature table written by ``train_job`` (partitioned by ``pre_end``); each horizon reads only the
+    ``iter_count`` feature days it trains on. One aggregate counts the rows of every horizon first: a horizon
+    without rows stops the job before any model is replaced.
     """
-    from .training import horizon_rows
+    from .training import horizon_filter, horizon_rows
 
     table = spark.read.parquet(table_path)
+    counts = table.agg(*[F.count(F.when(horizon_filter(h, p), F.lit(1))).alias(f"h{h}") for h in range(p.fr_len)]).first()
+    empty = [h for h in range(p.fr_len) if not counts[f"h{h}"]]
+    if empty:
+        raise ValueError(f"no training rows for horizons {empty}")
     model_date = model_date_for_training(p.as_of)
 
-    def one(h: int):
-        model = fit_horizon(horizon_rows(table, h, p), p.gbt)
-        if model is not None:
-            model.write().overwrite().save(model_path(model_root, model_date, h))
-        return model
+    def one(h: int) -> str:
+        path = model_path(model_root, model_date, h)
+        fit_horizon(horizon_rows(table, h, p), p.gbt).write().overwrite().save(path)
+        return path
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_fits)) as pool:
         return list(pool.map(one, range(p.fr_len)))
 
 
-def load_models(model_root: str, model_date: dt.date, fr_len: int, parallel: int | None = None) -> list[GBTRegressionModel | None]:
-    """The ``fr_len`` models of a model date, loaded concurrently (each load is a few small reads)."""
-    def one(h: int):
-        path = model_path(model_root, model_date, h)
-        if "://" not in path and path.startswith("/") and os.path.isdir(os.path.dirname(path)) \
-                and not os.path.exists(path):
-            return None   # a local folder without this horizon (no training row for it)
-        try:
-            return GBTRegressionModel.load(path)
-        except Exception as exc:  # noqa: BLE001 - a missing model surfaces as a JVM error
-            if "does not exist" in str(exc) or "FileNotFound" in str(exc) or "PATH_NOT_FOUND" in str(exc):
-                return None
-            raise
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel or fr_len)) as pool:
-        return list(pool.map(one, range(fr_len)))
+def load_model(model_root: str, model_date: dt.date, horizon: int) -> GBTRegressionModel:
+    """The model of one horizon; a missing one stops the job."""
+    path = model_path(model_root, model_date, horizon)
+    try:
+        return GBTRegressionModel.load(path)
+    except Exception as e:
+        raise MissingModel(f"no model for horizon {horizon} at {path}") from e
 
 
-def score(features: DataFrame, models: list[GBTRegressionModel | None], out: str = "forecast") -> DataFrame:
-    """Add ``out`` = ``ARRAY<DOUBLE>`` of one prediction per horizon, in horizon order.
+def score(features: DataFrame, model_root: str, model_date: dt.date, p: Params, parallel: int = 4) -> DataFrame:
+    """``(sta_num, forecast)``: one prediction per horizon, in horizon order.
 
-    A horizon without a model predicts NULL.
+    The features are written once; each horizon's scores go to a folder of their own. A station's group holds
+    ``fr_len`` numbers, whatever the data.
     """
-    df = features
-    cols = []
-    for h, m in enumerate(models):
-        name = f"_p{h}"
-        if m is None:
-            df = df.withColumn(name, F.lit(None).cast("double"))
-        else:
-            df = m.copy().setPredictionCol(name).transform(df)
-        cols.append(name)
-    return df.withColumn(out, F.array(*[F.col(c) for c in cols])).drop(*cols)
+    spark = features.sparkSession
+    root = shared_dir(spark, "scores")
+    features.select("sta_num", "features").write.parquet(f"{root}/features")
+    rows = spark.read.parquet(f"{root}/features")
+
+    def one(h: int) -> None:
+        scored = load_model(model_root, model_date, h).transform(rows)
+        scored.select("sta_num", "prediction").write.mode("overwrite").parquet(f"{root}/scores/horizon={h}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(one, range(p.fr_len)))
+    scores = spark.read.parquet(f"{root}/scores")
+    return (scores.groupBy("sta_num")
+            .agg(F.array_sort(F.collect_list(F.struct(F.col("horizon"), F.col("prediction")))).alias("s"))
+            .select("sta_num", F.transform("s", lambda x: x["prediction"]).alias("forecast")))
 
 
 def forecast_model_date(p: Params) -> dt.date:

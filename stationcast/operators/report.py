@@ -13,6 +13,7 @@ from ..functions.arrays import py_slice, rolling_week_sums
 from ..functions.dates import next_monday
 from ..params import Params
 from ..sources import codes as code_dim
+from ..sources.series_text import NULL_MARK
 
 REPORT_COLUMNS = ["region_id", "region_name", "area_id", "area_name", "sta_num", "sta_name", "data_date",
                   "next_monday", "fr_type", "ord_type", "delivered_flag", "current_block", "year_ago_block"]
@@ -86,9 +87,19 @@ def quarantined_rows(report: DataFrame) -> DataFrame:
     return report.where(code_dim.quarantined(report, ["fr_type", "ord_type", "region_id"]))
 
 
-def _block_text(b: Column) -> Column:
-    parts = [F.array_join(F.transform(b[name], lambda x: x.cast("string")), ",")
-             for name in ("recent", "forecast", "week_rest", "rolling")]
+def number_text(x: Column) -> Column:
+    """A number rounded to six places, without exponent: ``12.0``, ``3.333333``."""
+    return F.regexp_replace(x.cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+
+
+def _block_text(b: Column, kinds: dict[str, str]) -> Column:
+    """The four parts of a block; a NULL element is written as the null mark, so every value keeps its day."""
+    def text(name):
+        whole = kinds[name] == "bigint"
+        return F.array_join(F.transform(b[name], lambda x: F.coalesce(
+            x.cast("string") if whole else number_text(x), F.lit(NULL_MARK))), ",")
+
+    parts = [text(name) for name in ("recent", "forecast", "week_rest", "rolling")]
     return F.when(b.isNull(), F.lit("$$$")).otherwise(F.concat_ws("$", *parts))
 
 
@@ -97,7 +108,8 @@ def report_text(report: DataFrame) -> DataFrame:
     fields = [F.lit("")]
     for c in REPORT_COLUMNS:
         if c in ("current_block", "year_ago_block"):
-            fields.append(_block_text(F.col(c)))
+            fields.append(_block_text(F.col(c), {f.name: f.dataType.elementType.simpleString()
+                                                 for f in report.schema[c].dataType.fields}))
         elif c in ("data_date", "next_monday"):
             fields.append(F.date_format(c, "yyyy-MM-dd"))
         else:

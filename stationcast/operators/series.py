@@ -18,6 +18,22 @@ def is_base(p: Params) -> Column:
     return F.coalesce(d & o, F.lit(False))
 
 
+def normalised(df: DataFrame) -> DataFrame:
+    """Class names in one spelling: aliases of the base class become its English names, so a station has one base key."""
+    def name(col, aliases, english):
+        return F.when(F.col(col).isin(*aliases), F.lit(english)).otherwise(F.col(col))
+
+    return (df.withColumn("deliver_type", name("deliver_type", BASE_DELIVER_ALIASES, "Self"))
+            .withColumn("ord_type", name("ord_type", BASE_ORD_ALIASES, "Normal")))
+
+
+def known_at(df: DataFrame, p: Params) -> DataFrame:
+    """Histories cut to the days before the as-of day; series that start later are dropped. A back-test then sees what the
+    job would have seen."""
+    days = F.datediff(F.lit(p.as_of), "start_date")
+    return df.where(F.col("start_date") < F.lit(p.as_of)).withColumn("qty", F.slice("qty", 1, days))
+
+
 def base_class(df: DataFrame, p: Params) -> DataFrame:
     return df.where(is_base(p))
 

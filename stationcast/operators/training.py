@@ -117,12 +117,20 @@ def feature_table(series: DataFrame, ref: DataFrame, p: Params, measured: bool =
     return feats.select("pre_end", "sta_num", "path", "features", horizon_labels(p).alias("labels"))
 
 
-def horizon_rows(table: DataFrame, horizon: int, p: Params) -> DataFrame:
-    """Training rows of one horizon from ``feature_table``: the ``iter_count`` feature days whose label day is
-    a label day (a range on ``pre_end``, pruned to partitions when the table is partitioned by it), and
-    positive labels only."""
+def horizon_days(horizon: int, p: Params) -> Column:
+    """The ``iter_count`` feature days whose label day is a label day: a range on ``pre_end``."""
     first_l, last_l = label_days(p)
     gap = dt.timedelta(days=1 + p.stable_days + horizon)
-    rows = table.where(F.col("pre_end").between(F.lit(first_l - gap), F.lit(last_l - gap)))
-    return (rows.select("features", F.col("labels")[horizon].cast("double").alias("label"))
-            .where(F.col("label") > 0))
+    return F.col("pre_end").between(F.lit(first_l - gap), F.lit(last_l - gap))
+
+
+def horizon_filter(horizon: int, p: Params) -> Column:
+    """Rows of ``feature_table`` that train a horizon: its feature days, positive labels only."""
+    return horizon_days(horizon, p) & (F.col("labels")[horizon] > 0)
+
+
+def horizon_rows(table: DataFrame, horizon: int, p: Params) -> DataFrame:
+    """``(sta_num, pre_end, features, label)`` of one horizon from ``feature_table`` (pruned to its partitions when the
+    table is partitioned by ``pre_end``)."""
+    return (table.where(horizon_days(horizon, p)).where(F.col("labels")[horizon] > 0)
+            .select("sta_num", "pre_end", "features", F.col("labels")[horizon].cast("double").alias("label")))

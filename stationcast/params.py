@@ -23,6 +23,7 @@ class GbtParams:
     min_info_gain: float = 0.0
     max_bins: int = 32
     checkpoint_interval: int = 10   # rounds between lineage cuts (and node-id caching); -1 = none
+    partitions: int = 32            # rows are dealt over so many partitions by key; part of the model's definition
     seed: int = 7
 
 
@@ -43,6 +44,7 @@ class Params:
     # Base class: the forecast is modelled for it and allocated to every other class.
     base_deliver: str = "Self"
     base_ord: str = "Normal"
+    # Partition names of the published source table.
     # Where the forecast job reads series; the training job reads another source (see SURVEY Q9).
     forecast_source: str = "station_ords_sta_dt"
     train_source: str = "station_ords_create_dt"
@@ -88,11 +90,3 @@ class Params:
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
-
-
-def parse_day(value) -> dt.date:
-    if isinstance(value, dt.datetime):
-        return value.date()
-    if isinstance(value, dt.date):
-        return value
-    return dt.date.fromisoformat(str(value))

@@ -32,6 +32,12 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--out", help="report output root (forecast)")
     ap.add_argument("--files", type=int, default=5, help="report files (forecast)")
     ap.add_argument("--parallel-fits", type=int, default=4, help="concurrent horizon fits (train)")
+    ap.add_argument("--base-deliver", default="Self", help="delivery type of the base class")
+    ap.add_argument("--base-ord", default="Normal", help="order type of the base class")
+    ap.add_argument("--city-by-own-offset", action="store_true", help="index the city series by the station's own offsets")
+    ap.add_argument("--ratio-one-is-zero", action="store_true", help="a class ratio of exactly 1 allocates nothing")
+    ap.add_argument("--train-fresh-dedupe", action="store_true", help="train on fresh, deduplicated series")
+    ap.add_argument("--fallback-scale", choices=["volume", "crossmean"], default="volume")
     ap.add_argument("--max-iter", type=int, default=None, help="boosting rounds (default 1000)")
     ap.add_argument("--max-depth", type=int, default=None, help="tree depth (default 15)")
     return ap
@@ -39,7 +45,8 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
-    p = Params(as_of=a.as_of)
+    p = Params(as_of=a.as_of, base_deliver=a.base_deliver, base_ord=a.base_ord, align_city_by_date=not a.city_by_own_offset,
+               ratio_one_is_zero=a.ratio_one_is_zero, train_fresh_dedupe=a.train_fresh_dedupe, fallback_scale=a.fallback_scale)
     if a.max_iter is not None or a.max_depth is not None:
         import dataclasses
 
@@ -55,10 +62,7 @@ def main(argv: list[str] | None = None) -> None:
         if not a.out:
             raise SystemExit("--out is required for the forecast job")
         series = series_text.read_series(spark, a.series, a.source_type or p.forecast_source, p.date_type)
-        rep = forecast_job.run(spark, series, ref, codes.code_dim(spark), p, a.models)
-        from ..operators.report import publish
-
-        publish(rep, a.out, p, files=a.files)
+        forecast_job.run(spark, series, ref, codes.code_dim(spark), p, a.models, a.out, a.files)
 
 
 if __name__ == "__main__":

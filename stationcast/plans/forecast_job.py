@@ -14,31 +14,30 @@ from ..operators import allocation, evaluation, features, models, report, series
 from ..operators.joins import sized_broadcast
 from ..params import Params
 from ..session import shared_dir
+from ..sources.series_text import SERIES_COLUMNS
 
 KEY = ["sta_num", "deliver_type", "ord_type"]
+UNREAD = ("tag", "date_unit", "history_len", "unit_len", "time_span", "remark")
 
 
 def clean_series(series: DataFrame, p: Params, checkpoint: bool = True) -> DataFrame:
-    """Fresh series, one per (station, delivery type, order type); checkpointed because the base-class
+    """Fresh series as known on the as-of day, one per (station, delivery type, order type) and so one base series per
+    station; columns that nothing reads do not cross the dedupe's shuffle. Checkpointed because the base-class
     branch (features, scoring) and the report branch both read it."""
-    clean = ser.dedupe_longest(ser.fresh(series, p), KEY)
+    needed = [c for c in series.columns if c in SERIES_COLUMNS and c not in UNREAD]
+    known = ser.known_at(ser.normalised(series.select(*needed)), p)
+    clean = ser.dedupe_longest(ser.fresh(known, p), KEY)
     if checkpoint:
         shared_dir(series.sparkSession)
         clean = clean.checkpoint(eager=True)
     return clean
 
 
-def model_forecasts(clean: DataFrame, ref: DataFrame, p: Params, model_root: str,
-                    fitted: list | None = None) -> DataFrame:
-    """``(sta_num, forecast)`` for base-class series with a full feature row.
-
-    The models are read from last week's folder of ``model_root``; ``fitted`` hands over models already in
-    this session (a training run followed by the forecast in one application).
-    """
+def model_forecasts(clean: DataFrame, ref: DataFrame, p: Params, model_root: str) -> DataFrame:
+    """``(sta_num, forecast)`` for base-class series with a full feature row, by the models in last week's folder of
+    ``model_root``."""
     feats = features.with_feature_vector(features.forecast_features(ser.base_class(clean, p), ref, p))
-    loaded = fitted if fitted is not None else models.load_models(model_root, models.forecast_model_date(p),
-                                                                   p.fr_len)
-    return models.score(feats, loaded).select("sta_num", "forecast")
+    return models.score(feats, model_root, models.forecast_model_date(p), p)
 
 
 def naive_forecasts(clean: DataFrame, p: Params) -> DataFrame:
@@ -49,14 +48,14 @@ def naive_forecasts(clean: DataFrame, p: Params) -> DataFrame:
 def allocated(clean: DataFrame, station_fc: DataFrame, p: Params, measure: bool = True) -> DataFrame:
     """Every clean row with its ``forecast``: the base forecast for the base class, the allocated and capped
     one for the other classes (NULL when the station has no base row)."""
-    rows = allocation.with_station_base(clean, p)
+    rows = allocation.with_station_base(clean, p, report.report_span(p))
     fc = station_fc.select("sta_num", F.col("forecast").alias("base_forecast"))
     fc = sized_broadcast(fc, ("base_forecast",)) if measure else fc
     rows = rows.join(fc, "sta_num", "left")
-    alloc = allocation.allocate(F.col("base_forecast"), allocation.allocation_factor(p), F.col("qty"), p)
+    alloc = allocation.allocation(F.col("base_forecast"), allocation.allocation_factor(p), F.col("qty"), p)
+    rows = rows.withColumn("allocation", F.when(~F.col("is_base") & F.col("has_base"), alloc))
     return rows.withColumn(
-        "forecast",
-        F.when(F.col("is_base"), F.col("base_forecast")).when(F.col("has_base"), alloc))
+        "forecast", F.when(F.col("is_base"), F.col("base_forecast")).otherwise(F.col("allocation")["forecast"]))
 
 
 def build_report(clean: DataFrame, station_fc: DataFrame, codes: DataFrame, p: Params) -> DataFrame:
@@ -64,11 +63,13 @@ def build_report(clean: DataFrame, station_fc: DataFrame, codes: DataFrame, p: P
 
 
 def run(spark: SparkSession, series: DataFrame, ref: DataFrame, codes: DataFrame, p: Params, model_root: str,
-        out_root: str | None = None, fitted: list | None = None) -> DataFrame:
-    """The whole forecast job; writes the text report when ``out_root`` is given."""
+        out_root: str | None = None, files: int = 5) -> DataFrame:
+    """The whole forecast job; writes the text report when ``out_root`` is given, and says how many of its rows
+    have a name without a code."""
     clean = clean_series(series, p)
-    station_fc = model_forecasts(clean, ref, p, model_root, fitted).checkpoint(eager=True)
+    station_fc = model_forecasts(clean, ref, p, model_root).checkpoint(eager=True)
     rep = build_report(clean, station_fc, codes, p)
     if out_root:
-        report.publish(rep, out_root, p)
+        report.publish(rep, out_root, p, files=files)
+        print(f"report rows with an unknown name: {report.quarantined_rows(rep).count()}")
     return rep

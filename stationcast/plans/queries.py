@@ -12,7 +12,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import clean_window as _clean_window
+from ..functions.arrays import array_sum as _array_sum, clean_window as _clean_window, scale_crossmean as _crossmean
+from ..functions import dates as _dates
+from ..functions.arrays import py_slice as _py_slice
 from ..functions.dates import window_bounds as _window_bounds
 from ..operators import allocation, series as ser
 from ..operators import evaluation as _evaluation, features as _features, report as _report
@@ -38,7 +40,7 @@ def _series(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
 
 def _clean_series(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
     """Fresh, one row per (station, delivery type, order type): the forecast job's input."""
-    return ser.dedupe_longest(ser.fresh(_series(spark, sf_dir, p), p), ["sta_num", "deliver_type", "ord_type"])
+    return _fj.clean_series(_series(spark, sf_dir, p), p, checkpoint=False)
 
 
 KEY = ["sta_num", "deliver_type", "ord_type"]
@@ -83,7 +85,7 @@ def a1_dedupe_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = params()
     s = _clean_series(spark, sf_dir, p)
     return s.select(*KEY, "start_date", F.size("qty").alias("n_days"),
-                    F.aggregate("qty", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("qty_total"))
+                    _array_sum(F.col("qty")).alias("qty_total"))
 
 
 def a2_sum60(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,12 +140,7 @@ def _inputs(spark, sf_dir, p):
 
 def _base_clean(spark, sf_dir, p, s=None):
     s = _series(spark, sf_dir, p) if s is None else s
-    clean = ser.dedupe_longest(ser.fresh(s, p), ["sta_num", "deliver_type", "ord_type"])
-    return ser.base_class(clean, p)
-
-
-def _city_ref(spark, sf_dir, p):
-    return tables.city_reference_from_tables(_series(spark, sf_dir, p), p)
+    return ser.base_class(_fj.clean_series(s, p, checkpoint=False), p)
 
 
 def w1_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,12 +262,9 @@ def r2_allocate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r3_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per other class: whether the cap applied, and the scaled forecast total before it."""
     p = params()
-    a = _naive_allocated(spark, sf_dir, p).where(~F.col("is_base") & F.col("has_base"))
-    factor = allocation.allocation_factor(p)
-    scaled_total = F.aggregate("base_forecast", F.lit(0.0), lambda acc, x: acc + x * factor)
-    recent = F.aggregate(F.slice("qty", -p.cap_days, p.cap_days), F.lit(0.0), lambda acc, x: acc + x)
-    return a.select(*KEY, F.round(scaled_total, 6).alias("scaled_total"), F.round(recent, 6).alias("recent35"),
-                    (scaled_total > p.cap_factor * recent).alias("capped"))
+    a = _naive_allocated(spark, sf_dir, p).where(F.col("allocation").isNotNull())
+    return a.select(*KEY, F.round("allocation.scaled_total", 6).alias("scaled_total"),
+                    F.round("allocation.recent35", 6).alias("recent35"), "allocation.capped")
 
 
 def _naive_report(spark, sf_dir, p):
@@ -314,10 +308,10 @@ def w8_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features.posexplode_kept(a, "actual", "h", "actual", *KEY)
 
 
-# Small-model settings of the registered model queries (production: GbtParams() = 1000 rounds, depth 15,
-# lineage cut every 10 rounds). Ten rounds leave a short lineage, so they run without tree checkpoints.
+# Settings of the registered model queries, on the production code path (lineage cuts and node-id caching on): fewer rounds
+# and less depth than GbtParams() (1000 rounds, depth 15), whose 35 fits of a job per tree level take hours here.
 
-QUERY_GBT = _Gbt(max_iter=10, max_depth=5, checkpoint_interval=-1)
+QUERY_GBT = _Gbt(max_iter=6, max_depth=5, checkpoint_interval=3, partitions=4)
 
 
 def _trained(spark, sf_dir, p):
@@ -326,14 +320,14 @@ def _trained(spark, sf_dir, p):
 
     s, ref = _inputs(spark, sf_dir, p)
     root = shared_dir(spark, "models")
-    fitted = _tj.run(spark, s, ref, p, root, parallel_fits=p.fr_len)
-    return s, ref, root, fitted
+    _tj.run(spark, s, ref, p, root, parallel_fits=8)
+    return s, ref, root
 
 
 def m4_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """35-day model forecast per station (M3-M6, A11): trained as of ``T - 7``, scored as of ``T``."""
     p = params().with_(gbt=QUERY_GBT)
-    s, ref, root, _ = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     clean = _fj.clean_series(s, p)
     fc = _fj.model_forecasts(clean, ref, p, root)   # read back from the model store
     return _features.posexplode_kept(fc, "forecast", "h", "forecast", "sta_num")
@@ -343,11 +337,12 @@ def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Back-test at ``T - 35``: per-horizon RMSE of the model, the seasonal-naive baseline and the recent-window
     mean baseline (W8, SURVEY 5.5)."""
     p = params().with_(as_of=AS_OF - dt.timedelta(days=35), gbt=QUERY_GBT)
-    s, ref, root, fitted = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     clean = _fj.clean_series(s, p)
-    model_fc = _fj.model_forecasts(clean, ref, p, root, fitted)
+    model_fc = _fj.model_forecasts(clean, ref, p, root)
     naive_fc = _fj.naive_forecasts(clean, p)
-    act = _evaluation.actuals(ser.base_class(clean, p), p).select("sta_num", "actual")
+    later = ser.dedupe_longest(ser.normalised(s), KEY)      # the days from the as-of day on, which ``clean`` has not
+    act = _evaluation.actuals(ser.base_class(later, p), p).select("sta_num", "actual")
     m = _evaluation.rmse(model_fc, act).withColumnRenamed("rmse", "rmse_model")
     b = _evaluation.rmse(naive_fc, act).select("horizon", F.col("rmse").alias("rmse_naive"))
     pre = _evaluation.pre_mean_forecast(_features.forecast_features(ser.base_class(clean, p), ref, p), p)
@@ -358,13 +353,72 @@ def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r7_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published text lines of the model forecast run."""
     p = params().with_(gbt=QUERY_GBT)
-    s, ref, root, fitted = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
+    s, ref, root = _trained(spark, sf_dir, p.with_(as_of=p.as_of - dt.timedelta(days=7)))
     codes_df = codes.code_dim(spark, tables.region_codes(spark, sf_dir))
-    rep = _fj.run(spark, s, ref, codes_df, p, root, fitted=fitted)
+    rep = _fj.run(spark, s, ref, codes_df, p, root)
     return _report.report_text(rep)
 
 
+def r7_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text lines of the report of the seasonal-naive forecast (R7, S3), character by character."""
+    return _report.report_text(_naive_report(spark, sf_dir, params()))
+
+
+def s3_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """That report published (dated folder, file count, codec, overwrite) and read back: lines, files and deflate files
+    (S3-S6)."""
+    from ..session import shared_dir
+
+    p = params()
+    rep = _naive_report(spark, sf_dir, p)
+    root = shared_dir(spark, "report")
+    _report.publish(rep.limit(0), root, p)
+    path = _report.publish(rep, root, p)
+    back = spark.read.text(path).select("value", F.input_file_name().alias("file"))
+    return back.agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("value").alias("n_distinct"),
+                    F.countDistinct("file").alias("n_files"),
+                    F.countDistinct(F.when(F.col("file").endswith(".txt.deflate"), F.col("file"))).alias("n_deflate"))
+
+
+def a7_crossmean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of all pairwise ratios of a base series' year-ago and recent windows."""
+    p = params()
+    pos = _features.positions(F.lit(p.forecast_pre_end), p)
+    s = _base_clean(spark, sf_dir, p)
+    part = lambda name: F.when((pos[name][0] >= 0) & (pos[name][1] >= 0), F.filter(
+        _py_slice(F.col("qty"), *pos[name]), lambda x: x.isNotNull()))
+    return (s.select("sta_num", F.round(_crossmean(part("his"), part("pre")), 6).alias("scale"))
+            .where(F.col("scale").isNotNull()))
+
+
+def m5_m6_model_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every ship date as a run day, the dates of the models it trains and of those it reads (M5, M6)."""
+    day = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.to_date("l_shipdate").alias("as_of")).distinct()
+    train = [F.when(F.dayofweek("as_of") == i + 1, F.lit(_dates.model_date_for_training(dt.date(2001, 11, 4) + dt.timedelta(days=i))
+                                                          .toordinal() - (dt.date(2001, 11, 4) + dt.timedelta(days=i)).toordinal()))
+             for i in range(7)]
+    ahead = F.coalesce(*train).cast("int")
+    read = dt.date(2001, 11, 4)
+    back = (_dates.model_date_for_training(read) - _dates.model_date_for_forecast(read)).days
+    return day.select("as_of", F.date_add("as_of", ahead).alias("train_date"),
+                      F.date_sub(F.date_add("as_of", ahead), back).alias("read_date"))
+
+
+def m1_feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature vector's length and its three ids per base station (M1); a blank id counts as 0."""
+    from pyspark.ml.functions import vector_to_array
+
+    f = _features.with_feature_vector(_forecast_features(spark, sf_dir, params()))
+    v = vector_to_array("features")
+    return f.select("sta_num", F.size(v).cast("bigint").alias("n"), *[v[90 + i].alias(c) for i, c in enumerate(("province", "city", "county"))])
+
+
 REGISTRY.update({
+    "r7_report_lines": r7_report_lines,
+    "s3_publish": s3_publish,
+    "a7_crossmean": a7_crossmean,
+    "m5_m6_model_dates": m5_m6_model_dates,
+    "m1_feature_vector": m1_feature_vector,
     "r2_allocate": r2_allocate,
     "r3_cap": r3_cap,
     "r4_report_blocks": r4_report_blocks,
@@ -392,7 +446,7 @@ def s1_series_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     _text.write_series(ser.base_class(s, p), root, p.train_source, mode="append")
     back = _text.read_series(spark, root, p.forecast_source, p.date_type)
     return back.select(*KEY, "region_name", "city_id", "start_date", F.size("qty").alias("n_days"),
-                       F.aggregate("qty", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("qty_total"))
+                       _array_sum(F.col("qty")).alias("qty_total"))
 
 
 def j3_city_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,10 +455,11 @@ def j3_city_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     p = params()
     path = shared_dir(spark, "city_reference")
-    _text.city_reference_text(_city_ref(spark, sf_dir, p)).write.mode("overwrite").text(path)
+    rows = tables.city_reference_rows(_series(spark, sf_dir, p), p)      # a city is listed once per full-length station
+    _text.city_reference_text(rows).write.mode("overwrite").text(path)
     r = _text.read_city_reference(spark, path)
     return r.select("city_id", "std_sta_num", "ref_start", F.size("ref_qty").alias("n_days"),
-                    F.aggregate("ref_qty", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("qty_total"))
+                    _array_sum(F.col("ref_qty")).alias("qty_total"))
 
 
 REGISTRY.update({"s1_series_text": s1_series_text, "j3_city_ref": j3_city_ref})

@@ -3,28 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import models, training
+from ..operators import models, series as ser, training
 from ..params import Params
-from ..session import shared_dir
+from ..session import release, shared_dir
 
 
-def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str) -> str:
+FILES_PER_DAY = 16
+
+
+def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str, files_per_day: int = FILES_PER_DAY) -> str:
     """Materialise the feature table in the shared folder: the 35 fits all read it, so it is computed once.
 
-    Partitioned by ``pre_end`` (62 days): a horizon's fit prunes to its 28 days. Rows are range-partitioned
-    on ``(pre_end, sta_num)`` first, so each writer covers a contiguous run of days (a few files per task, not
-    one per day per task) while a day still spreads over several writers at scale; AQE merges the partitions
-    of a small run.
+    Partitioned by ``pre_end`` (62 days): a horizon's fit prunes to its 28 days. Rows are hash-partitioned on the day
+    and one of ``FILES_PER_DAY`` parts of the stations first: one pass over the features (a range partitioning would sample
+    them, and so compute them twice), and a bounded number of files per day.
     """
     table = training.feature_table(series, ref, p)
-    (table.repartitionByRange("pre_end", "sta_num")
+    (table.withColumn("_part", F.pmod(F.hash("sta_num"), F.lit(files_per_day))).repartition("pre_end", "_part").drop("_part")
      .write.mode("overwrite").partitionBy("pre_end").parquet(path))
     return path
 
 
 def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str,
-        parallel_fits: int = 4) -> list:
-    """Fit the per-horizon models and save them under ``model_root``; returns the fitted models."""
-    path = write_feature_table(series, ref, p, shared_dir(spark, "feature_table"))
-    return models.fit_models(spark, path, p, model_root, parallel_fits)
+        parallel_fits: int = 4) -> list[str]:
+    """Fit the per-horizon models and save them under ``model_root``; returns their paths. The feature table is deleted
+    when the fits are done."""
+    path = write_feature_table(ser.normalised(series), ref, p, shared_dir(spark, "feature_table"))
+    try:
+        return models.fit_models(spark, path, p, model_root, parallel_fits)
+    finally:
+        release(spark, path)

@@ -21,13 +21,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.scheduler.mode", "FAIR")   # the horizon fits are concurrent jobs from driver threads
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Deletes an intermediate table that ``shared_dir`` named."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

@@ -14,8 +14,6 @@ REGION_CODES = [("North", "1"), ("South", "2"), ("East", "3"), ("Northwest", "4"
 DELIVER_ALIASES = [("自营", "2")]
 ORDER_ALIASES = [("普通", "2")]
 
-SCHEMA = "kind string, alias string, code string"
-
 FIXED = {"deliver": DELIVER_CODES + DELIVER_ALIASES, "ord": ORDER_CODES + ORDER_ALIASES, "region": REGION_CODES}
 
 
@@ -45,16 +43,16 @@ def encode(df: DataFrame, codes: DataFrame | None, kind: str, col: str, out: str
     """Add ``out`` = code of ``df[col]``; NULL for an unknown name (see ``quarantined``).
 
     Fixed names resolve through a literal map. Names that only the dataset knows (``codes`` rows beyond the
-    fixed ones, e.g. a region table) are joined; such a table is a dimension (a region table has a few rows at
-    any scale), so it is broadcast.
+    fixed ones, e.g. a region table) are joined, one row per alias (the least code); the planner chooses how from
+    the measured size.
     """
     code = fixed_code(kind, F.col(col))
     if codes is None:
         return df.withColumn(out, code)
     fixed = spark_fixed_aliases(kind)
     lookup = (codes.where((F.col("kind") == kind) & ~F.col("alias").isin(*fixed))
-              .select(F.col("alias").alias("_alias"), F.col("code").alias("_code")))
-    joined = df.join(F.broadcast(lookup), df[col] == lookup["_alias"], "left")
+              .groupBy(F.col("alias").alias("_alias")).agg(F.min("code").alias("_code")))
+    joined = df.join(lookup, df[col] == lookup["_alias"], "left")
     return joined.withColumn(out, F.coalesce(code, F.col("_code"))).drop("_alias", "_code")
 
 

@@ -47,12 +47,13 @@ def parse_series(lines: DataFrame) -> DataFrame:
 
 def read_series(spark: SparkSession, root: str, source_type: str | None = None, date_type: str | None = "day") -> DataFrame:
     """Scan the series table; ``source_type`` / ``date_type`` select partitions (directory pruning)."""
-    df = parse_series(spark.read.option("basePath", root).text(root))
-    if source_type is not None and "source_type" in df.columns:
-        df = df.where(F.col("source_type") == source_type)
-    if date_type is not None and "date_type" in df.columns:
-        df = df.where(F.col("date_type") == date_type)
-    return df
+    lines = spark.read.option("basePath", root).text(root)
+    for name, wanted in (("source_type", source_type), ("date_type", date_type)):
+        if wanted is not None:
+            if name not in lines.columns:
+                raise ValueError(f"{root} has no partition column {name}, so {name}={wanted!r} cannot be selected")
+            lines = lines.where(F.col(name) == wanted)
+    return parse_series(lines)
 
 
 def series_text(df: DataFrame) -> DataFrame:
@@ -73,9 +74,6 @@ def write_series(df: DataFrame, root: str, source_type: str, date_type: str = "d
 
 # ---- city reference ---------------------------------------------------------------------------------------------
 
-CITY_REF_COLUMNS = ["city_id", "std_sta_num", "ref_qty", "ref_start"]
-
-
 def parse_city_reference(lines: DataFrame) -> DataFrame:
     f = F.split(F.col("value"), "#", -1)
     return lines.select(
