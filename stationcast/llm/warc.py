@@ -1,6 +1,6 @@
 """WARC archives: written as monolithic gzip streams, normalised to one gzip member per record with an offset index, read back.
 
-``write``: rows are dealt over archives by their key; each task writes its archive as one gzip stream over the whole file
+``write``: rows are dealt over partitions by their key; each task writes its partition's archive as one gzip stream over the whole file
 (what a plain ``gzip`` of a WARC file gives), which cannot be entered in the middle. ``normalise`` inflates each such stream once, from
 its start, and rewrites every record as a gzip member of its own, with a sidecar index (a Parquet table) of record, offset and
 length. ``read`` gives the records of archives of either kind; ``read_at`` inflates single members at indexed offsets.
@@ -23,6 +23,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyarrow import fs
@@ -129,14 +130,13 @@ def with_targets(rows: DataFrame, key: str, payload: str, min_payload: int = 0)
 
 
 def write(rows: DataFrame, folder: str, archives: int, key: Column, url: Column, payload: Column, refers_to: Column) -> DataFrame:
-    """Writes ``archives`` monolithic gzip archives at most; ``(archive, n_records)`` of each."""
-    cells = rows.select(F.pmod(F.hash(key), F.lit(archives)).alias("a"), key.cast("string").alias("k"),
-                        F.coalesce(url, F.lit("")).alias("u"), F.coalesce(payload, F.lit("")).alias("p"),
-                        refers_to.cast("string").alias("r"))
+    """Writes ``archives`` monolithic gzip archives at most, one per partition; ``(archive, n_records)`` of each."""
+    cells = rows.select(key.cast("string").alias("k"), F.coalesce(url, F.lit("")).alias("u"),
+                        F.coalesce(payload, F.lit("")).alias("p"), refers_to.cast("string").alias("r"))
 
-    def stream(number: int, group: Iterator[tuple], n: list[int]) -> Iterator[bytes]:
+    def stream(first: tuple, rest: Iterator[tuple], n: list[int]) -> Iterator[bytes]:
         engine = zlib.compressobj(MONOLITHIC_LEVEL, zlib.DEFLATED, 31)
-        for k, u, p, r in group:
+        for k, u, p, r in chain([first], rest):
             body = p.encode()
             yield engine.compress(record(k or "", u, "response" if r is None else "revisit", digest_of(body), r, len(body),
                                          body if r is None else b""))
@@ -144,27 +144,14 @@ def write(rows: DataFrame, folder: str, archives: int, key: Column, url: Column,
         yield engine.flush()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flat():
-            for b in batches:
-                yield from zip(*[c.to_pylist() for c in b.columns], strict=True)
-
-        left = flat()
-        row = next(left, None)
-        while row is not None:
-            number, n, rest = row[0], [0], [row]
-
-            def group(number=number, rest=rest):
-                while rest[0] is not None and rest[0][0] == number:
-                    yield rest[0][1:]
-                    rest[0] = next(left, None)
-
-            path = f"{folder}/part-{number:06d}.warc.gz"
-            _save(path, stream(number, group(), n))
-            row = rest[0]
+        flat = (row for b in batches for row in zip(*[c.to_pylist() for c in b.columns], strict=True))
+        if (first := next(flat, None)) is not None:
+            path, n = f"{folder}/part-{TaskContext.get().partitionId():06d}.warc.gz", [0]
+            _save(path, stream(first, flat, n))
             yield pa.RecordBatch.from_pydict({"archive": [path], "n_records": pa.array(n, pa.int64())})
 
-    # the order within an archive is fixed, so a task that runs again writes the same bytes
-    dealt = cells.repartition(archives, "a").sortWithinPartitions("a", "k", "r", "p")
+    # the rows of a partition and their order are fixed by the key, so a task that runs again writes the same bytes
+    dealt = cells.repartition(archives, "k").sortWithinPartitions("k", "r", "p")
     return written(dealt.mapInArrow(run, "archive string, n_records long"), "warc_archives")
 
 
@@ -190,7 +177,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                         (pa.string(), pa.string(), pa.int64(), pa.int64()))]],
                     names=["archive", "record_id", "record_type", "offset", "length"])
 
-    spread = archives.select("archive").repartition(max(1, archives.count()), "archive")
+    spread = archives.select("archive").repartition(max(1, archives.count()))
     return written(spread.mapInArrow(run, "archive string, record_id string, record_type string, offset long, length long"),
                    "warc_index")
 
