@@ -39,6 +39,7 @@ PER_TASK = 1_000
 LEAST_Z = 6.0
 MAX_ITER, REGULARISATION = 60, 1e-3
 PARTS = 64
+CHUNK = 1 << 20  # bytes of text at a time: about 100 bytes of arrays for each while learning
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _FOLD[9:14] = 32
@@ -72,7 +73,7 @@ class Model:
 
     def scores(self, column: pa.Array) -> np.ndarray:
         out = np.zeros(len(column))
-        for docs in chunks(column):
+        for docs in chunks(column, CHUNK):
             hit = _hits(docs, self.wanted)
             size = len(docs.off) - 1
             out[docs.lo:docs.lo + size] = np.bincount(hit // SLOTS, weights=self.weight[hit % SLOTS], minlength=size)
@@ -96,7 +97,7 @@ def _document_counts(rows: DataFrame) -> np.ndarray:
         count = np.zeros((2, SLOTS), np.int64)
         for batch in batches:
             toxic = batch.column(0).to_numpy(zero_copy_only=False)
-            for docs in chunks(batch.column(1)):
+            for docs in chunks(batch.column(1), CHUNK):
                 hit = _hits(docs, None)
                 for y in (0, 1):
                     count[y] += np.bincount(hit[toxic[docs.lo + hit // SLOTS] == y] % SLOTS, minlength=SLOTS)
@@ -133,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> Model:
     def make(column):
         wanted, chosen = shared.value
         out: list[list[int]] = [[] for _ in range(len(column))]
-        for d in chunks(column):
+        for d in chunks(column, CHUNK):
             hit = _hits(d, wanted)
             for doc, at in zip((d.lo + hit // SLOTS).tolist(), np.searchsorted(chosen, hit % SLOTS).tolist(), strict=True):
                 out[doc].append(at)
