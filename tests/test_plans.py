@@ -35,7 +35,7 @@ def test_lineitem_scan_is_pruned(spark):
     text = _formatted(q.s1_series_meta(spark, SF))
     block = [b for b in text.split("\n\n") if b.lstrip().startswith("(") and "Scan parquet" in b
              and "lineitem.parquet" in b][0]
-    assert ("ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_returnflag:string,l_linestatus:string,"
+    assert ("ReadSchema: struct<l_suppkey:bigint,l_linenumber:int,l_quantity:double,l_returnflag:string,l_linestatus:string,"
             "l_shipdate:timestamp_ntz>") in block
     pushed = [ln for ln in block.splitlines() if ln.startswith("PushedFilters")][0]
     assert "IsNotNull(l_suppkey)" in pushed and "IsNotNull(l_returnflag)" in pushed
