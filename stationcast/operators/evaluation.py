@@ -27,13 +27,16 @@ def naive_forecast(p: Params) -> Column:
 
 
 def rmse(forecast: DataFrame, actual: DataFrame, fc_col: str = "forecast") -> DataFrame:
-    """Root mean squared error per horizon over the stations present in both frames."""
+    """Root mean squared error per horizon over the stations present in both frames, on all known days (``rmse``, ``n``) and
+    on the days with a sale, which are the only ones that train a model (``rmse_sold``, ``n_sold``)."""
     j = forecast.join(actual, ["sta_num"])
+    error = F.pow(F.col("pair.f") - F.col("pair.a"), 2)
+    sold = F.col("pair.a") > 0
     return (j.select(F.posexplode(F.arrays_zip(F.col(fc_col).alias("f"), F.col("actual").alias("a")))
                      .alias("horizon", "pair"))
             .groupBy("horizon")
-            .agg(F.sqrt(F.avg(F.pow(F.col("pair.f") - F.col("pair.a"), 2))).alias("rmse"),
-                 F.count(F.lit(1)).alias("n")))
+            .agg(F.sqrt(F.avg(error)).alias("rmse"), F.count(F.lit(1)).alias("n"),
+                 F.sqrt(F.avg(F.when(sold, error))).alias("rmse_sold"), F.count(F.when(sold, F.lit(1))).alias("n_sold")))
 
 
 def pre_mean_forecast(features: DataFrame, p: Params) -> DataFrame:

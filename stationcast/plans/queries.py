@@ -343,10 +343,10 @@ def m4_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     naive_fc = _fj.naive_forecasts(clean, p)
     later = ser.dedupe_longest(ser.normalised(s), KEY)      # the days from the as-of day on, which ``clean`` has not
     act = _evaluation.actuals(ser.base_class(later, p), p).select("sta_num", "actual")
-    m = _evaluation.rmse(model_fc, act).withColumnRenamed("rmse", "rmse_model")
+    m = _evaluation.rmse(model_fc, act).withColumnsRenamed({"rmse": "rmse_model", "rmse_sold": "rmse_model_sold"})
     b = _evaluation.rmse(naive_fc, act).select("horizon", F.col("rmse").alias("rmse_naive"))
     pre = _evaluation.pre_mean_forecast(_features.forecast_features(ser.base_class(clean, p), ref, p), p)
-    c = _evaluation.rmse(pre, act).select("horizon", F.col("rmse").alias("rmse_pre_mean"))
+    c = _evaluation.rmse(pre, act).select("horizon", F.col("rmse").alias("rmse_pre_mean"), F.col("rmse_sold").alias("rmse_pre_mean_sold"))
     return m.join(b, "horizon").join(c, "horizon", "left")
 
 
