@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import byte_bpe, decontaminate, interpolated_lm, licenses, near_duplicates, quality, repeats, token_counts, toxicity, warc
 from .common import table
+from .oracle import SQL  # noqa: F401  the queries that DuckDB can answer
 
 
 def _fold(n: int) -> Column:
@@ -79,18 +80,3 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op9_token_counts, op10_lm_scoring,
 )}
-
-_BASE32 = " || ".join(
-    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(hex, {1 + 5 * g}, 5))::BIGINT >> {15 - 5 * k}) & 31)::INT), 1)"
-    for g in range(8) for k in range(4))
-
-SQL: dict[str, str] = {
-    "op7_warc": f"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-h AS (SELECT page_id, html, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,
-             max(page_id) OVER (PARTITION BY html) AS last FROM p)
-SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
-       CASE WHEN page_id IS DISTINCT FROM last AND last IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
-FROM h""",
-}
