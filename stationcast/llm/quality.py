@@ -99,8 +99,9 @@ def _class_counts(text: Column) -> Column:
 
 
 def features(docs: DataFrame, name: str = "features") -> DataFrame:
-    """``docs`` and struct ``name`` of base counts and histograms; row-local."""
-    return docs.withColumn(name, let(F.coalesce(F.col("text"), F.lit("")), lambda text: F.struct(
+    """``docs`` and struct ``name`` of base counts and histograms; row-local. The struct comes out of a generator, below which no
+    later filter is pushed: it would compute the struct again for each condition."""
+    return docs.withColumn(name, F.explode_outer(F.array(let(F.coalesce(F.col("text"), F.lit("")), lambda text: F.struct(
         let(F.filter(F.split(text, SPACE), lambda x: x != ""), lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -110,7 +111,7 @@ def features(docs: DataFrame, name: str = "features") -> DataFrame:
             F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
         (F.char_length(text) - F.char_length(F.regexp_replace(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.char_length(text).cast("long").alias("n_chars"),
-        _class_counts(text).alias("classes"))))
+        _class_counts(text).alias("classes"))))))
 
 
 def _millionths(counts: Column, total: Column) -> Column:
@@ -178,10 +179,11 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that every rule keeps, with their own columns."""
+    """The documents that every rule keeps, with their own columns. The features are computed twice, for the references and for the
+    verdicts: cheaper than writing the texts beside them."""
     hidden = docs.toDF(*[f"d{i}" for i in range(len(docs.columns))])
     at = {n: f"d{i}" for i, n in enumerate(docs.columns)}
-    featured = features(hidden.withColumn("text", F.col(at["text"])).withColumn("lang", F.col(at["lang"]))).drop("text")
-    featured = written(featured, "quality_features")
-    kept = judge(featured, written(references(featured), "quality_references")).where("kept")
+    featured = features(hidden.withColumn("text", F.col(at["text"])).withColumn("lang", F.col(at["lang"])))
+    refs = written(references(featured.select("lang", "features")), "quality_references")
+    kept = judge(featured.drop("text"), refs).where("kept")
     return kept.select(*[F.col(f"d{i}").alias(n) for i, n in enumerate(docs.columns)])
