@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .common import with_python_columns
 
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 400_000
 BATCH_BYTES = 8 << 20
 
 
@@ -133,19 +133,20 @@ def load(path: str, pattern: str) -> Vocabulary:
 
 
 class Encoder:
-    """Encodes batches; the ids of up to ``KNOWN_WORDS`` words are kept from batch to batch."""
+    """Encodes batches; what is known of up to ``KNOWN_WORDS`` words is kept from batch to batch: the number of ids, the ids as
+    decimals, the ids, and the bytes that they decode to."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.known = vocabulary, {}
 
     def words(self, texts: list[str]) -> list[list[str]]:
-        split = self.vocabulary.pattern.findall
-        out = [split(t) for t in texts]
-        new = list({w for ws in out for w in ws} - self.known.keys())
+        out = list(map(self.vocabulary.pattern.findall, texts))
+        here = set().union(*out)
+        new = list(here - self.known.keys())
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {w: self.known[w] for w in {w for ws in out for w in ws} & self.known.keys()}
+            self.known = {w: self.known[w] for w in here & self.known.keys()}
         for w, ids in zip(new, self.vocabulary.replay([w.encode() for w in new]), strict=True):
-            self.known[w] = (len(ids), " ".join(map(str, ids)), tuple(ids))
+            self.known[w] = (len(ids), " ".join(map(str, ids)), ids, self.decode(ids))
         return out
 
     def ids(self, texts: list[str]) -> list[list[int]]:
@@ -155,6 +156,12 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
 
 
+@cache
+def encoder(path: str, pattern: str) -> Encoder:
+    """One per Python worker, so that its known words serve the worker's later tasks too."""
+    return Encoder(load(path, pattern))
+
+
 def _batches(texts: list[str | None]):
     """Bounded groups of texts, in order; NULL is empty."""
     part, have = [], 0
@@ -170,10 +177,8 @@ def _batches(texts: list[str | None]):
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` with array column ``name`` of token ids."""
-    def make(column, state=[]):  # noqa: B006  one encoder per Python worker and task
-        if not state:
-            state.append(Encoder(load(path, pattern)))
-        return [pa.array([x for b in _batches(column.to_pylist()) for x in state[0].ids(b)], pa.list_(pa.int32()))]
+    def make(column):
+        return [pa.array([x for b in _batches(column.to_pylist()) for x in encoder(path, pattern).ids(b)], pa.list_(pa.int32()))]
 
     return with_python_columns(docs, text, [T.StructField(name, T.ArrayType(T.IntegerType()))], make)
 
@@ -188,22 +193,19 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", name: str
 
 
 def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in one pass: ids are made, written out as decimals, read
-    back from there and decoded, without leaving the task."""
+    """``docs`` with ``n_tokens``, ``ids_sha256`` (of the decimal ids with a space between) and ``decoded_sha256`` (of the bytes that the
+    ids decode to), in one pass."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
               T.StructField("decoded_sha256", T.StringType())]
 
-    def make(column, state=[]):  # noqa: B006
-        if not state:
-            state.append(Encoder(load(path, pattern)))
-        e, cols = state[0], ([], [], [])
+    def make(column):
+        e, cols = encoder(path, pattern), ([], [], [])
         for batch in _batches(column.to_pylist()):
             for ws in e.words(batch):
-                got = list(map(e.known.__getitem__, ws))
-                ids = " ".join([g[1] for g in got])
-                cols[0].append(sum([g[0] for g in got]))
-                cols[1].append(hashlib.sha256(ids.encode()).hexdigest())
-                cols[2].append(hashlib.sha256(e.decode(map(int, ids.split()))).hexdigest())
+                n, ids, _, raw = zip(*map(e.known.__getitem__, ws), strict=True) if ws else ((), (), (), ())
+                cols[0].append(sum(n))
+                cols[1].append(hashlib.sha256(" ".join(ids).encode()).hexdigest())
+                cols[2].append(hashlib.sha256(b"".join(raw)).hexdigest())
         return [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())]
 
     return with_python_columns(docs, text, fields, make)
