@@ -5,7 +5,8 @@ and all of them lie on diagonals (document position minus passage position) at m
 counted in diagonal bands of width ``2 (e + 1)`` that overlap by half; a band that reaches the bound is kept, and a banded
 alignment of the whole passage against that region verifies the edits.
 
-Texts and passages are compared as UTF-8 bytes with A-Z lower-cased and white space (``\\x09-\\x0D``) read as a space.
+Texts and passages are compared as UTF-8 bytes with A-Z and the Latin-1 capitals lower-cased and white space (``\\x09-\\x0D``) read
+as a space.
 ``e`` is ``error_rate`` times the passage length, lowered where needed so that the bound stays at one or more.
 
 Defined cases: a NULL or empty text, or one shorter than ``q`` bytes, matches nothing; a NULL passage, or one shorter than
@@ -42,6 +43,16 @@ MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("sta
                       T.StructField("end", T.IntegerType()), T.StructField("edits", T.IntegerType())])
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """Bytes in the form that is compared. Latin-1 capitals are C3 80 to C3 9E (but for C3 97) in UTF-8, their small letters
+    20 (hexadecimal) further; the length stays."""
+    out = _FOLD[data]
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = second[(data[second] >= 0x80) & (data[second] <= 0x9E) & (data[second] != 0x97)]
+    out[second] += 0x20
+    return out
+
+
 def edit_budget(m: int, q: int, error_rate: float) -> int:
     return max(0, min(int(error_rate * m), (m - q) // q))
 
@@ -63,7 +74,7 @@ class PassageIndex:
         if not 1 <= q <= 8:
             raise ValueError("q must be 1 to 8")
         self.q, self.ids = q, [i for i, _ in items]
-        self.text = [_FOLD[np.frombuffer(x, np.uint8)] for _, x in items]
+        self.text = [folded(np.frombuffer(x, np.uint8)) for _, x in items]
         m = np.array([len(x) for x in self.text], np.int64)
         self.edits = np.array([edit_budget(int(n), q, error_rate) for n in m], np.int64)
         self.least = m - q + 1 - q * self.edits
@@ -81,7 +92,7 @@ class PassageIndex:
 
     def search(self, docs: Docs) -> list[tuple[int, int, int, int, int]]:
         """``(document, passage, start, end, edits)`` of the verified regions of a chunk, offsets within the document."""
-        data = _FOLD[docs.data]
+        data = folded(docs.data)
         if len(data) < self.q or not len(self.gram):
             return []
         grams = _grams(data) & self.mask

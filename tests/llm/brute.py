@@ -119,7 +119,8 @@ def edit_match(passage: bytes, text: bytes) -> int:
 
 
 def fold(text: str | None) -> bytes:
-    return re.sub(rb"[\x09-\x0D]", b" ", lower(text))
+    text = "".join(c.lower() if "A" <= c <= "Z" or "À" <= c <= "Þ" else c for c in text or "")
+    return re.sub(rb"[\x09-\x0D]", b" ", text.encode())
 
 
 def license_base(text: str | None) -> tuple:
