@@ -140,6 +140,8 @@ def _inputs(spark, sf_dir, p):
 
 def _base_clean(spark, sf_dir, p, s=None):
     s = _series(spark, sf_dir, p) if s is None else s
+    # nothing is pruned through the dedupe's struct, so only the columns that features read go into it
+    s = s.select(*KEY, "start_date", "qty", *_features.ID_COLUMNS)
     return ser.base_class(_fj.clean_series(s, p, checkpoint=False), p)
 
 
