@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .common import with_python_columns
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 BATCH_BYTES = 8 << 20
 
 
@@ -156,12 +156,6 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
 
 
-@cache
-def encoder(path: str, pattern: str) -> Encoder:
-    """One per Python worker, so that its known words serve the worker's later tasks too."""
-    return Encoder(load(path, pattern))
-
-
 def _batches(texts: list[str | None]):
     """Bounded groups of texts, in order; NULL is empty."""
     part, have = [], 0
@@ -177,8 +171,10 @@ def _batches(texts: list[str | None]):
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` with array column ``name`` of token ids."""
-    def make(column):
-        return [pa.array([x for b in _batches(column.to_pylist()) for x in encoder(path, pattern).ids(b)], pa.list_(pa.int32()))]
+    def make(column, state=[]):  # noqa: B006  one encoder per task
+        if not state:
+            state.append(Encoder(load(path, pattern)))
+        return [pa.array([x for b in _batches(column.to_pylist()) for x in state[0].ids(b)], pa.list_(pa.int32()))]
 
     return with_python_columns(docs, text, [T.StructField(name, T.ArrayType(T.IntegerType()))], make)
 
@@ -198,8 +194,10 @@ def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Dat
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
               T.StructField("decoded_sha256", T.StringType())]
 
-    def make(column):
-        e, cols = encoder(path, pattern), ([], [], [])
+    def make(column, state=[]):  # noqa: B006  one encoder per task: its words are freed with the task
+        if not state:
+            state.append(Encoder(load(path, pattern)))
+        e, cols = state[0], ([], [], [])
         for batch in _batches(column.to_pylist()):
             for ws in e.words(batch):
                 n, ids, _, raw = zip(*map(e.known.__getitem__, ws), strict=True) if ws else ((), (), (), ())
