@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..session import shared_dir
+from ..session import release, shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made and that nothing reads any more."""
+    for t in tables:
+        for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
+            release(t.sparkSession, folder)
+
+
 def with_python_columns(df: DataFrame, column: str, extra: list[T.StructField],
                         make: Callable[[pa.Array], list[pa.Array]]) -> DataFrame:
     """``df`` and, after its own columns, the columns that ``make`` derives from string column ``column``.

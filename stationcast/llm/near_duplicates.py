@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import blocks as B
 from . import superminhash as M
-from .common import written
+from .common import discard, written
 from .components import components
 from .text_arrays import U, chunks, distinct, lowered, mix, shingles, tally
 
@@ -181,6 +181,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: i
     more = written(verified(_across(sets.join(still, "cid"), percent), sets, percent), "other_links")
     if not more.isEmpty():
         label = written(components(links.unionByName(more)), "components")
+    discard(members, sketches, sets, links, more)
 
     return (sig.select("doc_id", *key).join(classes, key, "left")
             .join(label.withColumnRenamed("node", "cid"), "cid", "left")
