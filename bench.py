@@ -24,7 +24,7 @@ HEADLINE = [
     "j5_training_set",     # 62 feature days x 35 horizons x 28 label days
     "r2_allocate",         # allocation with cap
     "r4_report_blocks",    # report value blocks
-    "r7_report_text",      # the whole job: train 35 GBT models (small settings), forecast, allocate, report
+    "r7_report_text",      # the whole job: train 35 GBT models (full settings, many hours), forecast, allocate, report
 ]
 
 
