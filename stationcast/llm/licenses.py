@@ -4,10 +4,11 @@ Phrases: places where a phrase's words stand one after the other, words being ru
 bytes, A-Z lower-cased.
 
 Notices: a notice of ``m`` bytes is found with up to ``k`` errors (insertions, deletions and substitutions; ``error_rate`` times
-``m``, at most ``max_errors``). Split into ``k + 1`` pieces, at least one piece stands in the text unchanged (pigeonhole), so an Aho-Corasick automaton over all pieces
-of all notices finds every candidate place; the ``regex`` library's bounded-error matching then verifies the region around the
-seed and gives the span and the number of errors. Texts are compared as UTF-8 bytes with A-Z lower-cased and white space
-as spaces; spans are byte offsets.
+``m``). Split into ``k + 1`` pieces, at least one piece stands in the text unchanged (pigeonhole), so an Aho-Corasick automaton over
+all pieces of all notices finds every candidate diagonal (text position minus notice position); a match through that piece strays at most
+``k`` diagonals from it, so a banded alignment of the whole notice there gives the span and the number of errors, in time that
+grows with ``m`` times ``k``. Texts are compared as UTF-8 bytes with A-Z lower-cased and each run of white space as one space; at a line
+break, the comment marks that begin the next line belong to the run. Spans are byte offsets in the text as it came.
 
 Defined cases: a NULL or empty text has no words and no places (score 0, empty labels); overlapping places all count; of overlapping
 matches of one notice the one with the fewest errors stays, then the first; a repeated row is scanned again; an empty
@@ -16,20 +17,20 @@ table gives no row.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import with_python_columns
+from .decontaminate import align
 from .text_arrays import Docs, chunks, lowered, word_hashes, words
 
 ERROR_RATE = 0.08
-MAX_ERRORS = 4  # of a notice; the matching time of a region grows about threefold with each further error
 # Phrases and their labels.
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 # Wording of short notices, by licence label.
@@ -51,6 +52,8 @@ _BREAK = np.ones(256, bool)
 _BREAK[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _SPACED = np.arange(256, dtype=np.uint8)
 _SPACED[9:14] = 32
+# White space that is more than one byte or breaks a line, with the comment marks after each break.
+_RUN = re.compile(rb"(?:[\t\v\f ]*[\r\n]+[\t\v\f ]*(?:/[/*]+!?|\*+/?|#+|;+|--+|%+|!+|>+|<!--)?)+[\t\v\f ]*|[\t-\r ]{2,}")
 
 
 def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
@@ -59,10 +62,21 @@ def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
+def collapsed(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``data`` with one space for each run, the documents' offsets in it, and the place that each of its bytes had."""
+    out, stays, raw = _SPACED[data], np.ones(len(data), bool), data.tobytes()
+    for lo, hi in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+        for run in _RUN.finditer(raw, lo, hi):
+            out[run.start()] = 32
+            stays[run.start() + 1:run.end()] = False
+    origin = np.flatnonzero(stays)
+    return out[origin], np.searchsorted(origin, off), origin
+
+
 class Scanner:
     """Phrases and notices, prepared for searching. Texts are Latin-1 strings inside: one character per byte."""
 
-    def __init__(self, phrases: list[tuple[str, str]], notices: list[tuple[str, str]], error_rate: float, max_errors: int):
+    def __init__(self, phrases: list[tuple[str, str]], notices: list[tuple[str, str]], error_rate: float):
         self.phrases = []
         for phrase, label in phrases:
             data = np.frombuffer(phrase.encode(), np.uint8)
@@ -70,9 +84,9 @@ class Scanner:
         self.notices, seeds = [], {}
         for label, text in notices:
             wide = text.encode().decode("latin-1")
-            k = min(max_errors, int(error_rate * len(wide)))
+            k = int(error_rate * len(wide))
             at = len(self.notices)
-            self.notices.append((label, len(wide), k, regex.compile(f"(?:{regex.escape(wide)}){{e<={k}}}", regex.BESTMATCH)))
+            self.notices.append((label, len(wide), k, np.frombuffer(text.encode(), np.uint8)))
             for offset, piece in pieces(wide, k):
                 seeds.setdefault(piece, []).append((at, offset))
         self.automaton = ahocorasick.Automaton()
@@ -95,33 +109,29 @@ class Scanner:
             found.append((at[doc[at] == doc[at + len(phrase) - 1]] if len(at) else at, label))
         return w.off, found
 
-    def fuzzy(self, text: str, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    def fuzzy(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """``(document, notice, start, end, errors)`` of a chunk, offsets within the document."""
         if not self.notices:
             return []
-        regions: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for end, (size, places) in self.automaton.iter(text):
+        diagonals: dict[tuple[int, int], set[int]] = {}
+        for end, (size, places) in self.automaton.iter(data.tobytes().decode("latin-1")):
             d = int(np.searchsorted(off, end, "right")) - 1
-            if end - size + 1 < off[d]:
-                continue
-            for at, offset in places:
-                _, m, k, _ = self.notices[at]
-                start = end - size + 1 - offset
-                lo, hi = max(int(off[d]), start - k), min(int(off[d + 1]), start + m + k)
-                have = regions.setdefault((d, at), [])
-                if have and have[-1][0] <= lo <= have[-1][1] - m + k:   # a region that holds this one's match as well
-                    have[-1] = (have[-1][0], max(have[-1][1], hi))
-                else:
-                    have.append((lo, hi))
+            start = end - size + 1 - int(off[d])
+            if start >= 0:
+                for at, offset in places:
+                    diagonals.setdefault((d, at), set()).add(start - offset)
         out = []
-        for (d, at), spans in regions.items():
-            _, m, k, pattern = self.notices[at]
-            taken: list[tuple[int, int, int]] = []
-            for lo, hi in spans:
-                for match in pattern.finditer(text, lo, hi, overlapped=False):
-                    taken.append((sum(match.fuzzy_counts), match.start() - int(off[d]), match.end() - int(off[d])))
+        for (d, at), places in diagonals.items():
+            _, m, k, notice = self.notices[at]
+            taken: set[tuple[int, int, int]] = set()
+            text = data[off[d]:off[d + 1]]
+            for place in places:
+                lo = max(0, place - k)
+                got = align(notice, text[lo:place + m + k], place - lo, place - lo, k)
+                if got:
+                    taken.add((got[2], lo + got[0], lo + got[1]))
             kept: list[tuple[int, int, int]] = []
-            for errors, start, end in sorted(set(taken)):
+            for errors, start, end in sorted(taken):
                 if all(end <= a or start >= b for _, a, b in kept):
                     kept.append((errors, start, end))
             out += [(d, at, start, end, errors) for errors, start, end in kept]
@@ -140,9 +150,11 @@ class Scanner:
                 base[d].add(label)
         spans: list[list[dict]] = [[] for _ in n]
         best = [1.0 if s else 0.0 for s in starts]
-        for d, at, start, end, errors in self.fuzzy(_SPACED[data].tobytes().decode("latin-1"), docs.off):
+        plain, plain_off, origin = collapsed(data, docs.off)
+        for d, at, start, end, errors in self.fuzzy(plain, plain_off):
             label, m, _, _ = self.notices[at]
-            spans[d].append({"label": label, "start": start, "end": end, "errors": errors})
+            first, last = origin[plain_off[d] + np.array([start, end - 1])] - docs.off[d]
+            spans[d].append({"label": label, "start": int(first), "end": int(last) + 1, "errors": errors})
             best[d] = max(best[d], 1 - errors / m)
         out = []
         for d, count in enumerate(n.tolist()):
@@ -154,8 +166,8 @@ class Scanner:
 
 
 @lru_cache(maxsize=4)
-def _scanner(phrases: tuple, notices: tuple, error_rate: float, max_errors: int) -> Scanner:
-    return Scanner(list(phrases), list(notices), error_rate, max_errors)
+def _scanner(phrases: tuple, notices: tuple, error_rate: float) -> Scanner:
+    return Scanner(list(phrases), list(notices), error_rate)
 
 
 _SPAN = pa.struct([("label", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("errors", pa.int32())])
@@ -169,13 +181,12 @@ _FIELDS = [*[T.StructField(n, T.LongType()) for n in ("n_words", "n_base", "firs
 
 
 def scan(docs: DataFrame, text: str = "text", phrases: list[tuple[str, str]] = PHRASES,
-         notices: list[tuple[str, str]] = NOTICES, error_rate: float = ERROR_RATE,
-         max_errors: int = MAX_ERRORS) -> DataFrame:
+         notices: list[tuple[str, str]] = NOTICES, error_rate: float = ERROR_RATE) -> DataFrame:
     """``docs`` with ``n_words, n_base, first_word, last_word, base_labels, labels, score, spans``; no shuffle."""
     wanted = tuple(map(tuple, phrases)), tuple(map(tuple, notices))
 
     def make(column):
-        rows = [r for c in chunks(column) for r in _scanner(*wanted, error_rate, max_errors).scan(c)]
+        rows = [r for c in chunks(column) for r in _scanner(*wanted, error_rate).scan(c)]
         return [pa.array([r[n] for r in rows], t) for n, t in _ARROW]
 
     return with_python_columns(docs, text, _FIELDS, make)
