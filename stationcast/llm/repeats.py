@@ -1,7 +1,8 @@
 """Removal of repeated byte strings: a byte goes when a string of ``size`` bytes that covers it also starts elsewhere.
 
-The suffixes of the corpus, cut at ``size`` bytes ("windows"), are ordered by most-significant-digit passes, and after each
-pass groups of one are dropped; the groups equal after the last digit are exactly the repeated windows. The digits:
+The suffixes of the corpus, cut at ``size`` bytes ("windows"), are split by four keys in turn, and after each pass groups of one
+are dropped; the groups equal after the last key are the repeated windows. No suffix is ordered: buckets by a content-picked
+anchor and hash counts stand in for most-significant-digit passes, which would have an entry per byte. The keys:
 
 1. the window's anchor: the least of its hashed ``GRAM``-byte strings and its place in the window. Neighbouring windows
    share their anchor, so a run of windows with one anchor ("span") is one entry of this pass, about one per 90 bytes;
@@ -9,7 +10,7 @@ pass groups of one are dropped; the groups equal after the last digit are exactl
 3. the first half of each window, for spans that are alone with their bytes but not with their anchor;
 4. the whole window, where that first half occurs twice or more.
 
-Each pass is a count over the corpus (``blocks.count``); a document takes its own answers back. Digits are compared as 64-bit
+Each pass is a count over the corpus (``blocks.count``); a document takes its own answers back. Keys are compared as 64-bit
 polynomial hashes of their bytes, several of them for each window. Matches never cross documents; they are judged on the
 input, so overlapping repeats all go.
 
