@@ -21,7 +21,7 @@ def shingle_set(text: str | None) -> frozenset:
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def near_groups(docs: list[dict]) -> dict[int, int]:
+def near_groups(docs: list[dict], percent: int = 85) -> dict[int, int]:
     sets = [(d["doc_id"], shingle_set(d["text"])) for d in docs if d["doc_id"] is not None]
     parent = {i: i for i, _ in sets}
 
@@ -32,7 +32,7 @@ def near_groups(docs: list[dict]) -> dict[int, int]:
 
     for a, (i, s) in enumerate(sets):
         for j, t in sets[:a]:
-            if s and t and 100 * len(s & t) >= 85 * len(s | t):
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
                 x, y = root(i), root(j)
                 parent[max(x, y)] = min(x, y)
     return {i: root(i) for i in parent}
