@@ -81,16 +81,21 @@ def _alike(pairs: DataFrame, least: float) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """``cid, cset``: the full sets (sorted hashes, 8 bytes each) of the documents in ``ids (cid)``."""
+    """``cid, cset``: the full sets (sorted hashes, 8 bytes each) of the documents in ``ids (cid)``; of copies under one
+    id, one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in chunks(batch.column(1)):
                 sets = shingles(lowered(c.data), c.off, words)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(c.lo, len(sets)), pa.array(
-                    [s.tobytes() for s in sets], pa.binary())], names=["cid", "cset"])
+                keys = [_key(s) for s in sets]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(c.lo, len(sets)), pa.array([k[0] for k in keys], pa.int64()),
+                    pa.array([k[1] for k in keys], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["cid", "k1", "k2", "cset"])
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("cid"), "text").join(ids, "cid", "left_semi")
-    return wanted.mapInArrow(run, "cid long, cset binary")
+    return (wanted.mapInArrow(run, "cid long, k1 long, k2 long, cset binary")
+            .groupBy("cid", "k1", "k2").agg(F.first("cset").alias("cset")).select("cid", "cset"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -140,7 +145,7 @@ def _across(open_sets: DataFrame, percent: int) -> DataFrame:
              .where("lo <> hi").select("token"))
     left = found.join(mixed, "token", "left_semi")
     right = left.select("token", *[F.col(c).alias(c + "2") for c in ("cid", "label", "n", "place")])
-    overlap = 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) - 1
+    overlap = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
     return (left.join(right, "token")
             .where((F.col("cid") < F.col("cid2")) & (F.col("label") != F.col("label2"))
                    & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
@@ -150,11 +155,12 @@ def _across(open_sets: DataFrame, percent: int) -> DataFrame:
 
 def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
-    sig = written(signatures(docs, words, bands, rows), "signatures")
+    sig = written(signatures(docs, words, bands, rows).withColumn("row", F.monotonically_increasing_id()), "signatures")
     full = sig.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     key = ["k1", "k2", "n_shingles"]
-    classes = written(full.groupBy(*key).agg(F.min("doc_id").alias("cid")), "classes")
-    reps = full.join(classes.withColumnRenamed("cid", "doc_id"), [*key, "doc_id"]).withColumnRenamed("doc_id", "cid")
+    classes = written(full.groupBy(*key).agg(F.min(F.struct("doc_id", "row")).alias("rep"))
+                      .select(*key, F.col("rep.doc_id").alias("cid"), F.col("rep.row").alias("row")), "classes")
+    reps = full.join(classes.select("row"), "row", "left_semi").withColumnRenamed("doc_id", "cid")  # one row, however many copies
     hubs = (full.select("doc_id", "k1", F.explode("bands").alias("band")).groupBy("band")
             .agg(F.min("doc_id").alias("hub"), F.min("k1").alias("lo"), F.max("k1").alias("hi"))
             .where("lo <> hi").select("band", "hub"))
@@ -183,7 +189,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: i
         label = written(components(links.unionByName(more)), "components")
     discard(members, sketches, sets, links, more)
 
-    return (sig.select("doc_id", *key).join(classes, key, "left")
+    return (sig.select("doc_id", *key).join(classes.drop("row"), key, "left")
             .join(label.withColumnRenamed("node", "cid"), "cid", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "cid", "doc_id"))
                     .otherwise(F.col("doc_id")).alias("component_id"))

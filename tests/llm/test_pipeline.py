@@ -25,7 +25,7 @@ def key(d: dict) -> tuple:
 def plain(docs: list[dict]) -> list[list[dict]]:
     """What each stage but the last keeps."""
     good = [d for d, k in zip(docs, brute.quality_kept(docs), strict=True) if k]
-    group = brute.near_groups(good)
+    group = brute.near_groups(good, P.NEAR_PERCENT)
     seen, alone = set(), []
     for d in good:
         if d["doc_id"] is None or (group[d["doc_id"]] == d["doc_id"] and d["doc_id"] not in seen):
