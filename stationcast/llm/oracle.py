@@ -93,10 +93,51 @@ _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (((('0x' || substr(hex, {1 + 5 * g}, 5))::BIGINT >> {15 - 5 * k}) & 31)::INT), 1)"
     for g in range(8) for k in range(4))
 
+_SHARDS = 8
+_CUTS = "SELECT *, (lo + hi) // 2 AS mid, 0::BIGINT AS c0 FROM search WHERE lo < hi"
+for _k in range(1, _SHARDS):
+    _CUTS = f"SELECT *, CASE WHEN {_k} < m THEN list_max(list_filter(ends, lambda p: p <= c{_k - 1} + mid)) ELSE c{_k - 1} END AS c{_k} FROM ({_CUTS})"
+_FOUND = "SELECT *, 0::BIGINT AS c0 FROM search WHERE lo = hi"
+for _k in range(1, _SHARDS):
+    _FOUND = f"SELECT *, CASE WHEN {_k} < m THEN list_max(list_filter(ends, lambda p: p <= c{_k - 1} + hi)) ELSE c{_k - 1} END AS c{_k} FROM ({_FOUND})"
+_CRC_TABLE = ("list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), "
+              "lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+
+
+def _crc32(blob: str, table: str) -> str:
+    """The CRC-32 of a blob, byte by byte, with the 256-entry ``table``."""
+    octets = f"list_transform(regexp_extract_all(hex({blob}), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor({table}[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+
+
+_SHARDING = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS tab),
+d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, sha256(coalesce(text, '')) AS k,
+             {_crc32("encode(coalesce(text, ''))", "tab")} AS text_crc32 FROM documents, crc),
+g AS (SELECT k, sum(size)::BIGINT AS b FROM d GROUP BY k),
+ranked AS (SELECT k, b, row_number() OVER (ORDER BY b DESC, k) - 1 AS i, sum(b) OVER () - sum(b) OVER (ORDER BY b DESC, k) + b AS remaining FROM g),
+alone AS (SELECT k, i FROM (SELECT k, i, bool_and(b * ({_SHARDS} - i) > remaining) OVER (ORDER BY i) AS large FROM ranked) WHERE large),
+line AS (SELECT k, b, sum(b) OVER (ORDER BY k)::BIGINT AS upto FROM g WHERE k NOT IN (SELECT k FROM alone)),
+facts AS (SELECT list(upto ORDER BY upto) AS ends, sum(b)::BIGINT AS total, max(b) AS largest, {_SHARDS} - (SELECT count(*) FROM alone) AS m FROM line),
+search AS (
+  SELECT ends, total, m, greatest(largest, -(-total // m)) AS lo, -(-total // m) + largest AS hi FROM facts WHERE total > 0
+  UNION ALL
+  SELECT ends, total, m, CASE WHEN total - c{_SHARDS - 1} <= mid THEN lo ELSE mid + 1 END, CASE WHEN total - c{_SHARDS - 1} <= mid THEN mid ELSE hi END
+  FROM ({_CUTS})),
+cuts AS (SELECT m, unnest([{", ".join(f"c{k}" for k in range(1, _SHARDS))}]) AS c, unnest(range(1, {_SHARDS})) AS j FROM ({_FOUND})),
+placed AS (
+  SELECT k, i AS shard FROM alone
+  UNION ALL
+  SELECT k, {_SHARDS} - any_value(m) + count(*) FILTER (WHERE j < m AND upto > c) FROM line, cuts GROUP BY k)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, k) - 1 AS slot, NULL::INT AS grown_shard
+FROM d JOIN placed USING (k)"""
+
 SQL: dict[str, str] = {
     "op1_minhash_near_dedup": _NEAR,
     "op3_quality_rules": _QUALITY,
     "op8_suffix_dedup": _REPEATS,
+    "op12_sharding": _SHARDING,
     "op7_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, html, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,
