@@ -133,11 +133,35 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
        row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, k) - 1 AS slot, NULL::INT AS grown_shard
 FROM d JOIN placed USING (k)"""
 
+_TRIE = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS tab),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+coded AS (SELECT conv_id, turn, substr(sha256(octet_length(encode(role)) || ':' || role || text), 1, 32)
+                 || lpad(printf('%x', octet_length(encode(text))), 16, '0') AS code FROM t),
+own AS (SELECT conv_id, list(code ORDER BY turn NULLS FIRST, code) AS turns, {_crc32("encode(conv_id::VARCHAR)", "any_value(tab)")} % 9 AS h
+        FROM coded, crc GROUP BY conv_id),
+built AS (SELECT o.conv_id, list_concat(coalesce(b.turns, [])[1:o.h], o.turns[o.h + 1:]) AS path
+          FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+steps AS (SELECT conv_id, len(path) AS total, unnest(range(0, len(path) + 1)) AS depth, path FROM built),
+n AS (SELECT array_to_string(path[1:depth], '') AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE total = depth), '')) AS ends_sha256
+      FROM steps GROUP BY 1, 2),
+kids AS (SELECT substr(node, 1, length(node) - 48) AS node, count(*) AS k FROM n WHERE depth > 0 GROUP BY 1),
+facts AS (SELECT n.*, coalesce(k, 0) AS n_children,
+                 CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * ('0x' || substr(n.node, length(n.node) - 15))::BIGINT END AS saved
+          FROM n LEFT JOIN kids USING (node)),
+up AS (SELECT unnest(list_transform(range(0, depth + 1), lambda d: substr(node, 1, 48 * d))) AS node, saved, (n_children = 0)::BIGINT AS leaf FROM facts),
+sums AS (SELECT node, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM up GROUP BY 1)
+SELECT f.conv_id, f.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM facts f JOIN sums s USING (node) LEFT JOIN facts p ON f.depth > 0 AND p.node = substr(f.node, 1, length(f.node) - 48)"""
+
 SQL: dict[str, str] = {
     "op1_minhash_near_dedup": _NEAR,
     "op3_quality_rules": _QUALITY,
     "op8_suffix_dedup": _REPEATS,
     "op12_sharding": _SHARDING,
+    "op13_prefix_trie": _TRIE,
     "op7_warc": f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 h AS (SELECT page_id, html, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS hex,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, interpolated_lm, licenses, near_duplicates, quality, repeats, sharding, token_counts, toxicity, warc
+from . import byte_bpe, decontaminate, interpolated_lm, licenses, near_duplicates, prefix_trie, quality, repeats, sharding, token_counts, toxicity, warc
 from .common import table
 from .oracle import SQL  # noqa: F401  the queries that DuckDB can answer
 
@@ -82,6 +82,11 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per node of the trie of rebuilt conversations its members, children, leaves and saved bytes."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op9_token_counts, op10_lm_scoring, op12_sharding,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op9_token_counts, op10_lm_scoring, op12_sharding, op13_prefix_trie,
 )}
