@@ -133,6 +133,20 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' A
        row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, k) - 1 AS slot, NULL::INT AS grown_shard
 FROM d JOIN placed USING (k)"""
 
+_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid AS a_rid, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0),
+pos AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a_rid ORDER BY score DESC, vec_id, rid) <= 5)
+SELECT pos.anchor_id, pos.vec_id AS positive_id, row_number() OVER (PARTITION BY pos.a_rid, pos.rid ORDER BY neg.score DESC, neg.vec_id, neg.rid)::INT AS rank,
+       neg.vec_id AS negative_id, pos.score AS positive_score, neg.score AS negative_score
+FROM pos JOIN s neg ON neg.a_rid = pos.a_rid AND NOT neg.same AND 50 * pos.score <= 100 * neg.score AND 100 * neg.score <= 95 * pos.score
+QUALIFY rank <= 3"""
+
 _TRIE = f"""
 WITH crc AS (SELECT {_CRC_TABLE} AS tab),
 t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
@@ -160,6 +174,7 @@ SQL: dict[str, str] = {
     "op1_minhash_near_dedup": _NEAR,
     "op3_quality_rules": _QUALITY,
     "op8_suffix_dedup": _REPEATS,
+    "op11_hard_negatives": _NEGATIVES,
     "op12_sharding": _SHARDING,
     "op13_prefix_trie": _TRIE,
     "op7_warc": f"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, interpolated_lm, licenses, near_duplicates, prefix_trie, quality, repeats, sharding, token_counts, toxicity, warc
+from . import byte_bpe, decontaminate, hard_negatives, interpolated_lm, licenses, near_duplicates, prefix_trie, quality, repeats, sharding, token_counts, toxicity, warc
 from .common import table
 from .oracle import SQL  # noqa: F401  the queries that DuckDB can answer
 
@@ -77,6 +77,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score(docs, ["doc_id", "held_out"], "learn")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per anchor and positive the first hard negatives."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its place in 8 shards of near equal bytes, equal texts together."""
     return sharding.shards(table(spark, sf_dir, "documents"))
@@ -88,5 +93,6 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op9_token_counts, op10_lm_scoring, op12_sharding, op13_prefix_trie,
+    op1_minhash_near_dedup, op2_decontamination, op3_quality_rules, op4_byte_bpe, op5_toxicity, op6_license_scan, op7_warc, op8_suffix_dedup, op9_token_counts, op10_lm_scoring,
+    op11_hard_negatives, op12_sharding, op13_prefix_trie,
 )}
