@@ -21,7 +21,8 @@ spreads evenly), and nothing but the references reaches the driver.
 
 Defined cases: rows with a NULL id, label, vector or a NULL or non-finite component take no part; vectors of different lengths
 are padded with zeros; a repeated row is another row, as anchor, positive and negative; ties go to the smaller id; scores
-beyond 64 bits are ranked exactly and returned as the nearest 64-bit value; an empty table gives no row.
+beyond 64 bits are ranked exactly in a cell and clipped to 64 bits on leaving it, where ranges go by the clipped score; an empty table
+gives no row.
 """
 
 from __future__ import annotations

@@ -70,9 +70,49 @@ def write_tables(folder: str, docs: list[dict]) -> str:
              for i in range(40)] + [{"page_id": 39, "url": "u", "html": "<b>x</b>" * 39}, {"page_id": None, "url": "u", "html": "alone"}]
     pq.write_table(pa.Table.from_pylist(pages * some, pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])),
                    f"{folder}/pages.parquet")
+    vectors, talks = (vector_rows(), talk_rows()) if some else ([], [])
+    clash = lambda t, names: [t := t.append_column(n, pa.array(["own"] * t.num_rows, pa.string())) for n in names][-1]
+    pq.write_table(clash(pa.Table.from_pylist(vectors, pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])),
+                         ["row", "q", "norm", "a", "r", "rank"]), f"{folder}/embeddings.parquet")
+    pq.write_table(clash(pa.Table.from_pylist(talks, pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])),
+                         ["first", "path", "key", "kind", "depth"]), f"{folder}/conversations.parquet")
     return folder
 
 
+def vector_rows() -> list[dict]:
+    """Vectors with ties, copies of rows and vectors, rows that take no part, a hot label and anchors among all of these."""
+    rng = random.Random(11)
+    rows = [{"vec_id": i, "embedding": [rng.choice([-0.5, 0.0, 0.25, 0.5, rng.random()]) for _ in range(8)], "label": 3 if i % 3 == 0 else i % 5}
+            for i in range(230)]
+    for i in range(40):
+        rows.append({"vec_id": 300 + 10 * i, "embedding": rows[50]["embedding"], "label": i % 4})
+    rows += [dict(rows[100]), dict(rows[100]), dict(rows[101]), {"vec_id": 7, "embedding": rows[3]["embedding"], "label": 1}]
+    rows += [{"vec_id": 50, "embedding": None, "label": 1}, {"vec_id": 1000, "embedding": [1.0] * 8, "label": None},
+             {"vec_id": None, "embedding": [1.0] * 8, "label": 1}, {"vec_id": 1050, "embedding": [None] + [1.0] * 7, "label": 1},
+             {"vec_id": 1100, "embedding": [float("nan")] + [1.0] * 7, "label": 1}, {"vec_id": 1150, "embedding": [float("inf")] + [1.0] * 7, "label": 1},
+             {"vec_id": 1200, "embedding": [0.0] * 8, "label": 2}, {"vec_id": 1250, "embedding": [0.9] * 8, "label": 77}]
+    rng.shuffle(rows)
+    return rows
+
+
+def talk_rows() -> list[dict]:
+    """Conversations with a common first turn, whole copies, NULLs, ties, repeated rows, a missing base and a long one."""
+    rng = random.Random(13)
+    rows = []
+    for c in range(90):
+        if c in (15, 16, 40):
+            continue
+        for t in range(rng.randrange(0, 9)):
+            text = "hello there" if t == 0 and c % 3 else rng.choice(["yes", "no", "été 日本", "", None, f"only {c}"])
+            rows.append({"conv_id": c, "turn": None if rng.random() < 0.05 else t, "role": rng.choice(["user", "assistant", None, ""]), "text": text})
+    for c in range(200, 240):
+        rows += [{"conv_id": c, "turn": t, "role": "user", "text": f"the same {t}"} for t in range(4)]
+    rows += [{"conv_id": 300, "turn": t, "role": "user", "text": f"long {t % 7}"} for t in range(400)]
+    rows += [dict(rows[3]), dict(rows[3]), {"conv_id": None, "turn": 1, "role": "user", "text": "nobody"}, {"conv_id": -8, "turn": 0, "role": "user", "text": "minus"}]
+    rng.shuffle(rows)
+    return rows
+
+
 @pytest.fixture(scope="session")
 def docs() -> list[dict]:
     return corpus()

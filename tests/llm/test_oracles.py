@@ -14,7 +14,7 @@ from stationcast.llm import queries as Q
 def test_query_equals_sql(spark, tables, empty_tables, name):
     for folder in (tables, empty_tables):
         con = duckdb.connect()
-        for t in ("documents", "pages", "labels", "benchmark"):
+        for t in ("documents", "pages", "labels", "benchmark", "embeddings", "conversations"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
         sql = con.execute(Q.SQL[name])
         names = [c[0] for c in sql.description]
