@@ -12,18 +12,23 @@ from dataclasses import dataclass, field, replace
 
 @dataclass(frozen=True)
 class GbtParams:
-    """Gradient-boosted-tree settings of one per-horizon regressor (Spark ML ``GBTRegressor``)."""
+    """Settings of the boosted trees, one model per horizon (``operators.boosting``)."""
 
+    # Fixed values of the method (they must equal the published job's).
     max_iter: int = 1000
     max_depth: int = 15
     step_size: float = 0.1
-    subsampling_rate: float = 0.7
-    feature_subset_strategy: str = "0.8"
+    subsampling_rate: float = 0.7       # rows of a tree
+    feature_fraction: float = 0.8       # features of a tree
     min_instances_per_node: int = 2
-    min_info_gain: float = 0.0
-    max_bins: int = 32
-    checkpoint_interval: int = 10   # rounds between lineage cuts (and node-id caching); -1 = none
-    partitions: int = 32            # rows are dealt over so many partitions by key; part of the model's definition
+    min_split_loss: float = 1.1         # a split has to gain so much
+    # What the published job's booster takes where nothing is set.
+    l2: float = 1.0
+    base_score: float = 0.5
+    # Our own.
+    max_bins: int = 256                 # quantile bins of a feature, 256 at most (a byte)
+    chunk_rounds: int = 250             # rounds between two written states
+    group_rows: int = 50_000            # a node with up to so many rows is finished in one task
     seed: int = 7
 
 

@@ -31,7 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--models", required=True, help="model store root (shared storage)")
     ap.add_argument("--out", help="report output root (forecast)")
     ap.add_argument("--files", type=int, default=5, help="report files (forecast)")
-    ap.add_argument("--parallel-fits", type=int, default=4, help="concurrent horizon fits (train)")
+    ap.add_argument("--attempt", default=None, help="name of this training; one that broke off goes on under its name")
     ap.add_argument("--base-deliver", default="Self", help="delivery type of the base class")
     ap.add_argument("--base-ord", default="Normal", help="order type of the base class")
     ap.add_argument("--city-by-own-offset", action="store_true", help="index the city series by the station's own offsets")
@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     ref = series_text.read_city_reference(spark, a.city_ref)
     if a.job == "train":
         series = series_text.read_series(spark, a.series, a.source_type or p.train_source, p.date_type)
-        train_job.run(spark, series, ref, p, a.models, a.parallel_fits)
+        train_job.run(spark, series, ref, p, a.models, a.attempt)
     else:
         if not a.out:
             raise SystemExit("--out is required for the forecast job")

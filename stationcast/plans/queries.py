@@ -322,7 +322,7 @@ def _trained(spark, sf_dir, p):
 
     s, ref = _inputs(spark, sf_dir, p)
     root = shared_dir(spark, "models")
-    _tj.run(spark, s, ref, p, root, parallel_fits=8)
+    _tj.run(spark, s, ref, p, root)
     return s, ref, root
 
 

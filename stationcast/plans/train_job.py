@@ -1,4 +1,4 @@
-"""Training job: series -> feature table (written once, partitioned by feature day) -> one model per horizon."""
+"""Training job: series -> feature table (written once, partitioned by feature day) -> binned rows -> one model per horizon."""
 
 from __future__ import annotations
 
@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from ..operators import models, series as ser, training
 from ..params import Params
-from ..session import release, shared_dir
+from ..session import scratch
 
 
 FILES_PER_DAY = 16
 
 
 def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str, files_per_day: int = FILES_PER_DAY) -> str:
-    """Materialise the feature table in the shared folder: the 35 fits all read it, so it is computed once.
+    """Materialise the feature table in the shared folder: row counts, cuts and binned rows all read it, so it is computed once.
 
-    Partitioned by ``pre_end`` (62 days): a horizon's fit prunes to its 28 days. Rows are hash-partitioned on the day
+    Partitioned by ``pre_end`` (62 days). Rows are hash-partitioned on the day
     and one of ``FILES_PER_DAY`` parts of the stations first: one pass over the features (a range partitioning would sample
     them, and so compute them twice), and a bounded number of files per day.
     """
@@ -26,12 +26,8 @@ def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str,
     return path
 
 
-def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str,
-        parallel_fits: int = 4) -> list[str]:
-    """Fit the per-horizon models and save them under ``model_root``; returns their paths. The feature table is deleted
-    when the fits are done."""
-    path = write_feature_table(ser.normalised(series), ref, p, shared_dir(spark, "feature_table"))
-    try:
-        return models.fit_models(spark, path, p, model_root, parallel_fits)
-    finally:
-        release(spark, path)
+def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str, attempt: str | None = None) -> dict:
+    """Train the per-horizon models, commit them under ``model_root`` and return their manifest. A run with the ``attempt`` name of one that
+    broke off goes on from its last written rounds. The feature table is deleted at the end, however the job ends."""
+    with scratch(spark) as folder:
+        return models.fit_models(spark, lambda: write_feature_table(ser.normalised(series), ref, p, folder("feature_table")), p, model_root, attempt)

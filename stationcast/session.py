@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -28,10 +30,72 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _path(spark: SparkSession, path: str):
+    """A path of any store that Spark reaches, and its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Deletes an intermediate table that ``shared_dir`` named."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    target, store = _path(spark, path)
+    store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, store = _path(spark, path)
+    return store.exists(target)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none if there is no such folder."""
+    target, store = _path(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(target)) if store.exists(target) else []
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a folder or file to a name that is not taken."""
+    source, store = _path(spark, path)
+    target, _ = _path(spark, to)
+    if store.exists(target) or not store.rename(source, target):
+        raise OSError(f"{path} cannot be renamed to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all: written beside its place, then renamed."""
+    aside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    target, store = _path(spark, aside)
+    out = store.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    move(spark, aside, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, store = _path(spark, path)
+    stream = store.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., str]]:
+    """Names folders like ``shared_dir`` and deletes them all at the end, whether the job ended well or not."""
+    made: list[str] = []
+
+    def folder(*parts: str) -> str:
+        made.append(shared_dir(spark, *parts))
+        return made[-1]
+
+    try:
+        yield folder
+    finally:
+        for path in made:
+            release(spark, path)
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import os
 
 from stationcast.functions.dates import model_date_for_forecast, model_date_for_training
-from stationcast.operators.models import model_path
+from stationcast.operators.models import date_path
 from stationcast.operators import training
 from stationcast.params import GbtParams
 from stationcast.plans import forecast_job as fj, train_job as tj
@@ -50,10 +50,10 @@ def test_train_then_forecast(spark, p):
     small = p.with_(fr_len=3, gbt=GbtParams(max_iter=3, max_depth=3))
     root = tempfile.mkdtemp(prefix="models-")
     train_p = small.with_(as_of=T - dt.timedelta(days=7))
-    fitted = tj.run(spark, s, ref, train_p, root, parallel_fits=3)
-    assert len(fitted) == 3 and all(m is not None for m in fitted)
-    for h in range(3):
-        assert os.path.isdir(model_path(root, model_date_for_training(train_p.as_of), h))
+    fitted = tj.run(spark, s, ref, train_p, root)
+    assert sorted(fitted["horizons"]) == ["0", "1", "2"] and all(h["trees"] == 3 and h["rows"] for h in fitted["horizons"].values())
+    for h in fitted["horizons"].values():
+        assert os.path.isdir(f"{date_path(root, model_date_for_training(train_p.as_of))}/{h['path']}")
     out = tempfile.mkdtemp(prefix="report-")
     rep = fj.run(spark, s, ref, codes.code_dim(spark), small, root, out_root=out)
     got = {(r.sta_num, r.deliver_name): r for r in rep.collect()}

@@ -52,7 +52,7 @@ def test_missing_model_stops_the_job(spark, p, tmp_path):
     feats = spark.createDataFrame([("1", [1.0] * 93)], "sta_num string, h array<double>")
     from pyspark.ml.functions import array_to_vector
 
-    with pytest.raises(models.MissingModel, match="horizon"):
+    with pytest.raises(models.MissingModel, match="committed"):
         models.score(feats.select("sta_num", array_to_vector("h").alias("features")), str(tmp_path), dt.date(2001, 11, 4), p)
 
 
