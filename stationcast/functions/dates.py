@@ -37,6 +37,16 @@ def model_date_for_forecast(as_of: dt.date) -> dt.date:
     return model_date_for_training(as_of - dt.timedelta(days=7))
 
 
+def training_day(as_of: Column) -> Column:
+    """``model_date_for_training`` of a column of run days."""
+    return F.next_day(F.date_sub(as_of, 1), "SUN")
+
+
+def forecast_day(as_of: Column) -> Column:
+    """``model_date_for_forecast`` of a column of run days."""
+    return training_day(F.date_sub(as_of, 7))
+
+
 def next_monday(day: dt.date) -> dt.date:
     """First Monday strictly after ``day``."""
     return day + dt.timedelta(days=7 - day.weekday())

@@ -6,12 +6,16 @@ and the same four parts one year earlier when the history is longer than a year.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.arrays import py_slice, rolling_week_sums
 from ..functions.dates import next_monday
 from ..params import Params
+from ..session import exists, move, release
 from ..sources import codes as code_dim
 from ..sources.series_text import NULL_MARK
 
@@ -118,13 +122,37 @@ def report_text(report: DataFrame) -> DataFrame:
     return report.select(F.concat_ws("#", *fields).alias("value"))
 
 
-def publish(report: DataFrame, root: str, p: Params, files: int = 5, codec: str = "deflate") -> str:
+class Published(NamedTuple):
+    """Where a report stands, its lines, and how many of them have a name without a code."""
+
+    path: str
+    lines: int
+    unknown: int
+
+
+def publish(report: DataFrame, root: str, p: Params, files: int = 5, codec: str = "deflate") -> Published:
     """Write the report text under ``<root>/<as_of>`` (replacing a previous run), ``files`` files.
 
-    ``repartition`` rather than ``coalesce``: the upstream stages keep their parallelism and only the
-    finished text lines are shuffled into ``files`` tasks.
+    The lines are written beside their place and renamed into it, so a report that fails half-way leaves the one before it;
+    they are counted on the way, in the same execution. ``repartition`` rather than ``coalesce``: the upstream stages
+    keep their parallelism and only the finished text lines are shuffled into ``files`` tasks.
     """
-    path = f"{root.rstrip('/')}/{p.as_of.isoformat()}"
-    (report_text(report).repartition(files)
-     .write.mode("overwrite").option("compression", codec).text(path))
-    return path
+    spark, root = report.sparkSession, root.rstrip("/")
+    path, staged, old = f"{root}/{p.as_of.isoformat()}", f"{root}/.staged-{uuid.uuid4().hex}", f"{root}/.old-{uuid.uuid4().hex}"
+    seen = Observation()
+    unknown = code_dim.quarantined(report, ["fr_type", "ord_type", "region_id"])
+    counted = report.observe(seen, F.count(F.lit(1)).alias("lines"), F.count(F.when(unknown, F.lit(1))).alias("unknown"))
+    try:
+        report_text(counted).repartition(files).write.option("compression", codec).text(staged)
+        if replaces := exists(spark, path):
+            move(spark, path, old)
+        try:
+            move(spark, staged, path)
+        except Exception:
+            if replaces:
+                move(spark, old, path)
+            raise
+        release(spark, old)
+    finally:
+        release(spark, staged)
+    return Published(path, seen.get["lines"], seen.get["unknown"])

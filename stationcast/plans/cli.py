@@ -30,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--city-ref", required=True, help="city reference text path")
     ap.add_argument("--models", required=True, help="model store root (shared storage)")
     ap.add_argument("--out", help="report output root (forecast)")
+    ap.add_argument("--rejects", help="folder for the input lines that cannot be read (not written without it)")
+    ap.add_argument("--max-rejects", type=int, default=100, help="with --rejects, stop the job when more lines than this cannot be read")
     ap.add_argument("--files", type=int, default=5, help="report files (forecast)")
     ap.add_argument("--attempt", default=None, help="name of this training; one that broke off goes on under its name")
     ap.add_argument("--base-deliver", default="Self", help="delivery type of the base class")
@@ -53,16 +55,22 @@ def main(argv: list[str] | None = None) -> None:
         g = dataclasses.replace(p.gbt, **{k: v for k, v in (("max_iter", a.max_iter), ("max_depth", a.max_depth))
                                           if v is not None})
         p = p.with_(gbt=g)
+    source = p.train_source if a.job == "train" else p.forecast_source
     spark = SparkSession.builder.appName(f"stationcast-{a.job}").getOrCreate()
     ref = series_text.read_city_reference(spark, a.city_ref)
+    if a.job == "forecast" and not a.out:
+        raise SystemExit("--out is required for the forecast job")
+    if a.rejects:
+        for kind, lines in (("series", series_text.series_lines(spark, a.series, a.source_type or source, p.date_type)), ("city", spark.read.text(a.city_ref))):
+            found = series_text.write_rejects(lines, f"{a.rejects.rstrip('/')}/{a.job}-{p.as_of.isoformat()}/{kind}", a.max_rejects, kind)
+            print(f"{kind} lines that cannot be read: {found or 'none'}")
     if a.job == "train":
-        series = series_text.read_series(spark, a.series, a.source_type or p.train_source, p.date_type)
+        series = series_text.read_series(spark, a.series, a.source_type or source, p.date_type)
         train_job.run(spark, series, ref, p, a.models, a.attempt)
     else:
-        if not a.out:
-            raise SystemExit("--out is required for the forecast job")
-        series = series_text.read_series(spark, a.series, a.source_type or p.forecast_source, p.date_type)
-        forecast_job.run(spark, series, ref, codes.code_dim(spark), p, a.models, a.out, a.files)
+        series = series_text.read_series(spark, a.series, a.source_type or source, p.date_type)
+        done = forecast_job.run_and_publish(spark, series, ref, codes.code_dim(spark), p, a.models, a.out, a.files)
+        print(f"{done.lines} report lines in {done.path}, {done.unknown} with an unknown name")
 
 
 if __name__ == "__main__":

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import allocation, evaluation, features, models, report, series as ser
 from ..operators.joins import sized_broadcast
 from ..params import Params
-from ..session import shared_dir
+from ..session import scratch, shared_dir, stored
 from ..sources.series_text import SERIES_COLUMNS
 
 KEY = ["sta_num", "deliver_type", "ord_type"]
@@ -62,14 +62,19 @@ def build_report(clean: DataFrame, station_fc: DataFrame, codes: DataFrame, p: P
     return report.report_rows(allocated(clean, station_fc, p), codes, p)
 
 
-def run(spark: SparkSession, series: DataFrame, ref: DataFrame, codes: DataFrame, p: Params, model_root: str,
-        out_root: str | None = None, files: int = 5) -> DataFrame:
-    """The whole forecast job; writes the text report when ``out_root`` is given, and says how many of its rows
-    have a name without a code."""
+def run(spark: SparkSession, series: DataFrame, ref: DataFrame, codes: DataFrame, p: Params, model_root: str) -> DataFrame:
+    """The typed report of the whole forecast, for a caller that reads it in this session; its checkpoints belong to the session."""
     clean = clean_series(series, p)
     station_fc = model_forecasts(clean, ref, p, model_root).checkpoint(eager=True)
-    rep = build_report(clean, station_fc, codes, p)
-    if out_root:
-        report.publish(rep, out_root, p, files=files)
-        print(f"report rows with an unknown name: {report.quarantined_rows(rep).count()}")
-    return rep
+    return build_report(clean, station_fc, codes, p)
+
+
+def run_and_publish(spark: SparkSession, series: DataFrame, ref: DataFrame, codes: DataFrame, p: Params, model_root: str, out_root: str,
+                    files: int = 5) -> report.Published:
+    """The whole forecast job: builds the report once, publishes its text and counts its lines and unknown names on the way. Intermediate
+    tables are deleted at the end, however the job ends."""
+    with scratch(spark) as folder:
+        clean = stored(clean_series(series, p, checkpoint=False), folder("clean_series"))
+        cities = stored(ref, folder("city_reference"))
+        station_fc = stored(model_forecasts(clean, cities, p, model_root), folder("station_forecast"))
+        return report.publish(build_report(clean, station_fc, codes, p), out_root, p, files=files)

@@ -375,7 +375,7 @@ def s3_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     rep = _naive_report(spark, sf_dir, p)
     root = shared_dir(spark, "report")
     _report.publish(rep.limit(0), root, p)
-    path = _report.publish(rep, root, p)
+    path = _report.publish(rep, root, p).path
     back = spark.read.text(path).select("value", F.input_file_name().alias("file"))
     return back.agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("value").alias("n_distinct"),
                     F.countDistinct("file").alias("n_files"),
@@ -396,14 +396,7 @@ def a7_crossmean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m5_m6_model_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every ship date as a run day, the dates of the models it trains and of those it reads (M5, M6)."""
     day = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.to_date("l_shipdate").alias("as_of")).distinct()
-    train = [F.when(F.dayofweek("as_of") == i + 1, F.lit(_dates.model_date_for_training(dt.date(2001, 11, 4) + dt.timedelta(days=i))
-                                                          .toordinal() - (dt.date(2001, 11, 4) + dt.timedelta(days=i)).toordinal()))
-             for i in range(7)]
-    ahead = F.coalesce(*train).cast("int")
-    read = dt.date(2001, 11, 4)
-    back = (_dates.model_date_for_training(read) - _dates.model_date_for_forecast(read)).days
-    return day.select("as_of", F.date_add("as_of", ahead).alias("train_date"),
-                      F.date_sub(F.date_add("as_of", ahead), back).alias("read_date"))
+    return day.select("as_of", _dates.training_day(F.col("as_of")).alias("train_date"), _dates.forecast_day(F.col("as_of")).alias("read_date"))
 
 
 def m1_feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:

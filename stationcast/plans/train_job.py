@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import models, series as ser, training
 from ..params import Params
-from ..session import scratch
+from ..session import scratch, stored
 
 
 FILES_PER_DAY = 16
@@ -28,6 +28,10 @@ def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str,
 
 def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str, attempt: str | None = None) -> dict:
     """Train the per-horizon models, commit them under ``model_root`` and return their manifest. A run with the ``attempt`` name of one that
-    broke off goes on from its last written rounds. The feature table is deleted at the end, however the job ends."""
+    broke off goes on from its last written rounds. The intermediate tables are deleted at the end, however the job ends."""
     with scratch(spark) as folder:
-        return models.fit_models(spark, lambda: write_feature_table(ser.normalised(series), ref, p, folder("feature_table")), p, model_root, attempt)
+        def table() -> str:
+            cities = stored(ref, folder("city_reference"))      # measured for its join, then read by it
+            return write_feature_table(ser.normalised(series), cities, p, folder("feature_table"))
+
+        return models.fit_models(spark, table, p, model_root, attempt)

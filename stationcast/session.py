@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "stationcast") -> SparkSession:
@@ -82,6 +82,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written and read again: its lineage is cut and it survives lost executors."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[..., str]]:
     """Names folders like ``shared_dir`` and deletes them all at the end, whether the job ended well or not."""

@@ -26,34 +26,66 @@ def parse_qty(text: Column) -> Column:
                        lambda x: F.when(x == F.lit(NULL_MARK), None).otherwise(x.try_cast("bigint")))
 
 
-def parse_series(lines: DataFrame) -> DataFrame:
-    """Typed series rows from raw text lines (column ``value``); extra columns (partitions) are kept."""
+def _fields() -> tuple[Column, Column, Column]:
+    """The fields of a line, the sub-fields of its row key and its start date (NULL if there is none)."""
     f = F.split(F.col("value"), "\u0001", -1)
-    key = F.split(f.getItem(1), "\\$", -1)
-    cols = [f.getItem(0).alias("tag")]
-    cols += [key.getItem(i).alias(name) for i, name in enumerate(ROWKEY_COLUMNS)]
-    cols += [
-        f.getItem(2).alias("date_unit"),
-        F.to_date(f.getItem(3), "yyyy-MM-dd").alias("start_date"),
-        f.getItem(4).alias("history_len"),
-        f.getItem(5).alias("unit_len"),
-        f.getItem(6).alias("time_span"),
-        parse_qty(f.getItem(7)).alias("qty"),
-        f.getItem(8).alias("remark"),
-    ]
+    return f, F.split(F.get(f, F.lit(1)), "\\$", -1), F.to_date(F.try_to_timestamp(F.get(f, F.lit(3)), F.lit("yyyy-MM-dd")))
+
+
+def fault(kind: str = "series") -> Column:
+    """Why a line cannot be read, NULL for a good one: ``blank``, ``fields`` or ``row key`` (their number), ``start date``."""
+    if kind == "series":
+        f, key, start = _fields()
+        n, bad_key = 2 + len(TAIL_COLUMNS), F.size(key) != len(ROWKEY_COLUMNS)
+    else:
+        f = F.split(F.col("value"), "#", -1)
+        n, bad_key, start = 4, F.lit(False), F.to_date(F.try_to_timestamp(F.get(f, F.lit(3)), F.lit("yyyy-MM-dd")))
+    return (F.when(F.trim("value") == "", F.lit("blank")).when(F.size(f) != n, F.lit("fields")).when(bad_key, F.lit("row key"))
+            .when(start.isNull(), F.lit("start date")))
+
+
+def parse_series(lines: DataFrame) -> DataFrame:
+    """Typed series rows from raw text lines (column ``value``); extra columns (partitions) are kept. Lines with a ``fault`` are left
+    out: ``write_rejects`` reports them."""
+    f, key, start = _fields()
+    cols = [F.get(f, F.lit(0)).alias("tag")]
+    cols += [F.get(key, F.lit(i)).alias(name) for i, name in enumerate(ROWKEY_COLUMNS)]
+    for i, name in enumerate(TAIL_COLUMNS, 2):
+        field = F.get(f, F.lit(i))
+        cols.append({"start_date": start.alias(name), "his_ts_qttys": parse_qty(field).alias("qty")}.get(name, field.alias(name)))
     extra = [c for c in lines.columns if c != "value"]
-    return lines.select(*cols, *extra)
+    return lines.where(fault().isNull()).select(*cols, *extra)
+
+
+class TooManyRejects(RuntimeError):
+    """More lines of an input cannot be read than the job allows."""
+
+
+def write_rejects(lines: DataFrame, path: str, limit: int, kind: str = "series") -> dict[str, int]:
+    """Writes the lines that cannot be read as a table ``(value, reason, …)`` and returns how many there are by reason (a handful of
+    reasons); with more than ``limit`` of them the job stops, the table being there to look at. Reads the text once and parses no history."""
+    bad = lines.withColumn("reason", fault(kind)).where(F.col("reason").isNotNull())
+    bad.write.mode("overwrite").parquet(path)
+    counts = {r["reason"]: r["count"] for r in lines.sparkSession.read.schema(bad.schema).parquet(path).groupBy("reason").count().collect()}
+    if sum(counts.values()) > limit:
+        raise TooManyRejects(f"{sum(counts.values())} lines cannot be read ({counts}), {limit} are allowed; see {path}")
+    return counts
 
 
 def read_series(spark: SparkSession, root: str, source_type: str | None = None, date_type: str | None = "day") -> DataFrame:
     """Scan the series table; ``source_type`` / ``date_type`` select partitions (directory pruning)."""
+    return parse_series(series_lines(spark, root, source_type, date_type))
+
+
+def series_lines(spark: SparkSession, root: str, source_type: str | None = None, date_type: str | None = "day") -> DataFrame:
+    """The raw lines of the selected partitions."""
     lines = spark.read.option("basePath", root).text(root)
     for name, wanted in (("source_type", source_type), ("date_type", date_type)):
         if wanted is not None:
             if name not in lines.columns:
                 raise ValueError(f"{root} has no partition column {name}, so {name}={wanted!r} cannot be selected")
             lines = lines.where(F.col(name) == wanted)
-    return parse_series(lines)
+    return lines
 
 
 def series_text(df: DataFrame) -> DataFrame:
@@ -75,12 +107,13 @@ def write_series(df: DataFrame, root: str, source_type: str, date_type: str = "d
 # ---- city reference ---------------------------------------------------------------------------------------------
 
 def parse_city_reference(lines: DataFrame) -> DataFrame:
+    """Typed reference rows; lines with a ``fault`` are left out."""
     f = F.split(F.col("value"), "#", -1)
-    return lines.select(
-        f.getItem(0).alias("std_sta_num"),
-        f.getItem(1).alias("city_id"),
-        parse_qty(f.getItem(2)).alias("ref_qty"),
-        F.to_date(f.getItem(3), "yyyy-MM-dd").alias("ref_start"),
+    return lines.where(fault("city").isNull()).select(
+        F.get(f, F.lit(0)).alias("std_sta_num"),
+        F.get(f, F.lit(1)).alias("city_id"),
+        parse_qty(F.get(f, F.lit(2))).alias("ref_qty"),
+        F.to_date(F.try_to_timestamp(F.get(f, F.lit(3)), F.lit("yyyy-MM-dd"))).alias("ref_start"),
     )
 
 

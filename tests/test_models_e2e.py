@@ -55,7 +55,8 @@ def test_train_then_forecast(spark, p):
     for h in fitted["horizons"].values():
         assert os.path.isdir(f"{date_path(root, model_date_for_training(train_p.as_of))}/{h['path']}")
     out = tempfile.mkdtemp(prefix="report-")
-    rep = fj.run(spark, s, ref, codes.code_dim(spark), small, root, out_root=out)
+    rep = fj.run(spark, s, ref, codes.code_dim(spark), small, root)
+    assert fj.run_and_publish(spark, s, ref, codes.code_dim(spark), small, root, out)[1:] == (10, 0)
     got = {(r.sta_num, r.deliver_name): r for r in rep.collect()}
     assert len(got) == 10
     base = got[("1", "Self")].current_block.forecast

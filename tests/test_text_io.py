@@ -46,7 +46,7 @@ def test_publish_writes_deflate_text(spark, p):
     rep = fj.build_report(make_series(spark, rows),
                           spark.createDataFrame([("1", [2.0] * 35)], "sta_num string, forecast array<double>"),
                           codes.code_dim(spark), p)
-    path = report.publish(rep, out_root, p, files=2)
+    path = report.publish(rep, out_root, p, files=2).path
     assert path.endswith(p.as_of.isoformat())
     files = [f for f in os.listdir(path) if f.startswith("part-")]
     assert files and all(f.endswith(".deflate") for f in files)
