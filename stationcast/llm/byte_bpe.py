@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import itertools
 from functools import cache
 
 import numpy as np
@@ -188,22 +189,28 @@ def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", name: str
     return with_python_columns(docs, ids, [T.StructField(name, T.BinaryType())], make)
 
 
-def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: bool = False) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids_sha256`` (of the decimal ids with a space between) and ``decoded_sha256`` (of the bytes that the
-    ids decode to), in one pass."""
+    ids decode to), in one pass; with ``ids``, also the array ``ids`` itself."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-              T.StructField("decoded_sha256", T.StringType())]
+              T.StructField("decoded_sha256", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))][:4 if ids else 3]
 
     def make(column, state=[]):  # noqa: B006  one encoder per task: its words are freed with the task
         if not state:
             state.append(Encoder(load(path, pattern)))
-        e, cols = state[0], ([], [], [])
+        e, cols, flat = state[0], ([], [], []), []
         for batch in _batches(column.to_pylist()):
             for ws in e.words(batch):
-                n, ids, _, raw = zip(*map(e.known.__getitem__, ws), strict=True) if ws else ((), (), (), ())
+                n, names, own, raw = zip(*map(e.known.__getitem__, ws), strict=True) if ws else ((), (), (), ())
                 cols[0].append(sum(n))
-                cols[1].append(hashlib.sha256(" ".join(ids).encode()).hexdigest())
+                cols[1].append(hashlib.sha256(" ".join(names).encode()).hexdigest())
                 cols[2].append(hashlib.sha256(b"".join(raw)).hexdigest())
-        return [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())]
+                if ids:
+                    flat.append(np.fromiter(itertools.chain.from_iterable(own), np.int32, cols[0][-1]))
+        out = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())]
+        if ids:
+            ends = np.cumsum([0, *cols[0]])
+            out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *flat]))))
+        return out
 
     return with_python_columns(docs, text, fields, make)

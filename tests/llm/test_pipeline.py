@@ -55,8 +55,10 @@ def test_stages_and_run(spark, docs, tables):
     with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    want = Counter((d["doc_id"], hashlib.sha256(" ".join(map(str, library.encode_ordinary(d["text"]))).encode()).hexdigest()) for d in plain(docs)[-1])
-    assert Counter((r["doc_id"], r["ids_sha256"]) for r in P.run(spark, tables).collect()) == want
+    want = Counter((d["doc_id"], tuple(library.encode_ordinary(d["text"]))) for d in plain(docs)[-1])
+    rows = P.run(spark, tables).collect()
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in rows) == want
+    assert all(r["n_tokens"] == len(r["ids"]) and r["ids_sha256"] == hashlib.sha256(" ".join(map(str, r["ids"])).encode()).hexdigest() for r in rows)
 
 
 def test_empty_documents(spark, empty_tables):
