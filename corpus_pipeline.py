@@ -6,7 +6,7 @@
 4. benchmark decontamination: documents that hold a benchmark passage go;
 5. byte-level BPE: each document's ids, its token count and the digests of ids and decoded bytes.
 
-A stage sees what its predecessor kept, with all columns of ``documents``; the last returns ``doc_id`` and the tokens. NULLs, empty
+A stage sees what its predecessor kept, with all columns of ``documents``; the last returns ``doc_id``, ``ids`` and what is derived from them. NULLs, empty
 texts, repeated rows and empty tables are treated as each operator's module says; a row that repeats another entirely goes in stage 2.
 """
 
@@ -42,7 +42,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.digests(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
+    return byte_bpe.digests(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, ids=True).drop("text")
 
 
 STAGES = [
