@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import array_sum, clean_window, let, py_slice, scale_crossmean
 from ..functions.dates import WINDOWS, window_bounds
 from ..params import Params
-from .joins import sized_broadcast
+from .joins import lookup
 
 ID_COLUMNS = ("province_id", "city_id", "county_id")
 
@@ -31,11 +31,11 @@ def attach_city_reference(df: DataFrame, ref: DataFrame, measured: bool = True)
     """Left-join the city reference (one row per city) on ``city_id``.
 
     The reference has one row per city, but each row holds a whole series, so it is broadcast only when its
-    measured size fits the session's broadcast threshold (``measured``); otherwise the planner decides.
+    measured size fits the session's broadcast threshold (``measured``). Beyond it, cities with very many stations are
+    salted by station (``joins.lookup``). Without ``measured`` the planner decides.
     """
     r = ref.select("city_id", "std_sta_num", "ref_qty", "ref_start")
-    r = sized_broadcast(r, ("ref_qty",)) if measured else r
-    return df.join(r, "city_id", "left")
+    return lookup(df, r, "city_id", "sta_num", ("ref_qty",)) if measured else df.join(r, "city_id", "left")
 
 
 def positions(pre_end: Column, p: Params) -> dict[str, tuple[Column, Column]]:

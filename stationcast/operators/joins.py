@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a measured size, otherwise an ordinary shuffle join."""
+"""Join helpers: broadcast only behind a measured size, otherwise a shuffle join, salted where a key is heavy."""
 
 from __future__ import annotations
 
@@ -42,3 +42,38 @@ def sized_broadcast(df: DataFrame, array_cols: tuple[str, ...] = (), limit: int
     if lim <= 0:
         return df
     return F.broadcast(df) if estimated_bytes(df, array_cols) <= lim else df
+
+
+#: A key with more rows than this is heavy.
+HEAVY_ROWS = 1_000_000
+#: At most so many keys can be heavy, whatever the input: the threshold rises with the number of rows.
+MAX_HEAVY = 10_000
+NULL_PARTS = 1024
+
+
+def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``(key, parts)`` of the keys with more than ``heavy_rows`` rows: counts over all of ``df``, aggregated before their shuffle.
+    ``parts`` says into how many parts of about ``heavy_rows`` rows the key is cut. Fewer than ``MAX_HEAVY`` rows come back, because a key
+    is heavy only above the ``MAX_HEAVY``-th part of all rows; so the result may be broadcast."""
+    least = max(heavy_rows, df.count() // MAX_HEAVY)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > least).select(key, F.ceil(F.col("_rows") / F.lit(least)).cast("int").alias("_parts"))
+
+
+def lookup(df: DataFrame, dim: DataFrame, key: str, spread: str, array_cols: tuple[str, ...] = (), heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``df`` left-joined with ``dim`` (one row per ``key``): broadcast if ``dim`` is measured to be small enough, else a shuffle join in
+    which heavy keys are salted.
+
+    A row of a heavy key goes to one of the key's parts by the hash of its column ``spread`` (the same part when a lost task runs again),
+    and the ``dim`` row of that key is copied to each part, so every row still meets its ``dim`` row exactly once. Rows without a key meet
+    nothing and are dealt over ``NULL_PARTS`` parts. Both tables are read more than once: pass written ones.
+    """
+    small = sized_broadcast(dim, array_cols)
+    if small is not dim:
+        return df.join(small, key, "left")
+    heavy = F.broadcast(heavy_keys(df.select(key), key, heavy_rows))
+    part = F.when(F.col(key).isNull(), F.lit(NULL_PARTS)).otherwise(F.coalesce(F.col("_parts"), F.lit(1)))
+    left = df.join(heavy, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread), part).cast("int")).drop("_parts")
+    right = (dim.join(heavy, key, "left")
+             .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))).drop("_parts"))
+    return left.join(right, [key, "_part"], "left").drop("_part")

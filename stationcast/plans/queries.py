@@ -130,12 +130,12 @@ REGISTRY = {
 
 def _inputs(spark, sf_dir, p):
     """Series built once and checkpointed (lineage cut in the shared checkpoint folder), and the city
-    reference derived from it; both the feature rows and the reference read the materialised series."""
+    reference derived from it, checkpointed too: it is measured for its join and then read by it."""
     from ..session import shared_dir
 
     shared_dir(spark)  # makes sure a checkpoint folder is set (tests only set their own)
     s = _series(spark, sf_dir, p).checkpoint(eager=True)
-    return s, tables.city_reference_from_tables(s, p)
+    return s, tables.city_reference_from_tables(s, p).checkpoint(eager=True)
 
 
 def _base_clean(spark, sf_dir, p, s=None):
