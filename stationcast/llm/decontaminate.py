@@ -13,27 +13,34 @@ Defined cases: a NULL or empty text, or one shorter than ``q`` bytes, matches no
 ``min_bytes``, is not searched; equal passages are searched once each, under their own ids; a repeated row gives its matches
 again; an empty table gives no match.
 
-Scale: documents are read once per slice of the benchmark, no shuffle. A slice of the benchmark (at most
-``slice_bytes``) goes to every task; a larger benchmark takes further slices, so what is broadcast has a fixed bound.
+Scale: a benchmark of up to ``slice_bytes`` (measured) goes to every task, and the documents are read once, without a shuffle. A larger
+one is dealt into slices of about that size by Spark; one slice after the other passes the driver, is searched for in a job that
+writes what it found per text, and is released. Matches depend on the text alone, so they are kept once per distinct text and come back to
+the documents by the text's SHA-256, with texts of very many copies salted.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import with_python_columns
+from ..operators.joins import lookup
+from .common import discard, with_python_columns, written
 from .text_arrays import CHUNK_BYTES, GOLDEN, U, Docs, chunks, distinct, tally
 
 Q = 8
 ERROR_RATE = 0.1
 MIN_BYTES = 24
 SLICE_BYTES = 4 << 20
+LARGEST = 1 << 62    # of a cell's number times a place
 _BITS = 21
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -42,6 +49,8 @@ _FOLD[9:14] = 32
 MATCH = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("start", T.IntegerType()),
                       T.StructField("end", T.IntegerType()), T.StructField("edits", T.IntegerType())])
 
+_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
+
 
 def folded(data: np.ndarray) -> np.ndarray:
     """Bytes in the form that is compared. Latin-1 capitals are C3 80 to C3 9E (but for C3 97) in UTF-8, their small letters
@@ -115,8 +124,12 @@ class PassageIndex:
         many = int(band.max()) + shift + 1 if len(band) else 1
         key = (doc[rows] * len(self.ids) + item) * many + band + shift
         longest = max(len(x) for x in self.text)
+        cells = None
+        if len(key) and int(key.max()) * longest >= LARGEST:    # cells are numbered anew where their product would not fit
+            cells, key = np.unique(key, return_inverse=True)
         # a passage q-gram counts once in a cell, however often the document repeats it there
         found, total = tally(distinct(key * longest + self.place[entry]) // longest)
+        found = found if cells is None else cells[found]
         # the overlapping band b spans the half-overlapping cells b and b + 1
         nxt = np.searchsorted(found, found + 1)
         same = nxt < len(found)
@@ -194,40 +207,71 @@ def align(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: in
     return int(origin[x]), int(low + m + x), int(cost[x])
 
 
-def _slices(benchmark: DataFrame, id_column: str, text_column: str, slice_bytes: int, min_bytes: int):
-    """The passages in slices of at most ``slice_bytes``; one slice is on the driver at a time."""
-    rows, total = [], 0
-    spark_rows = (benchmark.select(F.col(id_column).cast("long"), F.col(text_column))
-                  .where(F.col(text_column).isNotNull() & (F.octet_length(text_column) >= min_bytes)))
-    for item, text in spark_rows.toLocalIterator():
-        raw = text.encode()
-        if rows and total + len(raw) > slice_bytes:
-            yield rows
-            rows, total = [], 0
-        rows.append((item, raw))
-        total += len(raw)
-    if rows:
-        yield rows
+def _found(column: pa.Array, index: PassageIndex) -> pa.Array:
+    return pa.array(index.matches(column), _ARROW)
+
+
+def _passages(benchmark: DataFrame, id_column: str, text_column: str, min_bytes: int) -> DataFrame:
+    rows = benchmark.select(F.col(id_column).cast("long").alias("item_id"), F.col(text_column).alias("text"))
+    return rows.where(F.col("text").isNotNull() & (F.octet_length("text") >= min_bytes))
+
+
+def _items(rows: DataFrame) -> list[tuple[int, bytes]]:
+    """One slice; the caller has measured it."""
+    return [(r["item_id"], r["text"].encode()) for r in rows.collect()]
+
+
+def _searched(docs: DataFrame, text: str, items: list[tuple[int, bytes]], q: int, error_rate: float) -> DataFrame:
+    """``sha, found``: the matches of one slice per distinct text that has any, as a written table."""
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = PassageIndex(shared.value, q, error_rate)
+        for batch in batches:
+            found = _found(batch.column(0), index)
+            at = np.flatnonzero(pc.list_value_length(found).to_numpy(zero_copy_only=False))
+            sha = [hashlib.sha256(batch.column(0)[i].as_py().encode()).hexdigest() for i in at.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(sha, pa.string()), found.take(pa.array(at))], names=["sha", "found"])
+
+    schema = T.StructType([T.StructField("sha", T.StringType()), T.StructField("found", T.ArrayType(MATCH))])
+    out = written(docs.select(text).mapInArrow(run, schema).dropDuplicates(["sha"]), "benchmark_slice")
+    shared.destroy()            # the job that read it has ended, and what it found is written
+    return out
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_column: str = "item_id", passage: str = "text",
              q: int = Q, error_rate: float = ERROR_RATE, min_bytes: int = MIN_BYTES,
              slice_bytes: int = SLICE_BYTES, name: str = "matches") -> DataFrame:
-    """``docs`` with array column ``name`` of ``(item_id, start, end, edits)``: byte spans near a benchmark passage."""
-    field = T.StructField(name, T.ArrayType(MATCH))
-    arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
-    out = docs.withColumn(name, F.array().cast(T.ArrayType(MATCH)))
-    for rows in _slices(benchmark, id_column, passage, slice_bytes, max(q, min_bytes)):
-        shared = docs.sparkSession.sparkContext.broadcast(rows)
-
-        def make(column, shared=shared, built=[]):  # noqa: B006  the index is built once per Python worker and task
+    """``docs`` with array column ``name`` of ``(item_id, start, end, edits)``: byte spans near a benchmark passage, by start, item and end."""
+    passages = _passages(benchmark, id_column, passage, max(q, min_bytes))
+    total = passages.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if total <= slice_bytes:
+        shared = docs.sparkSession.sparkContext.broadcast(_items(passages))
+
+        def make(column, built=[]):  # noqa: B006  the index is built once per Python worker and task
             if not built:
                 built.append(PassageIndex(shared.value, q, error_rate))
-            return [pa.array(built[0].matches(column), arrow)]
-
-        part = with_python_columns(out, text, [T.StructField("new_" + name, field.dataType)], make)
-        out = part.withColumn(name, F.concat(name, "new_" + name)).drop("new_" + name)
-    return out
+            return [_found(column, built[0])]
+
+        return with_python_columns(docs, text, [T.StructField(name, T.ArrayType(MATCH))], make)
+
+    n = -(-total // slice_bytes)
+    dealt = written(passages.withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))), "benchmark")
+    parts = [_searched(docs, text, _items(dealt.where(F.col("slice") == i).drop("slice")), q, error_rate) for i in range(n)]
+    discard(dealt)
+    # at most one row per slice and text
+    by_place = F.array_sort(F.flatten(F.collect_list(F.transform("found", lambda m: F.struct(m["start"], m["item_id"], m["end"], m["edits"])))))
+    every = reduce(DataFrame.unionByName, parts).groupBy("sha").agg(by_place.alias("found"))
+    every = every.select("sha", F.transform("found", lambda m: F.struct(*[m[c].alias(c) for c in MATCH.names])).alias("found"))
+    key = "sha"
+    while key in docs.columns or key == name:
+        key += "_"
+    every = written(every.withColumnsRenamed({"sha": key, "found": name}), "benchmark_matches")
+    discard(*parts)
+    spread = "doc_id" if "doc_id" in docs.columns else text
+    own = docs.drop(name).withColumn(key, F.sha2(F.col(text).cast("binary"), 256))
+    out = lookup(own, every, key, spread, (name,)).withColumn(name, F.coalesce(name, F.array().cast(T.ArrayType(MATCH))))
+    return out.select(*[c for c in docs.columns if c != name], name)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
