@@ -9,6 +9,12 @@ bounded bytes, and keys travel as sorted, compressed arrays:
    order it sent them; the answers are written, which cuts the lineage;
 3. ``answered``: block and answers meet again by block number.
 
+With ``n`` blocks and as many buckets there are up to ``n`` squared rows, so buckets are as many as blocks only up to ``FAN``. Beyond,
+counting takes levels, like the digits of a number: a block sends ``fan`` rows, sets of ``fan`` blocks add up each bucket and
+send the sums on, cut ``fan`` times finer, and so forth; the totals come down the same way. Each level is one more written copy of the
+requests, each group holds about as many keys as a block at every level, and a block has at most ``FAN`` rows a level: with two
+levels up to 16.7 million blocks.
+
 A hot key is one entry per block, so no bucket gets more than its share; blocks and buckets are bounded, and nothing
 reaches the driver but the number of blocks. Lost executors: every step reads a written table.
 """
@@ -20,15 +26,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import discard, written
 
 BLOCK_BYTES = 8 << 20
+FAN = 4096
 _REQUEST = "kind int, bucket int, block long, keys binary, counts binary"
 _ANSWER = "block long, kind int, bucket int, totals binary, n_distinct long, n_total long"
 
@@ -71,8 +79,6 @@ def _bytes_of(batch: pa.RecordBatch) -> np.ndarray:
 
 def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
     """The rows of ``docs`` in blocks of about ``block_bytes`` (a longer row is a block of its own)."""
-    import pyarrow.compute  # noqa: F401  makes pa.compute available in the tasks
-
     def seal(parts: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -83,7 +89,6 @@ def pack(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Blocks:
                                            pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "payload"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
         parts, have, number = [], 0, 0
         for batch in batches:
             ends = np.cumsum(_bytes_of(batch))
@@ -115,7 +120,6 @@ Ask = Callable[[pa.Table, dict[int, np.ndarray]], dict[int, tuple[np.ndarray, np
 
 class Answers(NamedTuple):
     table: DataFrame
-    n_buckets: int
 
 
 def _totals(answers: pa.Table) -> dict[int, np.ndarray]:
@@ -128,20 +132,21 @@ def _totals(answers: pa.Table) -> dict[int, np.ndarray]:
     return {k: np.concatenate(v) for k, v in out.items()}
 
 
-def _requests(block: int, asked: dict[int, tuple[np.ndarray, np.ndarray]], n_buckets: int) -> pa.RecordBatch:
-    edges = np.array([(i << 64) // n_buckets for i in range(1, n_buckets)], dtype=np.uint64)
+def _cut(block: int, asked: dict[int, tuple[np.ndarray, np.ndarray]], n_buckets: int, own: range) -> pa.RecordBatch:
+    """Requests of one block or set, a row per kind and bucket: all its keys lie in the buckets ``own`` of ``n_buckets``."""
+    edges = np.array([(i << 64) // n_buckets for i in own[1:]], dtype=np.uint64)
     rows = []
     for kind, (keys, counts) in asked.items():
         cut = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
         rows += [(kind, b, block, squeeze_sorted(keys[lo:hi]), squeeze(counts[lo:hi].astype(np.uint64)))
-                 for b, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if hi > lo]
+                 for b, lo, hi in zip(own, cut[:-1], cut[1:], strict=True) if hi > lo]
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
                                       names=["kind", "bucket", "block", "keys", "counts"])
 
 
-def _add_up(asked: pa.Table) -> pa.Table:
-    """All requests of one kind and bucket: the totals of each request's keys."""
+def _summed(asked: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of each request; the distinct keys of all, their totals, and for each key of each request its place among the distinct."""
     keys = [expand_sorted(x) for x in asked["keys"].to_pylist()]
     every = np.concatenate(keys)
     order = np.argsort(every, kind="stable")
@@ -149,41 +154,88 @@ def _add_up(asked: pa.Table) -> pa.Table:
     first = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     at = np.flatnonzero(first)
     counts = np.concatenate([expand(x) for x in asked["counts"].to_pylist()])[order]
-    total = np.add.reduceat(counts, at)
-    back = np.empty(len(every), np.uint64)
-    back[order] = total[np.cumsum(first) - 1]
+    place = np.empty(len(every), np.int64)
+    place[order] = np.cumsum(first) - 1
+    return keys, ranked[at], np.add.reduceat(counts, at), place
+
+
+def _answers(asked: pa.Table, keys: list[np.ndarray], back: np.ndarray, n_distinct: int, n_total: int) -> pa.Table:
+    """``back``: the total of each key of each request, one after the other."""
     n = len(keys)
     cut = np.cumsum([0, *map(len, keys)])
     return pa.table({
         "block": asked["block"], "kind": asked["kind"], "bucket": asked["bucket"],
         "totals": pa.array([squeeze(back[cut[i]:cut[i + 1]]) for i in range(n)], pa.binary()),
-        "n_distinct": pa.array([int((total > 0).sum())] + [0] * (n - 1), pa.int64()),
-        "n_total": pa.array([int(total.sum())] + [0] * (n - 1), pa.int64())})
+        "n_distinct": pa.array([n_distinct] + [0] * (n - 1), pa.int64()), "n_total": pa.array([n_total] + [0] * (n - 1), pa.int64())})
+
+
+def _add_up(asked: pa.Table) -> pa.Table:
+    """All requests of one kind and bucket: the totals of each request's keys."""
+    keys, _, total, place = _summed(asked)
+    return _answers(asked, keys, total[place], int((total > 0).sum()), int(total.sum()))
+
+
+def levels(n_blocks: int, most: int = FAN) -> tuple[int, int]:
+    """How many levels there are, and the buckets of a block on each: the least that reaches all blocks, at most ``most``."""
+    n, fan = 1, 1
+    while most ** n < n_blocks:
+        n += 1
+    while fan ** n < n_blocks:
+        fan += 1
+    return n, fan
+
+
+def _totalled(asked: DataFrame, nodes: int, n_levels: int, fan: int, ranges: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The answers to the requests of ``nodes`` blocks or sets, whose buckets cut the keys into ``ranges``; and the written tables they read."""
+    if n_levels == 1:
+        return asked.groupBy("kind", "bucket").applyInArrow(_add_up, _ANSWER), []
+    asked = written(asked, "requests")
+    sets = -(-nodes // fan)
+    dealt = asked.withColumn("set", F.pmod(F.xxhash64("block"), F.lit(sets)).cast("long"))
+
+    def merge(rows: pa.Table) -> pa.Table:
+        _, keys, total, _ = _summed(rows)
+        kind, bucket, owner = (rows[c][0].as_py() for c in ("kind", "bucket", "set"))
+        return pa.Table.from_batches([_cut(owner, {kind: (keys, total)}, ranges * fan, range(bucket * fan, (bucket + 1) * fan))])
+
+    above, read = _totalled(dealt.groupBy("set", "kind", "bucket").applyInArrow(merge, _REQUEST), sets, n_levels - 1, fan, ranges * fan)
+
+    def down(rows: pa.Table, sums: pa.Table) -> pa.Table:
+        keys, _, _, place = _summed(rows)
+        ordered = sorted(zip(sums["fine"].to_pylist(), sums["totals"].to_pylist(), strict=True))
+        total = np.concatenate([expand(raw) for _, raw in ordered])
+        return _answers(rows, keys, total[place], pa.compute.sum(sums["n_distinct"]).as_py(), pa.compute.sum(sums["n_total"]).as_py())
+
+    above = above.select(F.col("block").alias("set"), "kind", F.col("bucket").alias("fine"),
+                         F.floor(F.col("bucket") / F.lit(fan)).cast("int").alias("bucket"), "totals", "n_distinct", "n_total")
+    key = ["set", "kind", "bucket"]
+    return dealt.groupBy(*key).cogroup(above.groupBy(*key)).applyInArrow(down, _ANSWER), [asked, *read]
 
 
-def count(blocks: Blocks, ask: Ask, after: Answers | None = None, name: str = "answers") -> Answers:
-    """One round of counting; with ``after``, ``ask`` also gets the totals of that earlier round."""
-    n_buckets = max(1, blocks.n)
+def count(blocks: Blocks, ask: Ask, after: Answers | None = None, name: str = "answers", most: int | None = None) -> Answers:
+    """One round of counting; with ``after``, ``ask`` also gets the totals of that earlier round. ``most``: in place of ``FAN``."""
+    n_levels, fan = levels(blocks.n, most or FAN)
 
-    def one(block: int, payload: bytes, totals: dict[int, np.ndarray]) -> pa.RecordBatch:
-        return _requests(block, ask(unpack(payload), totals), n_buckets)
+    def requests(block: int, asked: dict[int, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        return _cut(block, asked, fan, range(fan))
 
     if after is None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for block, payload in zip(batch["block"].to_pylist(), batch["payload"].to_pylist(), strict=True):
-                    yield one(block, payload, {})
+                    yield requests(block, ask(unpack(payload), {}))
 
         asked = blocks.table.mapInArrow(run, _REQUEST)
     else:
-        asked = answered(blocks, after, lambda rows, totals, block: pa.Table.from_batches(
-            [_requests(block, ask(rows, totals), n_buckets)]), _REQUEST)
-    totals = asked.groupBy("kind", "bucket").applyInArrow(_add_up, _ANSWER)
-    return Answers(written(totals, name), n_buckets)
+        asked = answered(blocks, after, lambda rows, totals, block: pa.Table.from_batches([requests(block, ask(rows, totals))]), _REQUEST)
+    totals, read = _totalled(asked, blocks.n, n_levels, fan, fan)
+    out = written(totals, name)
+    discard(*read)
+    return Answers(out)
 
 
 def merged(first: Answers, second: Answers) -> Answers:
-    return Answers(first.table.unionByName(second.table), first.n_buckets)
+    return Answers(first.table.unionByName(second.table))
 
 
 def answered(blocks: Blocks, answers: Answers, fn: Callable[[pa.Table, dict[int, np.ndarray], int], pa.Table],
