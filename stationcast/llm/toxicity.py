@@ -23,7 +23,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,22 +130,25 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT) -> Model:
         return flat
     wanted = np.zeros(SLOTS, bool)
     wanted[chosen] = True
-    shared = docs.sparkSession.sparkContext.broadcast((wanted, chosen))  # SLOTS flags and at most SLOTS numbers
+    shared = docs.sparkSession.sparkContext.broadcast(wanted)  # SLOTS flags
 
     def make(column):
-        wanted, chosen = shared.value
-        out: list[list[int]] = [[] for _ in range(len(column))]
+        wanted = shared.value
+        out: list[pa.Array] = []
         for d in chunks(column, CHUNK):
             hit = _hits(d, wanted)
-            for doc, at in zip((d.lo + hit // SLOTS).tolist(), np.searchsorted(chosen, hit % SLOTS).tolist(), strict=True):
-                out[doc].append(at)
-        return [pa.array(out, pa.list_(pa.int32()))]
+            size = np.bincount(hit // SLOTS, minlength=len(d.off) - 1)
+            names = pa.array(hit % SLOTS, pa.int32()).cast(pa.string())
+            out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), names))
+        return [pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.string()))]
 
+    # presence of each chosen slot, then times its ratio: sparse vectors made by Spark's own transformers
     value = ratio[chosen]
-    to_vector = F.udf(lambda at: SparseVector(len(value), at, value[at]), VectorUDT())
-    ready = with_python_columns(rows, "text", [T.StructField("at", T.ArrayType(T.IntegerType()))], make).select(
-        to_vector("at").alias("features"), F.col("toxic").cast("double").alias("label"))
-    fitted = LogisticRegression(maxIter=MAX_ITER, regParam=REGULARISATION, standardization=False).fit(ready)
+    has = with_python_columns(rows, "text", [T.StructField("slots", T.ArrayType(T.StringType()))], make)
+    has = has.select("slots", F.col("toxic").cast("double").alias("label"))
+    present = CountVectorizerModel.from_vocabulary([str(x) for x in chosen.tolist()], "slots", "present").setBinary(True).transform(has)
+    ready = ElementwiseProduct(scalingVec=Vectors.dense(value), inputCol="present", outputCol="features").transform(present)
+    fitted = LogisticRegression(maxIter=MAX_ITER, regParam=REGULARISATION, standardization=False).fit(ready.select("features", "label"))
     weight = np.zeros(SLOTS)
     weight[chosen] = value * fitted.coefficients.toArray()
     return Model(weight, fitted.intercept)
