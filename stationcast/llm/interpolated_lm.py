@@ -8,7 +8,8 @@ token before ``w`` (a begin mark before the first),
 over the training documents, where ``b`` is the bucket of the context's frequency c(v): 0, 1, 2-3, 4-7, ... The weights
 of each bucket are learned by expectation-maximisation on held-out counts: each training document in turn is deleted
 from the counts that predict it. For that, tokens are tallied in a grid of bucket and quarter-octave ratios of the two
-estimates to the uniform one; the grid has a fixed number of cells whatever the corpus, so the tally fits the driver.
+estimates to the uniform one; the grid has a fixed number of cells whatever the corpus, so the tally fits the driver. Each cell
+also adds up the logarithms of its ratios, so it enters the maximisation with its own geometric means, not with its middle.
 
 Counts are exact (keys are 64-bit hashes of words and word pairs) and cover all training documents; nothing is pruned.
 
@@ -31,6 +32,7 @@ END, BEGIN = U(0x0DDC0FFEE0DDF00D), U(0x0123456789ABCDEF)
 ONE, TWO = 1, 2
 OCTAVE = 4
 LEVELS = 240          # quarter octaves of a ratio, 0 for an estimate of 0
+FINE = 1 << 16        # units of an octave in the sums of logarithms
 BUCKETS = 48
 ROUNDS = 60
 
@@ -107,10 +109,12 @@ def _bucket(context: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(context.astype(np.float64))[1], BUCKETS - 1)
 
 
-def _ratio(p: np.ndarray, uniform: float) -> np.ndarray:
+def _ratio(p: np.ndarray, uniform: float) -> tuple[np.ndarray, np.ndarray]:
+    """The level of each estimate's ratio to the uniform one, and its logarithm in units of ``FINE``."""
     with np.errstate(divide="ignore"):
-        level = np.floor(OCTAVE * np.log2(p / uniform)) + LEVELS // 2
-    return np.where(p > 0, np.clip(level, 1, LEVELS - 1), 0).astype(np.int64)
+        octaves = np.where(p > 0, np.log2(p / uniform), 0.0)
+    level = np.clip(np.floor(OCTAVE * octaves) + LEVELS // 2, 1, LEVELS - 1)
+    return np.where(p > 0, level, 0).astype(np.int64), np.rint(octaves * FINE)
 
 
 def _safe(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -126,21 +130,21 @@ def _grid(n: int, v: int):
         length = np.bincount(doc, minlength=len(learn))[doc]
         own_v = _own(before, doc)
         cvw, cw, cv = cvw - _own(_pair(before, token), doc), cw - _own(token, doc), cv - own_v
-        two = _ratio(_safe(cvw, cv), 1 / (v + 1))
-        one = _ratio(_safe(cw, n - length), 1 / (v + 1))
-        cell, count = np.unique((_bucket(cv) * LEVELS + two) * LEVELS + one, return_counts=True)
-        return pa.table({"cell": pa.array(cell, pa.int64()), "n": pa.array(count, pa.int64())})
+        two, two_log = _ratio(_safe(cvw, cv), 1 / (v + 1))
+        one, one_log = _ratio(_safe(cw, n - length), 1 / (v + 1))
+        cell, of = np.unique((_bucket(cv) * LEVELS + two) * LEVELS + one, return_inverse=True)
+        add = lambda x: pa.array(np.bincount(of, weights=x, minlength=len(cell)).astype(np.int64), pa.int64())
+        return pa.table([pa.array(cell, pa.int64()), add(None), add(two_log), add(one_log)], names=["cell", "n", "two", "one"])
     return tally
 
 
-def learn_weights(cells: list[tuple[int, int]], rounds: int = ROUNDS) -> np.ndarray:
-    """``(buckets, 3)``: the weights of the pair, word and uniform estimates, by expectation-maximisation. A bucket without
-    held-out tokens takes the weights of all tokens together."""
-    cell = np.array([c for c, _ in cells], np.int64)
-    count = np.array([c for _, c in cells], np.float64)
-    bucket, two, one = cell // (LEVELS * LEVELS), cell // LEVELS % LEVELS, cell % LEVELS
-    value = lambda q: np.where(q > 0, 2.0 ** ((q - LEVELS // 2 + 0.5) / OCTAVE), 0.0)
-    p = np.stack([value(two), value(one), np.ones(len(cell))], axis=1)
+def learn_weights(cells: pa.Table, rounds: int = ROUNDS) -> np.ndarray:
+    """``(buckets, 3)``: the weights of the pair, word and uniform estimates, by expectation-maximisation over ``cell, n, two, one`` (the
+    last two: sums of logarithms). A bucket without held-out tokens takes the weights of all tokens together."""
+    cell, n, two, one = (cells[c].to_numpy() for c in ("cell", "n", "two", "one"))
+    count, bucket = n.astype(np.float64), cell // (LEVELS * LEVELS)
+    value = lambda level, log: np.where(level > 0, 2.0 ** (log / count / FINE), 0.0)
+    p = np.stack([value(cell // LEVELS % LEVELS, two), value(cell % LEVELS, one), np.ones(len(cell))], axis=1)
 
     def fit(at: np.ndarray) -> np.ndarray:
         a = np.full(3, 1 / 3)
@@ -167,9 +171,9 @@ def score(docs: DataFrame, id_columns: list[str], learn: str) -> DataFrame:
     n_types, n_tokens = B.stats(answers, ONE)
     begins = docs.where(F.coalesce(F.col(learn), F.lit(True))).count()
     n, v = n_tokens - begins, n_types - (begins > 0)
-    grid = B.answered(packed, answers, _grid(n, v), "cell long, n long")
-    cells = grid.groupBy("cell").agg(F.sum("n")).collect()  # at most BUCKETS * LEVELS ** 2 cells, a fixed bound
-    weights = learn_weights([(r[0], r[1]) for r in cells])
+    grid = B.answered(packed, answers, _grid(n, v), "cell long, n long, two long, one long")
+    cells = grid.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "two", "one")])  # at most BUCKETS * LEVELS ** 2, a fixed bound
+    weights = learn_weights(cells.toArrow().sort_by("cell"))
 
     def run(rows: pa.Table, totals: dict[int, np.ndarray], _: int) -> pa.Table:
         _, _, doc, cw, cv, cvw = _counts(rows, totals)

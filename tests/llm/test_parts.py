@@ -138,7 +138,11 @@ def test_em_weights_raise_the_likelihood():
     rng = np.random.default_rng(1)
     cells = [(int((b * interpolated_lm.LEVELS + two) * interpolated_lm.LEVELS + one), int(c))
              for b, two, one, c in zip(rng.integers(0, 5, 60), rng.integers(0, 200, 60), rng.integers(1, 200, 60), rng.integers(1, 50, 60), strict=True)]
-    w = interpolated_lm.learn_weights(cells)
+    middle = lambda q: (q - interpolated_lm.LEVELS // 2 + 0.5) / interpolated_lm.OCTAVE * interpolated_lm.FINE
+    w = interpolated_lm.learn_weights(pa.table({
+        "cell": [c for c, _ in cells], "n": [n for _, n in cells],
+        "two": [int(n * middle(c // interpolated_lm.LEVELS % interpolated_lm.LEVELS)) for c, n in cells],
+        "one": [int(n * middle(c % interpolated_lm.LEVELS)) for c, n in cells]}))
     assert w.shape == (interpolated_lm.BUCKETS, 3) and np.allclose(w.sum(axis=1), 1) and (w > 0).all()
 
     def likelihood(weights):
