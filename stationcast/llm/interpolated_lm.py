@@ -132,9 +132,11 @@ def _grid(n: int, v: int):
         cvw, cw, cv = cvw - _own(_pair(before, token), doc), cw - _own(token, doc), cv - own_v
         two, two_log = _ratio(_safe(cvw, cv), 1 / (v + 1))
         one, one_log = _ratio(_safe(cw, n - length), 1 / (v + 1))
-        cell, of = np.unique((_bucket(cv) * LEVELS + two) * LEVELS + one, return_inverse=True)
-        add = lambda x: pa.array(np.bincount(of, weights=x, minlength=len(cell)).astype(np.int64), pa.int64())
-        return pa.table([pa.array(cell, pa.int64()), add(None), add(two_log), add(one_log)], names=["cell", "n", "two", "one"])
+        at = (_bucket(cv) * LEVELS + two) * LEVELS + one
+        count = np.bincount(at)
+        cell = np.flatnonzero(count)
+        add = lambda x: pa.array(np.bincount(at, weights=x)[cell].astype(np.int64), pa.int64())
+        return pa.table([pa.array(cell, pa.int64()), pa.array(count[cell], pa.int64()), add(two_log), add(one_log)], names=["cell", "n", "two", "one"])
     return tally
 
 
