@@ -269,8 +269,8 @@ SQL.update({
     "w7_labels": q(f"""SELECT sta_num, ds AS label_date, qty AS label FROM long
         WHERE deliver_type = 'Self' AND ord_type = 'Normal' AND ds BETWEEN {_d(L_FIRST)} AND {_d(L_LAST)} AND qty > 0"""),
     "j5_training_set": fq(training_rows, "trows", TRAIN_BODY),
-    "j5_training_features": fq(training_rows, "trows",
-        "SELECT sta_num, pre_end, path, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM feat"),
+    **dict.fromkeys(["j5_training_features", "j5_feature_store"], fq(training_rows, "trows",
+        "SELECT sta_num, pre_end, path, CAST(idx AS INTEGER) AS idx, round(value, 6) AS value FROM feat")),
 })
 
 

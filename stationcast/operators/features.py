@@ -102,14 +102,45 @@ def _fallback(pos: dict, p: Params) -> Column:
     return F.when(ok, let(parts, build))
 
 
-def history_features(df: DataFrame, p: Params) -> DataFrame:
-    """Add ``path`` and ``hist`` (``ARRAY<DOUBLE>``, 90 values) to rows with ``start_date``, ``qty``, ``pre_end``
-    and the city reference columns; rows that get no valid history are dropped."""
-    pos = positions(F.col("pre_end"), p)
+def _source(p: Params) -> tuple[Column, Column, Column]:
+    """Whether the station is young, the array its windows are cut from, and what is added to its own offsets."""
     young = F.col("start_date") > F.lit(p.new_station_threshold)
     src = F.when(young, F.col("ref_qty")).otherwise(F.col("qty"))
     shift = (F.when(young, F.datediff("start_date", "ref_start")).otherwise(F.lit(0))
              if p.align_city_by_date else F.lit(0))
+    return young, src, shift
+
+
+def input_signature(p: Params) -> Column:
+    """64-bit hash of all that ``with_history`` and ``id_values`` read of a row. Rows of a station and ``pre_end`` with equal
+    signatures have equal features, whatever the as-of day; a restated day, another reference or a station that stops being young
+    gives another one."""
+    pos = positions(F.col("pre_end"), p)
+    young, src, shift = _source(p)
+    to_ref = F.datediff("start_date", "ref_start")
+    cut = ([py_slice(src, lo + shift, hi + shift) for lo, hi in pos.values()] + [py_slice(F.col("qty"), *pos["pre"])]
+           + [py_slice(F.col("ref_qty"), lo + to_ref, hi + to_ref) for lo, hi in pos.values()])
+    read = ([F.array_join(a.cast("array<string>"), ",", "n") for a in cut]
+            + [(x >= 0).cast("string") for lo, hi in pos.values() for x in (lo, hi, lo + to_ref)]
+            + [young.cast("string"), F.col("ref_qty").isNull().cast("string")] + [F.col(c).cast("string") for c in ID_COLUMNS])
+    rule = f"{p.window_len} {p.cycle_len} {p.align_city_by_date} {p.fallback_scale}"
+    return F.xxhash64(F.lit(rule), *[x for r in read for x in (r.isNull(), r)])
+
+
+def history_features(df: DataFrame, p: Params) -> DataFrame:
+    """Add ``path`` and ``hist`` (``ARRAY<DOUBLE>``, 90 values) to rows with ``start_date``, ``qty``, ``pre_end``
+    and the city reference columns; rows that get no valid history are dropped."""
+    return keep_rows(with_history(df, p), valid_history(F.col("hist"), p))
+
+
+def valid_history(hist: Column, p: Params) -> Column:
+    return hist.isNotNull() & (F.size(hist) == len(WINDOWS) * p.window_len)
+
+
+def with_history(df: DataFrame, p: Params) -> DataFrame:
+    """``history_features`` of every row: ``hist`` is NULL or too short where there is no valid history."""
+    pos = positions(F.col("pre_end"), p)
+    young, src, shift = _source(p)
     staged = df
     for i, name in enumerate(WINDOWS):
         lo, hi = pos[name]
@@ -118,18 +149,21 @@ def history_features(df: DataFrame, p: Params) -> DataFrame:
     w = [F.col(f"_w{i}") for i in range(len(WINDOWS))]
     all_ok = F.coalesce(w[0].isNotNull() & w[1].isNotNull() & w[2].isNotNull()
                         & (~young | F.col("ref_qty").isNotNull()), F.lit(False))
-    staged = (staged
+    return (staged
               .withColumn("path", F.when(all_ok, F.when(young, F.lit("city")).otherwise(F.lit("own")))
                           .otherwise(F.lit("fallback")))
               .withColumn("hist", F.when(all_ok, F.concat(*w)).otherwise(_fallback(pos, p)))
               .drop(*[f"_w{i}" for i in range(len(WINDOWS))]))
-    return keep_rows(staged, F.col("hist").isNotNull() & (F.size("hist") == len(WINDOWS) * p.window_len))
+
+
+def id_values() -> Column:
+    """(province, city, county) as doubles. An id that is no number counts as 0."""
+    return F.array(*[F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in ID_COLUMNS])
 
 
 def with_feature_vector(df: DataFrame, out: str = "features") -> DataFrame:
-    """``hist`` ++ (province, city, county) as doubles, as an ML vector (M1). An id that is no number counts as 0."""
-    ids = [F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in ID_COLUMNS]
-    return df.withColumn(out, array_to_vector(F.concat(F.col("hist"), F.array(*ids))))
+    """``hist`` ++ (province, city, county) as doubles, as an ML vector (M1)."""
+    return df.withColumn(out, array_to_vector(F.concat(F.col("hist"), id_values())))
 
 
 FEATURE_INPUT = ["sta_num", "start_date", "qty", "province_id", "city_id", "county_id"]

@@ -34,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--max-rejects", type=int, default=100, help="with --rejects, stop the job when more lines than this cannot be read")
     ap.add_argument("--files", type=int, default=5, help="report files (forecast)")
     ap.add_argument("--attempt", default=None, help="name of this training; one that broke off goes on under its name")
+    ap.add_argument("--feature-store", default=None, help="folder in which trainings keep their features for the next one (train)")
     ap.add_argument("--base-deliver", default="Self", help="delivery type of the base class")
     ap.add_argument("--base-ord", default="Normal", help="order type of the base class")
     ap.add_argument("--city-by-own-offset", action="store_true", help="index the city series by the station's own offsets")
@@ -66,7 +67,7 @@ def main(argv: list[str] | None = None) -> None:
             print(f"{kind} lines that cannot be read: {found or 'none'}")
     if a.job == "train":
         series = series_text.read_series(spark, a.series, a.source_type or source, p.date_type)
-        train_job.run(spark, series, ref, p, a.models, a.attempt)
+        train_job.run(spark, series, ref, p, a.models, a.attempt, a.feature_store)
     else:
         series = series_text.read_series(spark, a.series, a.source_type or source, p.date_type)
         done = forecast_job.run_and_publish(spark, series, ref, codes.code_dim(spark), p, a.models, a.out, a.files)

@@ -18,7 +18,7 @@ from ..functions.arrays import py_slice as _py_slice
 from ..functions.dates import window_bounds as _window_bounds
 from ..operators import allocation, series as ser
 from ..operators import evaluation as _evaluation, features as _features, report as _report
-from ..operators import training as _training
+from ..operators import feature_store as _store, training as _training
 from ..params import GbtParams as _Gbt
 from ..params import Params
 from ..sources import codes, tables
@@ -237,7 +237,28 @@ def j5_training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("sta_num", "pre_end", "path", "idx", F.round("value", 6).alias("value")))
 
 
+def j5_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of ``j5_training_features`` out of a feature store that last week's training filled: seven days and what changed are
+    computed, the rest is read (J5, M2)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..session import scratch, shared_dir, stored
+
+    p, store = params(), shared_dir(spark, "feature_store")
+    s, ref = _inputs(spark, sf_dir, p)
+    with scratch(spark) as folder:
+        series = stored(ser.base_class(s, p), folder("series"))         # read by both trainings
+        cities = stored(ref, folder("city_reference"))
+        for q in (p.with_(as_of=p.as_of - dt.timedelta(days=7)), p):
+            rows = _store.feature_rows(_training.feature_inputs(series, cities, q), q, store, folder, _tj.FILES_PER_DAY)
+        out = rows.select("sta_num", "pre_end", "path", F.slice(vector_to_array("features"), 1, 3 * p.window_len).alias("hist"))
+        out = stored(out, shared_dir(spark, "feature_rows"))
+    return (_features.posexplode_kept(out, "hist", "idx", "value", "sta_num", "pre_end", "path")
+            .select("sta_num", "pre_end", "path", "idx", F.round("value", 6).alias("value")))
+
+
 REGISTRY.update({
+    "j5_feature_store": j5_feature_store,
     "w7_labels": w7_labels,
     "j5_training_set": j5_training_set,
     "j5_training_features": j5_training_features,

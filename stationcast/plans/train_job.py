@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import models, series as ser, training
+from ..operators import feature_store as kept_features, models, series as ser, training
 from ..params import Params
 from ..session import scratch, stored
 
@@ -20,18 +20,30 @@ def write_feature_table(series: DataFrame, ref: DataFrame, p: Params, path: str,
     and one of ``FILES_PER_DAY`` parts of the stations first: one pass over the features (a range partitioning would sample
     them, and so compute them twice), and a bounded number of files per day.
     """
-    table = training.feature_table(series, ref, p)
+    return _write(training.feature_table(series, ref, p), path, files_per_day)
+
+
+def _write(table: DataFrame, path: str, files_per_day: int) -> str:
     (table.withColumn("_part", F.pmod(F.hash("sta_num"), F.lit(files_per_day))).repartition("pre_end", "_part").drop("_part")
      .write.mode("overwrite").partitionBy("pre_end").parquet(path))
     return path
 
 
-def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str, attempt: str | None = None) -> dict:
+def run(spark: SparkSession, series: DataFrame, ref: DataFrame, p: Params, model_root: str, attempt: str | None = None,
+        feature_store: str | None = None) -> dict:
     """Train the per-horizon models, commit them under ``model_root`` and return their manifest. A run with the ``attempt`` name of one that
-    broke off goes on from its last written rounds. The intermediate tables are deleted at the end, however the job ends."""
+    broke off goes on from its last written rounds. With ``feature_store``, features of earlier trainings are taken from there and new ones
+    are added; days that no later training reads are deleted. The intermediate tables are deleted at the end, however the job ends."""
     with scratch(spark) as folder:
         def table() -> str:
             cities = stored(ref, folder("city_reference"))      # measured for its join, then read by it
-            return write_feature_table(ser.normalised(series), cities, p, folder("feature_table"))
-
-        return models.fit_models(spark, table, p, model_root, attempt)
+            if feature_store is None:
+                return write_feature_table(ser.normalised(series), cities, p, folder("feature_table"))
+            inputs = training.feature_inputs(ser.normalised(series), cities, p)
+            rows = kept_features.feature_rows(inputs, p, feature_store, folder, FILES_PER_DAY)
+            return _write(rows, folder("feature_table"), FILES_PER_DAY)
+
+        found = models.fit_models(spark, table, p, model_root, attempt)
+        if feature_store is not None:
+            kept_features.drop_before(spark, feature_store, p)
+        return found
