@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import numpy as np
 import pytest
@@ -57,6 +58,50 @@ def test_tree_equals_trying_every_split(n):
         assert value[r] == want[at][2]
 
 
+@pytest.mark.parametrize("scale, sorted_below", [(1, 0), (1, 1 << 40), (1, 1), (40, 1), (10 ** 6, 1), (10 ** 9, 1)])
+def test_sums_per_bin_and_sorted_rows_give_the_same_tree(monkeypatch, scale, sorted_below):
+    """Both ways, both mixed, sums and row counts in two numbers, and gradients too large for a double."""
+    monkeypatch.setattr(B, "_SORTED", sorted_below)
+    monkeypatch.setattr(B, "_CELLS", 100)                          # several batches a level
+    n, g = 260, GbtParams(max_iter=1, max_depth=9, max_bins=32)
+    rng = np.random.default_rng(scale)
+    bins, y = rng.integers(0, 32, (n, 6)).astype(np.uint8), rng.integers(0, 50, n) * float(scale)
+    bins[:, 2] = 3                                                 # nothing to split on
+    bins[:, 4] = bins[:, 1]                                        # equal gains: the first feature is taken
+    grad, use, feats = B.gradients(np.full(n, 0.5), y), rng.random(n) < 0.8, np.array([0, 1, 2, 4, 5])
+    nodes, value = B.grow(bins, B.by_bin(bins), grad, use, feats, g)
+    want = plain_tree(bins, grad, use, feats, g)
+    assert {i: (f, b, v) for i, f, b, v in zip(*[x.tolist() for x in nodes], strict=True)} == want and len(want) == len(nodes.node) > 9
+    for r in range(n):
+        at = 1
+        while want[at][0] >= 0:
+            at = 2 * at + int(bins[r, want[at][0]] > want[at][1])
+        assert value[r] == want[at][2]
+
+
+def test_rows_are_added_up_for_the_smaller_child_only(monkeypatch):
+    """Outliers come off one pair at a time, so every level still holds nearly all rows."""
+    n, g = 3000, GbtParams(max_depth=15)
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 20, (n, 8)).astype(np.uint8)
+    bins[:, 0] = np.minimum(np.arange(n) // 2, 40)
+    y = np.where(bins[:, 0] < 30, 2.0 ** (30 - bins[:, 0].astype(float)), 0.5)
+    read, of = [], B._Sums.of
+    monkeypatch.setattr(B._Sums, "of", lambda self, rows, *a: read.append(len(rows)) or of(self, rows, *a))
+    nodes, _ = B.grow(bins, B.by_bin(bins), B.gradients(np.full(n, 0.5), y), np.ones(n, bool), np.arange(8), g)
+    assert int(nodes.node.max()).bit_length() == 16 and n <= sum(read) < 1.1 * n
+
+
+def test_nodes_that_cannot_gain_enough_are_not_looked_at(monkeypatch):
+    n = 400
+    bins = np.random.default_rng(4).integers(0, 20, (n, 8)).astype(np.uint8)
+    monkeypatch.setattr(B, "_Sums", lambda *a: pytest.fail("looked at"))
+    monkeypatch.setattr(B, "_by_sorting", lambda *a: pytest.fail("looked at"))
+    grad = B.gradients(np.full(n, 0.5), np.full(n, 2.5))           # large, but all alike
+    nodes, value = B.grow(bins, B.by_bin(bins), grad, np.ones(n, bool), np.arange(8), GbtParams(l2=0.0))
+    assert nodes.node.tolist() == [1] and set(value.tolist()) == {float(B.leaf(grad.sum(), n, GbtParams(l2=0.0)))}
+
+
 def feature_table(spark, rows: int = 60, seed: int = 1):
     """Feature rows like those of the training job: ``sta_num, pre_end, features, labels``."""
     rng = np.random.default_rng(seed)
@@ -166,6 +211,24 @@ def test_scores_equal_walking_each_tree_and_follow_the_labels(spark, table, tmp_
     assert len(got) == 60
 
 
+def test_nodes_are_copied_once_per_block_of_rows_not_per_partition(spark, table, tmp_path, monkeypatch):
+    root, date = str(tmp_path / "store"), M.model_date_for_training(AS_OF)
+    M.fit_models(spark, lambda: table, P, root)
+    feats = spark.read.parquet(table).where(F.col("pre_end") == F.lit(AS_OF - dt.timedelta(days=8))).select("sta_num", "features")
+
+    def blocks():
+        plan = M.score(feats, root, date, P)._jdf.queryExecution().analyzed().toString()
+        return re.findall(r"explode\(sequence\(0, (\d+)", plan)
+
+    assert feats.count() == 60 and blocks() == ["0", "0"]                    # one slice, one block
+    want = {r["sta_num"]: r["forecast"] for r in M.score(feats, root, date, P).collect()}
+    monkeypatch.setattr(M, "BLOCK_ROWS", 7)
+    assert sorted(blocks()) == ["0", "8"]
+    got = {r["sta_num"]: r["forecast"] for r in M.score(feats, root, date, P).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    assert M.score(feats.limit(0), root, date, P).collect() == []
+
+
 def test_features_are_scanned_once(spark, table, tmp_path):
     root = str(tmp_path / "store")
     M.fit_models(spark, lambda: table, P, root)
