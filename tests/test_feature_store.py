@@ -114,6 +114,22 @@ def test_lost_files_are_made_good(spark, filled):
     assert through(spark, series, ref, LAST, filled) == plain(series, ref, LAST) and held(spark, filled) == before
 
 
+def test_feature_inputs_are_dealt_evenly(spark, monkeypatch):
+    """A few small files of series are work for every task: neither the scan's splits nor merging by size decides."""
+    path = f"{tempfile.mkdtemp(prefix='series-')}"
+    make_series(spark, [series_row(sta=str(k), start=days(480), qty=BASE[:479]) for k in range(64)]).coalesce(1).write.parquet(f"{path}/s")
+    inputs, seen = training.feature_inputs(spark.read.parquet(f"{path}/s"), ref_of(spark), THIS, measured=False), []
+
+    def update(inputs, *rest):
+        seen.append(Counter(r[0] for r in inputs.select(F.input_file_name()).collect()))
+
+    monkeypatch.setattr(store, "update", update)
+    with scratch(spark) as folder:
+        store.feature_rows(inputs, THIS, f"{path}/store", folder, 2)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(seen[0]) == n and max(seen[0].values()) <= 64 / n + n
+
+
 def test_no_series(spark):
     path = f"{tempfile.mkdtemp(prefix='features-')}/store"
     assert not through(spark, make_series(spark, []), ref_of(spark), THIS, path)
