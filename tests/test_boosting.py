@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -102,6 +103,55 @@ def test_nodes_that_cannot_gain_enough_are_not_looked_at(monkeypatch):
     assert nodes.node.tolist() == [1] and set(value.tolist()) == {float(B.leaf(grad.sum(), n, GbtParams(l2=0.0)))}
 
 
+@pytest.mark.parametrize("scale, paired", [(1, 512), (1, 30), (1, 400), (10 ** 6, 512), (10 ** 7, 512)])
+def test_pairs_of_features_give_the_same_tree(monkeypatch, scale, paired):
+    """Features of 1 to 40 bins in pairs and alone, an odd one out, rows and gradients in one double or two."""
+    for name, to in (("_LARGE", 3), ("_PAIRED", paired), ("_BLOCK", 50), ("_SORTED", 1 << 40), ("_ALONE", paired - 400)):
+        monkeypatch.setattr(B, name, to)
+    n, g = 300, GbtParams(max_iter=1, max_depth=7, max_bins=64)
+    rng = np.random.default_rng(scale + paired)
+    bins = np.stack([rng.integers(0, w, n) for w in (5, 40, 9, 1, 17, 17, 2, 30, 12)], axis=1).astype(np.uint8)
+    y = rng.integers(0, 50, n) * float(scale)
+    grad, use, feats = B.gradients(np.full(n, 0.5), y), rng.random(n) < 0.7, np.array([0, 1, 2, 3, 5, 6, 8])
+    added, single = [], B._Pairs.single
+    monkeypatch.setattr(B._Pairs, "single", lambda self, sums: added.append(self.count) or single(self, sums))
+    nodes, value = B.grow(bins, B.by_bin(bins), grad, use, feats, g)
+    want = plain_tree(bins, grad, use, feats, g)
+    assert {i: (f, b, v) for i, f, b, v in zip(*[x.tolist() for x in nodes], strict=True)} == want and len(want) == len(nodes.node) > 5
+    assert set(added) == ({30: set(), 400: {6}}.get(paired, {5}))          # too few pairs save nothing
+    for r in range(n):
+        at = 1
+        while want[at][0] >= 0:
+            at = 2 * at + int(bins[r, want[at][0]] > want[at][1])
+        assert value[r] == want[at][2]
+
+
+def test_rows_are_added_up_in_steps():
+    """The memory for it follows neither the rows nor the features."""
+    n, g = 40_000, GbtParams(max_iter=1)
+    rng = np.random.default_rng(5)
+    bins, y = rng.integers(0, 17, (n, 64)).astype(np.uint8), rng.integers(0, 50, n).astype(float)
+    grad, table = B.gradients(np.full(n, 0.5), y), B.by_bin(bins)
+    tracemalloc.start()
+    try:
+        B.grow(bins, table, grad, np.ones(n, bool), np.arange(64), g)
+        assert tracemalloc.get_traced_memory()[1] < n * 64 * 6      # a number per row and feature takes 8 bytes
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_horizon_of_the_usual_size_is_boosted_in_one_task(spark, tmp_path, monkeypatch):
+    """60 times sf0.1 has 180,000 rows a horizon; a job per level and round takes hours."""
+    rows, p = 60_000, P.with_(fr_len=1, gbt=GbtParams(max_iter=3, max_depth=2, chunk_rounds=4))
+    made = spark.range(rows).select(
+        F.col("id").cast("string").alias("sta_num"), F.lit(AS_OF - dt.timedelta(days=18)).alias("pre_end"),
+        array_to_vector(F.array(*[(F.col("id") % m).cast("double") for m in (7, 11)])).alias("features"), F.array(F.col("id") % 5 + 1).alias("labels"))
+    made.write.parquet(str(tmp_path / "features"))
+    monkeypatch.setattr(B, "large_round", lambda *a: pytest.fail("grown over all partitions"))
+    found = M.fit_models(spark, lambda: str(tmp_path / "features"), p, str(tmp_path / "store"))
+    assert found["horizons"]["0"]["rows"] == rows and found["horizons"]["0"]["trees"] == 3
+
+
 def feature_table(spark, rows: int = 60, seed: int = 1):
     """Feature rows like those of the training job: ``sta_num, pre_end, features, labels``."""
     rng = np.random.default_rng(seed)
